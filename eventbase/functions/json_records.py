@@ -73,9 +73,20 @@ def parse_events(
     if explode_root_array:
         df = df.withColumn(body, F.explode(rules.root_elements(F.col(body))))
 
-    names = schema.fieldNames()
+    if not schema.fields:
+        raise ValueError("an event schema needs at least one field")
     fast = F.col("__fast")
-    converted = {f.name: rules.fast(fast.getField(f.name), f.dataType) for f in schema}
+    # Parts of the dates and timestamps get columns of their own, so each is worked out once.
+    parts, values, converted = {}, {}, {}
+    for n, f in enumerate(schema):
+        if isinstance(f.dataType, _TEMPORAL):
+            kind, text, value = F.col(f"__kind{n}"), F.col(f"__text{n}"), F.col(f"__value{n}")
+            parts[f"__kind{n}"] = F.schema_of_variant(fast.getField(f.name))
+            parts[f"__text{n}"] = F.try_variant_get(fast.getField(f.name), "$", "string")
+            values[f"__value{n}"] = rules.temporal(kind, text, f.dataType)
+            converted[f.name] = value, value.isNull() & ~_is_nothing(kind, text)
+        else:
+            converted[f.name] = rules.fast(fast.getField(f.name), f.dataType)
     fast_bad = [
         F.when(bad, F.lit(name)) for name, (_, bad) in converted.items() if bad is not None
     ]
@@ -97,26 +108,37 @@ def parse_events(
     good = (~F.col("__p.malformed")) & (F.size("__p.bad_fields") == 0)
     return (
         df.withColumn("__fast", rules.from_json(F.col(body), rules.fast_type(schema), corrupt=True))
+        .withColumns(parts)
+        .withColumns(values)
         .withColumn(
             "__p",
             F.when(fast.isNull(), F.lit(None)).when(suspect, exact_result).otherwise(fast_result),
         )
         .select(
             *kept,
-            F.when(good, F.col("__p.row")).alias("row"),
-            F.when(F.col("__p").isNull(), F.lit(BLANK))
-            .when(F.col("__p.malformed"), F.lit(MALFORMED))
-            .when(F.size("__p.bad_fields") > 0, F.lit(BAD_VALUE))
-            .alias("reason"),
-            F.coalesce(F.col("__p.bad_fields"), F.array().cast("array<string>")).alias("bad_fields"),
+            # A filter on the outcome would otherwise be pushed below and parse all over again:
+            # a generator is where push-down stops.
+            F.inline(
+                F.array(
+                    F.struct(
+                        F.when(good, F.col("__p.row")).alias("row"),
+                        F.when(F.col("__p").isNull(), F.lit(BLANK))
+                        .when(F.col("__p.malformed"), F.lit(MALFORMED))
+                        .when(F.size("__p.bad_fields") > 0, F.lit(BAD_VALUE))
+                        .alias("reason"),
+                        F.coalesce(F.col("__p.bad_fields"), F.array().cast("array<string>")).alias(
+                            "bad_fields"
+                        ),
+                    )
+                )
+            ),
         )
-        if names
-        else _reject_empty_schema()
     )
 
 
-def _reject_empty_schema() -> DataFrame:
-    raise ValueError("an event schema needs at least one field")
+def _is_nothing(kind: Column, text: Column) -> Column:
+    """Absent, null or empty text: a null value in a good record."""
+    return kind.isNull() | (kind == "VOID") | ((kind == "STRING") & (text == ""))
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -155,20 +177,17 @@ class _Rules:
 
     # -- values shared by both passes ------------------------------------------------
 
-    def temporal(self, variant: Column, kind: Column, dtype: T.DataType) -> Column:
-        text = F.try_variant_get(variant, "$", "string")
-        from_text = text.try_cast(dtype)
+    def temporal(self, kind: Column, text: Column, dtype: T.DataType) -> Column:
+        """Value of a date or timestamp from its token type and text; null when it has none."""
+        as_written = F.when(F.contains(text, F.lit("-")), text.try_cast(dtype))
         if isinstance(dtype, T.DateType):
             days = F.when(text.rlike(r"^[+]?\d+$"), text.try_cast("int"))
-            return F.when(
-                kind == "STRING",
-                F.when(F.contains(text, F.lit("-")), from_text).otherwise(F.date_from_unix_date(days)),
-            )
-        number = F.try_variant_get(variant, "$", "bigint")
+            return F.when(kind == "STRING", F.coalesce(as_written, F.date_from_unix_date(days)))
+        number = text.try_cast("bigint")
         in_range = number.between(-self.epoch_limit, self.epoch_limit)
-        return F.when(
-            kind == "STRING", F.when(F.contains(text, F.lit("-")), from_text)
-        ).when(kind == "BIGINT", F.when(in_range, self.to_timestamp(number)))
+        return F.when(kind == "STRING", as_written).when(
+            kind == "BIGINT", F.when(in_range, self.to_timestamp(number))
+        )
 
     def special_float(self, text: Column) -> Column:
         """Value of a float given as JSON text; null when the spelling is not accepted."""
@@ -212,10 +231,9 @@ class _Rules:
             bad = F.exists(F.map_values(col), lambda x: self.fast(x, inner)[1])
             return value, F.coalesce(bad, F.lit(False))
         kind = F.schema_of_variant(col)
-        value = self.temporal(col, kind, dtype)
         text = F.try_variant_get(col, "$", "string")
-        empty = (kind == "VOID") | ((kind == "STRING") & (text == ""))
-        return value, col.isNotNull() & value.isNull() & ~empty
+        value = self.temporal(kind, text, dtype)
+        return value, value.isNull() & ~_is_nothing(kind, text)
 
     def has_special(self, col: Column, dtype: T.DataType) -> Column | None:
         """True where the value alone does not tell whether its text is acceptable.
@@ -301,7 +319,7 @@ class _Rules:
         )
 
     def _exact_token(self, text: Column, variant: Column, kind: Column, dtype: T.DataType) -> Column:
-        absent = variant.isNull() | (kind == "VOID") | ((kind == "STRING") & (text == ""))
+        absent = _is_nothing(kind, text)
         nothing = F.struct(F.lit(None).cast(dtype).alias("v"), F.lit(False).alias("bad"))
         wrong = F.struct(F.lit(None).cast(dtype).alias("v"), F.lit(True).alias("bad"))
         is_object = kind.startswith("OBJECT")
@@ -371,7 +389,7 @@ class _Rules:
         is_text = kind == "STRING"
         is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
         if isinstance(dtype, _TEMPORAL):
-            return self.temporal(variant, kind, dtype)
+            return self.temporal(kind, text, dtype)
         if isinstance(dtype, T.ByteType):
             # An unsigned byte is accepted and wraps, as the JSON reader itself does.
             number = F.try_variant_get(variant, "$", "bigint")
