@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from eventbase.functions.json_records import EPOCH_UNITS
 from eventbase.functions.keys import KEY_SEPARATOR, message_key
+from eventbase.sources.files import Files
 
 REGISTRY = T.StructType(
     [
@@ -23,6 +24,7 @@ REGISTRY = T.StructType(
         T.StructField("column_map", T.MapType(T.StringType(), T.StringType()), False),
         T.StructField("column_types", T.MapType(T.StringType(), T.StringType()), False),
         T.StructField("epoch_unit", T.StringType(), False),
+        T.StructField("order_by", T.ArrayType(T.StringType(), False), False),
     ]
 )
 
@@ -81,6 +83,8 @@ class EventConfig:
     column_map: dict[str, str] = field(default_factory=dict)
     column_types: dict[str, str] = field(default_factory=dict)
     epoch_unit: str = "ms"
+    # Columns that decide which write of a key is the last; arrival order when empty.
+    order_by: Sequence[str] = ()
 
     def __post_init__(self):
         if not self.app_key or not self.event_type or KEY_SEPARATOR in self.app_key:
@@ -89,6 +93,7 @@ class EventConfig:
             raise ValueError(f"epoch_unit must be one of {sorted(EPOCH_UNITS)}")
         object.__setattr__(self, "schema", storable(self.schema))
         object.__setattr__(self, "primary_key", tuple(self.primary_key))
+        object.__setattr__(self, "order_by", tuple(self.order_by))
         if not self.table_name:
             object.__setattr__(self, "table_name", f"{self.app_key}_{self.event_type}")
         unknown = set(self.column_map) - set(self.schema.fieldNames())
@@ -97,9 +102,9 @@ class EventConfig:
         columns = self.table_schema
         if len({c.lower() for c in columns.fieldNames()}) < len(columns):
             raise ValueError("two fields map to one column")
-        for name in self.primary_key:
+        for name in (*self.primary_key, *self.order_by):
             if name not in columns.fieldNames() or not isinstance(columns[name].dataType, _SCALARS):
-                raise ValueError(f"primary key column {name!r} must be a scalar column of the table")
+                raise ValueError(f"key or order column {name!r} must be a scalar column of the table")
         if not self.primary_key:
             raise ValueError("a primary key is required")
 
@@ -115,9 +120,7 @@ class EventConfig:
             column = self.column_map.get(f.name, f.name)
             dtype = f.dataType
             if column in self.column_types:
-                dtype = T._parse_datatype_string(self.column_types[column])
-                if isinstance(dtype, T.StructType) and len(dtype) == 1 and dtype.fieldNames() == ["value"]:
-                    dtype = dtype[0].dataType
+                dtype = T.DataType.fromDDL(self.column_types[column])
                 if not _keeps_values(f.dataType, dtype):
                     raise ValueError(
                         f"column {column!r}: {dtype.simpleString()} cannot hold every {f.dataType.simpleString()}"
@@ -138,6 +141,7 @@ class EventConfig:
         return (
             self.app_key, self.event_type, self.schema.json(), self.table_name, list(self.primary_key),
             dict(self.column_map), dict(self.column_types), self.epoch_unit,
+            list(self.order_by),
         )
 
     @classmethod
@@ -145,7 +149,7 @@ class EventConfig:
         return cls(
             row["app_key"], row["event_type"], T.StructType.fromJson(json.loads(row["schema_json"])),
             row["primary_key"], row["table_name"], dict(row["column_map"]), dict(row["column_types"]),
-            row["epoch_unit"],
+            row["epoch_unit"], row["order_by"],
         )
 
 
@@ -158,26 +162,24 @@ def duplicate_keys(registry: DataFrame) -> DataFrame:
     return registry.groupBy("app_key", "event_type").agg(F.count("*").alias("entries")).filter("entries > 1")
 
 
+def _versions(files: Files, path: str) -> list[int]:
+    return [int(n) for n in files.names(path) if n.isdigit() and files.exists(f"{path}/{n}/_SUCCESS")]
+
+
 def save_registry(registry: DataFrame, path: str) -> None:
-    """Replace the stored registry. A new version lies beside the old until it is complete."""
+    """Replace the stored registry; a new version lies beside the old until it is complete."""
     clash = duplicate_keys(registry).first()
     if clash:
         raise ValueError(f"registered twice: {clash['app_key']}{KEY_SEPARATOR}{clash['event_type']}")
-    from eventbase.sources.files import Files
-
-    files = Files(registry.sparkSession, path)
-    done = [int(n) for n in files.names(path) if files.exists(f"{path}/{n}/_SUCCESS")]
-    registry.coalesce(1).write.mode("overwrite").parquet(f"{path}/{max(done, default=0) + 1}")
+    latest = max(_versions(Files(registry.sparkSession, path), path), default=0)
+    registry.coalesce(1).write.mode("overwrite").parquet(f"{path}/{latest + 1}")
 
 
 def load_registry(spark: SparkSession, path: str) -> DataFrame:
-    from eventbase.sources.files import Files
-
-    files = Files(spark, path)
-    done = [int(n) for n in files.names(path) if files.exists(f"{path}/{n}/_SUCCESS")]
-    if not done:
-        return spark.createDataFrame([], REGISTRY)
-    return spark.read.schema(REGISTRY).parquet(f"{path}/{max(done)}")
+    versions = _versions(Files(spark, path), path)
+    if not versions:
+        raise FileNotFoundError(f"no registry at {path}")
+    return spark.read.schema(REGISTRY).parquet(f"{path}/{max(versions)}")
 
 
 def configs_of(registry: DataFrame) -> list[EventConfig]:

@@ -46,3 +46,6 @@ class Files:
             stream.close()
         if not self._fs.rename(draft, self._path(path)):
             raise FileExistsError(path)
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._path(path), True)

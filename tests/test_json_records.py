@@ -123,7 +123,7 @@ def test_value_rules(spark, tail):
 
 
 def schema_of(ddl):
-    return T._parse_datatype_string(ddl)
+    return T.DataType.fromDDL(ddl)
 
 
 def parse(spark, bodies, ddl, **options):
