@@ -144,10 +144,14 @@ class KeyedTable:
             rows = latest_by_key(base.unionByName(self._load(state, deltas)), state.primary_key)
         else:
             latest = latest_by_key(self._load(state, deltas), state.primary_key)
-            keys = F.broadcast(latest.select(*state.primary_key))  # size checked just above
-            contested = base.join(keys, state.primary_key, "left_semi")
-            rows = base.join(keys, state.primary_key, "left_anti").unionByName(
-                latest_by_key(contested.unionByName(latest), state.primary_key)
+            named = latest.select(*[F.col(f"`{k}`").alias(f"__key{n}") for n, k in enumerate(state.primary_key)])
+            keys = F.broadcast(named)  # size checked just above
+            same = F.lit(True)
+            for n, k in enumerate(state.primary_key):
+                same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"__key{n}"))
+            contested = base.join(keys, same, "left_semi").unionByName(latest)
+            rows = base.join(keys, same, "left_anti").unionByName(
+                latest_by_key(contested, state.primary_key)
             )
         names = T.StructType.fromJson(json.loads(state.schema)).fieldNames()
         return rows.select(*[f"`{n}`" for n in names], *([ORDER] if with_order else []))
