@@ -104,7 +104,15 @@ def parse_events(
             "bad_fields"
         ),
     )
-    exact_result = rules.exact_record(F.col(body), schema)
+    # Scalars the first pass could read are settled; only the others need a second look.
+    settled = {}
+    for f in schema:
+        value, _ = converted[f.name]
+        if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            odd = rules.has_special(value, f.dataType)
+            known = value.isNotNull() if odd is None else value.isNotNull() & ~odd
+            settled[f.name] = known, value
+    exact_result = rules.exact_record(F.col(body), schema, settled)
     good = (~F.col("__p.malformed")) & (F.size("__p.bad_fields") == 0)
     return (
         df.withColumn("__fast", rules.from_json(F.col(body), rules.fast_type(schema), corrupt=True))
@@ -260,7 +268,9 @@ class _Rules:
 
     # -- exact pass ------------------------------------------------------------------
 
-    def exact_record(self, text: Column, schema: T.StructType) -> Column:
+    def exact_record(
+        self, text: Column, schema: T.StructType, settled: Mapping[str, tuple[Column, Column]]
+    ) -> Column:
         return _let(
             self._two_readings(text, schema, corrupt=True),
             lambda r: F.when(
@@ -272,7 +282,7 @@ class _Rules:
                 ),
             ).otherwise(
                 _let(
-                    self._exact_fields(r, schema),
+                    self._exact_fields(r, schema, settled),
                     lambda fs: F.struct(
                         self._values(fs, schema).cast(schema).alias("row"),
                         F.lit(False).alias("malformed"),
@@ -296,14 +306,22 @@ class _Rules:
             self.from_json(text, texts, corrupt).alias("a"), self.from_json(text, tokens).alias("k")
         )
 
-    def _exact_fields(self, readings: Column, schema: T.StructType) -> Column:
+    def _exact_fields(
+        self,
+        readings: Column,
+        schema: T.StructType,
+        settled: Mapping[str, tuple[Column, Column]] | None = None,
+    ) -> Column:
         a, k = readings.getField("a"), readings.getField("k")
-        return F.struct(
-            *[
-                self.exact(a.getField(f.name), k.getField(f.name), f.dataType).alias(f.name)
-                for f in schema
-            ]
-        )
+        fields = []
+        for f in schema:
+            found = self.exact(a.getField(f.name), k.getField(f.name), f.dataType)
+            if settled and f.name in settled:
+                known, value = settled[f.name]
+                value = F.struct(value.cast(f.dataType).alias("v"), F.lit(False).alias("bad"))
+                found = F.when(known, value).otherwise(found)
+            fields.append(found.alias(f.name))
+        return F.struct(*fields)
 
     @staticmethod
     def _values(fields: Column, schema: T.StructType) -> Column:

@@ -95,16 +95,16 @@ UNION ALL SELECT event_id, user_id, NULL, NULL FROM events WHERE event_id % 5 <>
 UNION ALL SELECT event_id, NULL, NULL, 'malformed' FROM events WHERE event_id % 5 <> 0""",
     "ingest_syntax_options": """
 SELECT mode, event_id, CASE WHEN good THEN event_id END AS a, CASE WHEN NOT good THEN 'malformed' END AS reason,
-       CASE WHEN NOT good THEN chars + length(cast(event_id AS VARCHAR)) END AS kept_chars
+       CASE WHEN NOT good THEN cast(chars + length(cast(event_id AS VARCHAR)) AS INTEGER) END AS kept_chars
 FROM (SELECT mode, event_id, n, n IN (0, 4) OR (mode = 'lenient' AND n IN (1, 2, 3)) AS good,
              CASE n WHEN 1 THEN 4 WHEN 2 THEN 8 WHEN 3 THEN 16 ELSE 7 END AS chars
       FROM (SELECT event_id, event_id % 6 AS n FROM events), (VALUES ('default'), ('lenient')) AS m(mode))""",
     "ingest_texts": """
-SELECT 'document' AS kind, doc_id AS id, cast(0 AS BIGINT) AS turn, md5(text) AS digest, length(text) AS chars FROM documents
-UNION ALL SELECT 'page', page_id, 0, md5(html), length(html) FROM pages
-UNION ALL SELECT 'turn', conv_id, turn, md5(text), length(text) FROM conversations""",
+SELECT 'document' AS kind, doc_id AS id, cast(0 AS BIGINT) AS turn, md5(text) AS digest, cast(length(text) AS INTEGER) AS chars FROM documents
+UNION ALL SELECT 'page', page_id, 0, md5(html), cast(length(html) AS INTEGER) FROM pages
+UNION ALL SELECT 'turn', conv_id, turn, md5(text), cast(length(text) AS INTEGER) FROM conversations""",
     "ingest_vectors": """
-SELECT vec_id, label, unnest(range(len(embedding))) AS pos, cast(unnest(embedding) AS DOUBLE) AS x FROM embeddings""",
+SELECT vec_id, label, cast(unnest(range(len(embedding))) AS INTEGER) AS pos, cast(unnest(embedding) AS DOUBLE) AS x FROM embeddings""",
     "route_table_counts": """
 SELECT CASE WHEN event_type <> 'view' THEN 'app_' || event_type END AS table_name, count(*) AS messages FROM events GROUP BY 1""",
     "registered_semi": """
