@@ -16,7 +16,10 @@ Everything is a Column expression. There is no Python per row.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,13 +71,52 @@ def parse_events(
     """
     if epoch_unit not in EPOCH_UNITS:
         raise ValueError(f"epoch_unit must be one of {sorted(EPOCH_UNITS)}, not {epoch_unit!r}")
-    rules = _Rules(epoch_unit, lenient_floats, json_options or {})
+    if not schema.fields:
+        raise ValueError("an event schema needs at least one field")
+    steps = _steps(
+        df.sparkSession.sparkContext.applicationId,
+        schema.json(),
+        epoch_unit,
+        lenient_floats,
+        tuple(sorted((json_options or {}).items())),
+        body,
+    )
     kept = [F.col(f"`{c}`") for c in df.columns]
     if explode_root_array:
-        df = df.withColumn(body, F.explode(rules.root_elements(F.col(body))))
+        df = df.withColumn(body, F.explode(steps.root_elements))
+    return (
+        df.withColumn("__fast", steps.first_reading)
+        .withColumns(steps.parts)
+        .withColumns(steps.values)
+        .withColumn("__p", steps.outcome)
+        .select(*kept, steps.result)
+    )
 
-    if not schema.fields:
-        raise ValueError("an event schema needs at least one field")
+
+@dataclass(frozen=True)
+class _Steps:
+    """The columns that parse one schema, in the order they are added."""
+
+    root_elements: Column
+    first_reading: Column
+    parts: dict[str, Column]
+    values: dict[str, Column]
+    outcome: Column
+    result: Column
+
+
+@lru_cache(maxsize=1024)
+def _steps(
+    _application: str,
+    schema_json: str,
+    epoch_unit: str,
+    lenient_floats: bool,
+    json_options: tuple[tuple[str, str], ...],
+    body: str,
+) -> _Steps:
+    """Built once per schema and application: a stream parses by the same rules in every batch."""
+    schema = T.StructType.fromJson(json.loads(schema_json))
+    rules = _Rules(epoch_unit, lenient_floats, dict(json_options))
     fast = F.col("__fast")
     # Parts of the dates and timestamps get columns of their own, so each is worked out once.
     parts, values, converted = {}, {}, {}
@@ -87,60 +129,48 @@ def parse_events(
             converted[f.name] = value, value.isNull() & ~_is_nothing(kind, text)
         else:
             converted[f.name] = rules.fast(fast.getField(f.name), f.dataType)
-    fast_bad = [
-        F.when(bad, F.lit(name)) for name, (_, bad) in converted.items() if bad is not None
-    ]
-    special = [
-        s for f in schema if (s := rules.has_special(fast.getField(f.name), f.dataType)) is not None
-    ]
-    suspect = fast.getField(_CORRUPT).isNotNull()
-    for s in special:
-        suspect = suspect | F.coalesce(s, F.lit(False))
 
-    fast_result = F.struct(
-        F.struct(*[v.alias(n) for n, (v, _) in converted.items()]).cast(schema).alias("row"),
-        F.lit(False).alias("malformed"),
-        (F.array_compact(F.array(*fast_bad)) if fast_bad else F.array().cast("array<string>")).alias(
-            "bad_fields"
-        ),
-    )
+    suspect = fast.getField(_CORRUPT).isNotNull()
     # Scalars the first pass could read are settled; only the others need a second look.
     settled = {}
     for f in schema:
         value, _ = converted[f.name]
+        odd = rules.has_special(fast.getField(f.name), f.dataType)
+        if odd is not None:
+            suspect = suspect | F.coalesce(odd, F.lit(False))
         if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            odd = rules.has_special(value, f.dataType)
-            known = value.isNotNull() if odd is None else value.isNotNull() & ~odd
-            settled[f.name] = known, value
-    exact_result = rules.exact_record(F.col(body), schema, settled)
-    good = (~F.col("__p.malformed")) & (F.size("__p.bad_fields") == 0)
-    return (
-        df.withColumn("__fast", rules.from_json(F.col(body), rules.fast_type(schema), corrupt=True))
-        .withColumns(parts)
-        .withColumns(values)
-        .withColumn(
-            "__p",
-            F.when(fast.isNull(), F.lit(None)).when(suspect, exact_result).otherwise(fast_result),
-        )
-        .select(
-            *kept,
-            # A filter on the outcome would otherwise be pushed below and parse all over again:
-            # a generator is where push-down stops.
-            F.inline(
-                F.array(
-                    F.struct(
-                        F.when(good, F.col("__p.row")).alias("row"),
-                        F.when(F.col("__p").isNull(), F.lit(BLANK))
-                        .when(F.col("__p.malformed"), F.lit(MALFORMED))
-                        .when(F.size("__p.bad_fields") > 0, F.lit(BAD_VALUE))
-                        .alias("reason"),
-                        F.coalesce(F.col("__p.bad_fields"), F.array().cast("array<string>")).alias(
-                            "bad_fields"
-                        ),
-                    )
-                )
-            ),
-        )
+            settled[f.name] = (value.isNotNull() if odd is None else value.isNotNull() & ~odd), value
+
+    no_fields = F.array().cast("array<string>")
+    bad = [F.when(b, F.lit(name)) for name, (_, b) in converted.items() if b is not None]
+    clean = F.struct(
+        F.struct(*[v.alias(n) for n, (v, _) in converted.items()]).cast(schema).alias("row"),
+        F.lit(False).alias("malformed"),
+        (F.array_compact(F.array(*bad)) if bad else no_fields).alias("bad_fields"),
+    )
+    outcome = (
+        F.when(fast.isNull(), F.lit(None))
+        .when(suspect, rules.exact_record(F.col(body), schema, settled))
+        .otherwise(clean)
+    )
+    has_bad = F.size("__p.bad_fields") > 0
+    result = F.struct(
+        F.when(~F.col("__p.malformed") & ~has_bad, F.col("__p.row")).alias("row"),
+        F.when(F.col("__p").isNull(), F.lit(BLANK))
+        .when(F.col("__p.malformed"), F.lit(MALFORMED))
+        .when(has_bad, F.lit(BAD_VALUE))
+        .alias("reason"),
+        F.coalesce(F.col("__p.bad_fields"), no_fields).alias("bad_fields"),
+    )
+    return _Steps(
+        rules.root_elements(F.col(body)),
+        rules.from_json(F.col(body), rules.fast_type(schema), corrupt=True),
+        parts,
+        values,
+        outcome,
+        # A filter on the outcome would otherwise be pushed below and parse all over again:
+        # a generator is where push-down stops.
+        F.inline(F.array(result)),
     )
 
 

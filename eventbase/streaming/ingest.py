@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventbase.functions.json_records import parse_events
 from eventbase.operators import sinks
-from eventbase.operators.registry import EventConfig, configs_of, unregistered, with_key
+from eventbase.operators.registry import EventConfig, configs_of, registered, unregistered, with_key
 from eventbase.operators.store import EventStore
 from eventbase.session import prepare
 from eventbase.sources.envelope import ENVELOPE
@@ -35,6 +37,8 @@ class IngestOptions:
     cache: bool = True
     # With more event types in one batch than this, it is first laid out by event type.
     land_above: int = 32
+    # Tables written side by side.
+    parallel_tables: int = 8
     # Fold a table's deltas into its base after this many batches.
     compact_every: int = 50
 
@@ -62,12 +66,8 @@ def ingest_batch(
     try:
         messages = hold(messages.select(*ENVELOPE.fieldNames()))
         registry = store.registry()
-        present = [
-            EventConfig.from_row(r)
-            for r in with_key(registry)
-            .join(messages.select("key").distinct(), "key", "left_semi")
-            .collect()  # registry rows only
-        ]
+        keys = registered(messages.select("key"), registry).distinct()
+        present = configs_of(with_key(registry).join(keys, "key", "left_semi"))
         store.write_batch("progress", sinks.progress(messages), batch)
 
         usable, conflicting = _split_by_schema(store, present)
@@ -99,17 +99,36 @@ def ingest_batch(
             first = bad.select("reason", "key").first()
             if first:
                 raise BadRecords(f"batch {batch}: {first['reason']} under key {first['key']!r}")
-        store.write_batch("quarantine", bad, batch)
-        for config, table_rows in rows:
+
+        def quarantine() -> None:
+            store.write_batch("quarantine", bad, batch)
+
+        def upsert(config: EventConfig, table_rows: DataFrame) -> None:
             table = store.table(config)
             table.upsert(table_rows, batch)
             if len(table.state().deltas) >= options.compact_every:
                 table.compact()
+
+        writes = [quarantine, *[partial(upsert, c, r) for c, r in rows]]
+        _at_once(store.spark, writes, options.parallel_tables)
+        store.files.delete(f"{store.root}/landing/{batch}")
     finally:
         for df in held:
             df.unpersist()
 
 
+def _at_once(spark: SparkSession, jobs: list[Callable[[], None]], limit: int) -> None:
+    """Run independent writes side by side, so that small ones do not wait for large ones.
+
+    The first failure is raised once all have ended; the batch is then not committed.
+    """
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=max(1, min(limit, len(jobs)))) as pool:
+        running = [pool.submit(inherit(job)) for job in jobs]
+    for job in running:
+        job.result()
+
+
 def _split_by_schema(
     store: EventStore, configs: list[EventConfig]
 ) -> tuple[list[EventConfig], list[EventConfig]]:
@@ -182,3 +201,8 @@ def run_ingest(
     else:
         writer = writer.trigger(processingTime=f"{batch_ms} milliseconds")
     return writer.foreachBatch(one_batch).start()
+
+
+def print_stream(messages: DataFrame) -> StreamingQuery:
+    """Show messages on the driver's console, for debugging only."""
+    return messages.writeStream.format("console").option("truncate", "false").start()
