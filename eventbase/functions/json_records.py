@@ -4,7 +4,7 @@
 (empty text for a non-text field, day counts, epoch numbers, an object where a list
 is expected, unusual float spellings), the record takes a second, exact pass:
 
-* fast pass, every record: one ``from_json`` with the declared types. Dates and
+* first pass, every record: one ``from_json`` with the declared types. Dates and
   timestamps are read as VARIANT, which keeps the JSON token type, so that a number and
   a piece of text can be told apart.
 * exact pass, only records in which ``from_json`` met something it calls corrupt: each
@@ -105,6 +105,50 @@ class _Steps:
     result: Column
 
 
+class _Staged:
+    """First-pass values, with columns of their own for what is used more than once.
+
+    Expressions named by a column are worked out once per record; repeated inside one
+    large expression they would be worked out at each use.
+    """
+
+    def __init__(self, rules: _Rules):
+        self.rules = rules
+        self.parts: dict[str, Column] = {}
+        self.values: dict[str, Column] = {}
+
+    def fast(self, col: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
+        """(value, is bad) of a field read by the first pass; None when it cannot be bad."""
+        if not _contains(dtype, _TEMPORAL):
+            return col, None
+        n = len(self.parts)
+        if isinstance(dtype, T.StructType):
+            fields = {f.name: self.fast(col.getField(f.name), f.dataType) for f in dtype}
+            bad = F.lit(False)
+            for _, field_bad in fields.values():
+                bad = bad if field_bad is None else bad | field_bad
+            value = F.struct(*[v.alias(name) for name, (v, _) in fields.items()])
+            return F.when(col.isNotNull(), value), bad
+        if isinstance(dtype, T.ArrayType):
+            self.parts[f"__part{n}"] = F.transform(col, lambda x: self.rules.item(x, dtype.elementType))
+            pairs = F.col(f"__part{n}")
+            value = F.transform(pairs, lambda p: p.getField("v"))
+            return value, F.coalesce(F.exists(pairs, lambda p: p.getField("bad")), F.lit(False))
+        if isinstance(dtype, T.MapType):
+            self.parts[f"__part{n}"] = F.transform_values(
+                col, lambda _, x: self.rules.item(x, dtype.valueType)
+            )
+            pairs = F.col(f"__part{n}")
+            value = F.transform_values(pairs, lambda _, p: p.getField("v"))
+            bad = F.exists(F.map_values(pairs), lambda p: p.getField("bad"))
+            return value, F.coalesce(bad, F.lit(False))
+        self.parts[f"__kind{n}"] = F.schema_of_variant(col)
+        self.parts[f"__part{n}"] = F.try_variant_get(col, "$", "string")
+        kind, text, value = F.col(f"__kind{n}"), F.col(f"__part{n}"), F.col(f"__value{n}")
+        self.values[f"__value{n}"] = self.rules.temporal(kind, text, dtype)
+        return value, value.isNull() & ~_is_nothing(kind, text)
+
+
 @lru_cache(maxsize=1024)
 def _steps(
     _application: str,
@@ -118,28 +162,25 @@ def _steps(
     schema = T.StructType.fromJson(json.loads(schema_json))
     rules = _Rules(epoch_unit, lenient_floats, dict(json_options))
     fast = F.col("__fast")
-    # Parts of the dates and timestamps get columns of their own, so each is worked out once.
-    parts, values, converted = {}, {}, {}
-    for n, f in enumerate(schema):
-        if isinstance(f.dataType, _TEMPORAL):
-            kind, text, value = F.col(f"__kind{n}"), F.col(f"__text{n}"), F.col(f"__value{n}")
-            parts[f"__kind{n}"] = F.schema_of_variant(fast.getField(f.name))
-            parts[f"__text{n}"] = F.try_variant_get(fast.getField(f.name), "$", "string")
-            values[f"__value{n}"] = rules.temporal(kind, text, f.dataType)
-            converted[f.name] = value, value.isNull() & ~_is_nothing(kind, text)
-        else:
-            converted[f.name] = rules.fast(fast.getField(f.name), f.dataType)
+    staged = _Staged(rules)
+    converted = {f.name: staged.fast(fast.getField(f.name), f.dataType) for f in schema}
 
     suspect = fast.getField(_CORRUPT).isNotNull()
-    # Scalars the first pass could read are settled; only the others need a second look.
+    # What the first pass could read for certain needs no second look.
     settled = {}
     for f in schema:
-        value, _ = converted[f.name]
         odd = rules.has_special(fast.getField(f.name), f.dataType)
         if odd is not None:
             suspect = suspect | F.coalesce(odd, F.lit(False))
-        if not isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
-            settled[f.name] = (value.isNotNull() if odd is None else value.isNotNull() & ~odd), value
+        value, is_bad = converted[f.name]
+        known = F.coalesce(rules.known(fast.getField(f.name), f.dataType), F.lit(False))
+        settled[f.name] = (
+            known,
+            F.struct(
+                value.cast(f.dataType).alias("v"),
+                (F.lit(False) if is_bad is None else is_bad).alias("bad"),
+            ),
+        )
 
     no_fields = F.array().cast("array<string>")
     bad = [F.when(b, F.lit(name)) for name, (_, b) in converted.items() if b is not None]
@@ -165,8 +206,8 @@ def _steps(
     return _Steps(
         rules.root_elements(F.col(body)),
         rules.from_json(F.col(body), rules.fast_type(schema), corrupt=True),
-        parts,
-        values,
+        staged.parts,
+        staged.values,
         outcome,
         # A filter on the outcome would otherwise be pushed below and parse all over again:
         # a generator is where push-down stops.
@@ -236,7 +277,7 @@ class _Rules:
             return value
         return F.when(text.isin(*STRICT_SPECIAL_FLOATS), text.try_cast("double"))
 
-    # -- fast pass -------------------------------------------------------------------
+    # -- first pass ------------------------------------------------------------------
 
     def fast_type(self, dtype: T.DataType) -> T.DataType:
         if isinstance(dtype, T.StructType):
@@ -247,31 +288,48 @@ class _Rules:
             return T.MapType(T.StringType(), self.fast_type(dtype.valueType))
         return T.VariantType() if isinstance(dtype, _TEMPORAL) else dtype
 
-    def fast(self, col: Column, dtype: T.DataType) -> tuple[Column, Column | None]:
-        """(value, is bad) of a field read by the fast pass; None when it cannot be bad."""
+    def item(self, col: Column, dtype: T.DataType) -> Column:
+        """struct<v, bad> of a list element or map value read by the first pass."""
         if not _contains(dtype, _TEMPORAL):
-            return col, None
+            return F.struct(col.alias("v"), F.lit(False).alias("bad"))
         if isinstance(dtype, T.StructType):
-            parts = {f.name: self.fast(col.getField(f.name), f.dataType) for f in dtype}
-            bad = F.lit(False)
-            for _, part_bad in parts.values():
-                bad = bad if part_bad is None else bad | part_bad
-            value = F.struct(*[v.alias(n) for n, (v, _) in parts.items()])
-            return F.when(col.isNotNull(), value), F.coalesce(bad, F.lit(False))
+            return _let(
+                F.struct(*[self.item(col.getField(f.name), f.dataType).alias(f.name) for f in dtype]),
+                lambda fs: F.struct(
+                    F.when(col.isNotNull(), self._values(fs, dtype)).alias("v"),
+                    self._any_bad(fs, dtype).alias("bad"),
+                ),
+            )
         if isinstance(dtype, T.ArrayType):
-            inner = dtype.elementType
-            value = F.transform(col, lambda x: self.fast(x, inner)[0])
-            bad = F.exists(col, lambda x: self.fast(x, inner)[1])
-            return value, F.coalesce(bad, F.lit(False))
+            return _let(
+                F.transform(col, lambda x: self.item(x, dtype.elementType)),
+                lambda xs: F.struct(
+                    F.transform(xs, lambda x: x.getField("v")).alias("v"),
+                    F.coalesce(F.exists(xs, lambda x: x.getField("bad")), F.lit(False)).alias("bad"),
+                ),
+            )
         if isinstance(dtype, T.MapType):
-            inner = dtype.valueType
-            value = F.transform_values(col, lambda _, x: self.fast(x, inner)[0])
-            bad = F.exists(F.map_values(col), lambda x: self.fast(x, inner)[1])
-            return value, F.coalesce(bad, F.lit(False))
-        kind = F.schema_of_variant(col)
-        text = F.try_variant_get(col, "$", "string")
-        value = self.temporal(kind, text, dtype)
-        return value, value.isNull() & ~_is_nothing(kind, text)
+            return _let(
+                F.transform_values(col, lambda _, x: self.item(x, dtype.valueType)),
+                lambda m: F.struct(
+                    F.transform_values(m, lambda _, x: x.getField("v")).alias("v"),
+                    F.coalesce(
+                        F.exists(F.map_values(m), lambda x: x.getField("bad")), F.lit(False)
+                    ).alias("bad"),
+                ),
+            )
+        return _let(
+            F.struct(
+                F.schema_of_variant(col).alias("kind"), F.try_variant_get(col, "$", "string").alias("a")
+            ),
+            lambda x: _let(
+                self.temporal(x.getField("kind"), x.getField("a"), dtype),
+                lambda v: F.struct(
+                    v.alias("v"),
+                    (v.isNull() & ~_is_nothing(x.getField("kind"), x.getField("a"))).alias("bad"),
+                ),
+            ),
+        )
 
     def has_special(self, col: Column, dtype: T.DataType) -> Column | None:
         """True where the value alone does not tell whether its text is acceptable.
@@ -296,6 +354,25 @@ class _Rules:
             return F.octet_length(col) == 0
         return F.isnan(col) | (F.abs(col) == float("inf"))
 
+    def known(self, col: Column, dtype: T.DataType) -> Column:
+        """True where the first pass's reading of a field of a corrupt record can be relied on.
+
+        A value it could not read is null, and so is a list or map with such a value in it;
+        a struct may be whole or in part.
+        """
+        present = col.isNotNull()
+        if isinstance(dtype, T.StructType):
+            for f in dtype:
+                present = present & self.known(col.getField(f.name), f.dataType)
+            return present
+        if isinstance(dtype, (T.ArrayType, T.MapType)):
+            inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype.valueType
+            if isinstance(inner, (T.StructType, T.ArrayType, T.MapType)):
+                items = col if isinstance(dtype, T.ArrayType) else F.map_values(col)
+                return present & F.forall(items, lambda x: self.known(x, inner))
+        odd = self.has_special(col, dtype)
+        return present if odd is None else present & ~F.coalesce(odd, F.lit(False))
+
     # -- exact pass ------------------------------------------------------------------
 
     def exact_record(
@@ -347,12 +424,18 @@ class _Rules:
         for f in schema:
             found = self.exact(a.getField(f.name), k.getField(f.name), f.dataType)
             if settled and f.name in settled:
-                known, value = settled[f.name]
-                value = F.struct(value.cast(f.dataType).alias("v"), F.lit(False).alias("bad"))
-                found = F.when(known, value).otherwise(found)
+                known, outcome = settled[f.name]
+                found = F.when(known, outcome).otherwise(found)
             fields.append(found.alias(f.name))
         return F.struct(*fields)
 
+    @staticmethod
+    def _any_bad(fields: Column, schema: T.StructType) -> Column:
+        found = F.lit(False)
+        for name in schema.fieldNames():
+            found = found | fields.getField(name).getField("bad")
+        return found
+
     @staticmethod
     def _values(fields: Column, schema: T.StructType) -> Column:
         return F.struct(*[fields.getField(n).getField("v").alias(n) for n in schema.fieldNames()])
@@ -379,10 +462,7 @@ class _Rules:
                     self._exact_fields(r, dtype),
                     lambda fs: F.struct(
                         self._values(fs, dtype).cast(dtype).alias("v"),
-                        F.array_contains(
-                            F.array(*[fs.getField(n).getField("bad") for n in dtype.fieldNames()]),
-                            F.lit(True),
-                        ).alias("bad"),
+                        self._any_bad(fs, dtype).alias("bad"),
                     ),
                 ),
             )

@@ -11,7 +11,7 @@ from eventbase.operators.publish import to_messages
 from eventbase.operators.registry import EventConfig, struct_from_pairs
 from eventbase.operators.store import EventStore
 from eventbase.session import prepare, shared_folder
-from eventbase.sources.envelope import envelope
+from eventbase.sources.envelope import envelope, spread
 from eventbase.streaming.ingest import IngestOptions, ingest_batch
 
 APP = "app"
@@ -55,7 +55,7 @@ def event_body() -> list[Column]:
 def event_messages(events: DataFrame) -> DataFrame:
     """One message per event: partition by user, offset by event."""
     keyed = to_messages(
-        events, F.lit(APP), F.col("event_type"), event_body(), "event_id", "user_id"
+        spread(events), F.lit(APP), F.col("event_type"), event_body(), "event_id", "user_id"
     )
     return envelope(keyed, F.col("key"), F.col("value"), F.col("user_id") % 4, F.col("event_id"))
 
@@ -65,7 +65,7 @@ def order_messages(orders: DataFrame) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority",
     ]
-    keyed = to_messages(orders, F.lit(APP), F.lit("order"), body, "o_orderkey")
+    keyed = to_messages(spread(orders), F.lit(APP), F.lit("order"), body, "o_orderkey")
     return envelope(keyed, F.col("key"), F.col("value"), F.lit(0), F.col("o_orderkey"))
 
 
@@ -100,7 +100,7 @@ def filled_store(spark: SparkSession, sf_dir: str) -> EventStore:
 
 def parsed(df: DataFrame, body: Column, schema: T.StructType, *carried: str, **options) -> DataFrame:
     """Parse a body made from each row of a table, keeping the named columns."""
-    return parse_events(df.select(*carried, body.alias("value")), schema, **options)
+    return parse_events(spread(df).select(*carried, body.alias("value")), schema, **options)
 
 
 def no_zone(column: str) -> Column:

@@ -49,3 +49,14 @@ def stream_envelope_folder(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return decode(reader.parquet(path))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Split an input that has fewer partitions than tasks can run at once.
+
+    Parsing is bound by the processor, and a single file or a topic with one partition would
+    keep it on one core. An input with enough partitions is left as it is, so nothing is
+    shuffled at scale. Meant for plain scans, whose partitions are known without running them.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)

@@ -35,6 +35,9 @@ class IngestOptions:
     json_options: Mapping[str, str] = field(default_factory=dict)
     # Keep the batch in memory (spilling to disk) between the passes over it.
     cache: bool = True
+    # Number of partitions to split a batch into before parsing; None leaves it to the source.
+    # Worth setting for a source with few partitions that has no splitting of its own.
+    parse_partitions: int | None = None
     # With more event types in one batch than this, it is first laid out by event type.
     land_above: int = 32
     # Tables written side by side.
@@ -64,7 +67,10 @@ def ingest_batch(
         return held[-1]
 
     try:
-        messages = hold(messages.select(*ENVELOPE.fieldNames()))
+        messages = messages.select(*ENVELOPE.fieldNames())
+        if options.parse_partitions:
+            messages = messages.repartition(options.parse_partitions)
+        messages = hold(messages)
         registry = store.registry()
         keys = registered(messages.select("key"), registry).distinct()
         present = configs_of(with_key(registry).join(keys, "key", "left_semi"))

@@ -74,6 +74,14 @@ CASES = [
     ('[{"y":{"x":1}}]', "array<struct<y:array<struct<x:int>>>>", [([(1,)],)]),
     ('{"x":1,"x":2}', "array<struct<x:int>>", [(2,)]),
     ('{"x":"q"}', "array<struct<x:int>>", BAD),
+    ('[{"x":1,"y":2},{"x":"q","y":3}]', "array<struct<x:int,y:int>>", BAD),
+    ('[{"x":1,"y":2},{"x":"","y":3}]', "array<struct<x:int,y:int>>", [(1, 2), (None, 3)]),
+    ('{"y":[1,""]}', "struct<y:array<int>,z:int>", ([1, None], None)), ('{"y":[1,"q"],"z":1}', "struct<y:array<int>,z:int>", BAD),
+    ('{"y":[1],"z":"q"}', "struct<y:array<int>,z:int>", BAD), ('{"y":{"a":1,"b":"q"}}', "struct<y:map<string,int>>", BAD),
+    ('{"y":{"a":1,"b":""}}', "struct<y:map<string,int>>", ({"a": 1, "b": None},)), ('{"y":["NaN","nan"]}', "struct<y:array<double>>", BAD),
+    ('[[1,2],[3,"q"]]', "array<array<int>>", BAD), ('{"a":[1,"q"],"b":[2]}', "map<string,array<int>>", BAD),
+    ('{"a":[1,""],"b":[2]}', "map<string,array<int>>", {"a": [1, None], "b": [2]}),
+    ('[["2018-02-01"],[5]]', "array<array<date>>", BAD), ('{"y":["2018-02-01",""],"z":""}', "struct<y:array<date>,z:int>", ([dt.date(2018, 2, 1), None], None)),
     # map
     ('{"x":1,"y":2}', "map<string,int>", {"x": 1, "y": 2}), ('{"y":""}', "map<string,int>", {"y": None}),
     ('{"y":"q"}', "map<string,int>", BAD), ('{"a":{"x":""}}', "map<string,struct<x:int>>", {"a": (None,)}),
