@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +32,19 @@ def latest_by_key(rows: DataFrame, primary_key: Sequence[str], *also_partition_b
     row number), so a key that holds a large share of the rows stays small on the wire.
     A window, unlike an aggregate over whole rows, lets unused columns be pruned.
     """
-    by_key = Window.partitionBy(*also_partition_by, *primary_key).orderBy(F.col(ORDER).desc())
+    keys = [_column(k) for k in (*also_partition_by, *primary_key)]
+    by_key = Window.partitionBy(*keys).orderBy(F.col(ORDER).desc())
     return rows.withColumn("__n", F.row_number().over(by_key)).filter("__n = 1").drop("__n")
 
 
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
 @dataclass
 class State:
     schema: str
@@ -113,7 +122,7 @@ class KeyedTable:
         order = T.StructType.fromJson(json.loads(state.order_schema))
         stored = T.StructType([*schema.fields, T.StructField(ORDER, order)])
         if not folders:
-            return self.spark.createDataFrame([], stored)
+            return empty(self.spark, stored)
         return self.spark.read.schema(stored).parquet(*folders)
 
     def _base_folders(self, state: State, buckets: Sequence[int] | None = None) -> list[str]:
@@ -144,17 +153,17 @@ class KeyedTable:
             rows = latest_by_key(base.unionByName(self._load(state, deltas)), state.primary_key)
         else:
             latest = latest_by_key(self._load(state, deltas), state.primary_key)
-            named = latest.select(*[F.col(f"`{k}`").alias(f"__key{n}") for n, k in enumerate(state.primary_key)])
+            named = latest.select(*[_column(k).alias(f"__key{n}") for n, k in enumerate(state.primary_key)])
             keys = F.broadcast(named)  # size checked just above
             same = F.lit(True)
             for n, k in enumerate(state.primary_key):
-                same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"__key{n}"))
+                same = same & _column(k).eqNullSafe(F.col(f"__key{n}"))
             contested = base.join(keys, same, "left_semi").unionByName(latest)
             rows = base.join(keys, same, "left_anti").unionByName(
                 latest_by_key(contested, state.primary_key)
             )
         names = T.StructType.fromJson(json.loads(state.schema)).fieldNames()
-        return rows.select(*[f"`{n}`" for n in names], *([ORDER] if with_order else []))
+        return rows.select(*[_column(n) for n in names], *([ORDER] if with_order else []))
 
     # -- writing ---------------------------------------------------------------------
 
@@ -172,7 +181,7 @@ class KeyedTable:
         """Fold the deltas into the base, rewriting only the buckets they touch."""
         state = self.state()
         if state.deltas:
-            bucket = F.pmod(F.xxhash64(*state.primary_key), F.lit(state.buckets)).cast("int")
+            bucket = F.pmod(F.xxhash64(*map(_column, state.primary_key)), F.lit(state.buckets)).cast("int")
             deltas = self._load(state, self._delta_folders(state))
             touched = [
                 r[0] for r in deltas.select(bucket.alias(_BUCKET)).distinct().collect()

@@ -6,9 +6,11 @@ import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventbase.functions.json_records import EPOCH_UNITS
 from eventbase.functions.keys import KEY_SEPARATOR, message_key
@@ -154,7 +156,12 @@ class EventConfig:
 
 
 def registry_frame(spark: SparkSession, configs: Iterable[EventConfig]) -> DataFrame:
-    return spark.createDataFrame([c.as_row() for c in configs], REGISTRY)
+    # As an Arrow table it is local data of a size Spark knows, so joins can broadcast it.
+    rows = [dict(zip(REGISTRY.fieldNames(), c.as_row())) for c in configs]
+    for row in rows:
+        row["column_map"] = list(row["column_map"].items())
+        row["column_types"] = list(row["column_types"].items())
+    return spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(REGISTRY)), REGISTRY)
 
 
 def duplicate_keys(registry: DataFrame) -> DataFrame:
@@ -162,17 +169,22 @@ def duplicate_keys(registry: DataFrame) -> DataFrame:
     return registry.groupBy("app_key", "event_type").agg(F.count("*").alias("entries")).filter("entries > 1")
 
 
+def write_registry(registry: DataFrame, path: str) -> None:
+    """Add a version; it lies beside the one in use until it is complete."""
+    latest = max(_versions(Files(registry.sparkSession, path), path), default=0)
+    registry.coalesce(1).write.mode("overwrite").parquet(f"{path}/{latest + 1}")
+
+
 def _versions(files: Files, path: str) -> list[int]:
     return [int(n) for n in files.names(path) if n.isdigit() and files.exists(f"{path}/{n}/_SUCCESS")]
 
 
 def save_registry(registry: DataFrame, path: str) -> None:
-    """Replace the stored registry; a new version lies beside the old until it is complete."""
+    """Replace the stored registry, after a check that no key is in it twice."""
     clash = duplicate_keys(registry).first()
     if clash:
         raise ValueError(f"registered twice: {clash['app_key']}{KEY_SEPARATOR}{clash['event_type']}")
-    latest = max(_versions(Files(registry.sparkSession, path), path), default=0)
-    registry.coalesce(1).write.mode("overwrite").parquet(f"{path}/{latest + 1}")
+    write_registry(registry, path)
 
 
 def load_registry(spark: SparkSession, path: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventbase.operators import registry as reg
-from eventbase.operators.keyed_table import KeyedTable
+from eventbase.operators.keyed_table import KeyedTable, empty
 from eventbase.operators.registry import EventConfig
 from eventbase.operators.sinks import order_schema
 from eventbase.sources.envelope import ENVELOPE
@@ -51,7 +51,8 @@ class EventStore:
         merged = list((known | new).values())
         if len({c.table_name for c in merged}) < len(merged):
             raise ValueError("two event types name the same table")
-        reg.save_registry(reg.registry_frame(self.spark, merged), f"{self.root}/registry")
+        # Keys are unique by construction here.
+        reg.write_registry(reg.registry_frame(self.spark, merged), f"{self.root}/registry")
 
     def registry(self) -> DataFrame:
         return reg.load_registry(self.spark, f"{self.root}/registry")
@@ -82,7 +83,7 @@ class EventStore:
 
     def _read_batches(self, name: str, schema: T.StructType) -> DataFrame:
         if not self.files.names(f"{self.root}/{name}"):
-            return self.spark.createDataFrame([], schema)
+            return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
     def quarantine(self) -> DataFrame:

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
 
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,8 +165,13 @@ def _inputs_by_group(
     """
     if len(groups) <= options.land_above:
         return [messages.filter(F.col("key").isin([c.key for c in g])) for g in groups]
-    numbered = [(c.key, n) for n, g in enumerate(groups) for c in g]
-    group_of = F.broadcast(store.spark.createDataFrame(numbered, "key string, __group int"))
+    numbered = pa.table(
+        {
+            "key": [c.key for g in groups for c in g],
+            "__group": [n for n, g in enumerate(groups) for _ in g],
+        }
+    )
+    group_of = store.spark.createDataFrame(numbered)  # local data of known size
     landed = messages.join(group_of, "key").hint("rebalance", "__group")
     path = f"{store.root}/landing/{batch}"
     landed.write.mode("overwrite").partitionBy("__group").parquet(path)

@@ -354,3 +354,14 @@ def test_jdbc_statements(spark):
     assert options["numPartitions"] == "4" and options["lowerBound"] == "0"
     with pytest.raises(ValueError):
         tables.jdbc_options("jdbc:x", "t", split_column="id")
+
+
+def test_odd_column_names(spark, tmp_path):
+    schema = T.StructType([T.StructField("i`d", T.IntegerType()), T.StructField("a.b", T.StringType())])
+    table = KeyedTable(spark, str(tmp_path / "odd")).create(schema, ["i`d"], ORDER_SCHEMA, buckets=2)
+    data = rows(spark, [(1, "a", 1), (1, "b", 2)]).toDF("i`d", "a.b", ORDER)
+    for batch in ("b0", "b1"):
+        table.upsert(data, batch)
+        table.compact()
+        table.upsert(data, batch)
+    assert [tuple(r) for r in table.read().collect()] == [(1, "b")]
