@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import contextlib
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventbase.operators.keyed_table import ORDER, latest_by_key
+from eventbase.operators.registry import EventConfig
 
 
 def storable_columns(rows: DataFrame) -> DataFrame:
@@ -84,3 +85,22 @@ def upsert_jdbc(
         with contextlib.closing(connection.createStatement()) as merge:
             merge.executeUpdate(sql)
         connection.commit()
+
+
+def jdbc_sink(
+    url: str, *, statements: Mapping[str, str] | None = None, **options
+) -> Callable[[EventConfig, DataFrame, str], None]:
+    """Sink of the ingest job that keeps every table in a database.
+
+    ``statements`` maps table names, in any case, to a MERGE of the user's own.
+    """
+    own = {table.upper(): sql for table, sql in (statements or {}).items()}
+
+    def write(config: EventConfig, rows: DataFrame, batch: str) -> None:
+        table = config.table_name
+        upsert_jdbc(
+            rows, url, _quoted(table), _quoted(f"{table}__staging"), config.primary_key,
+            statement=own.get(table.upper()), **options,
+        )
+
+    return write

@@ -135,6 +135,11 @@ class KeyedTable:
     def _delta_folders(self, state: State) -> list[str]:
         return [f"{self.path}/delta/{folder}" for _, folder in sorted(state.deltas.items())]
 
+    def _latest(self, state: State) -> DataFrame:
+        """One row per key over all deltas; a single delta is that already."""
+        rows = self._load(state, self._delta_folders(state))
+        return rows if len(state.deltas) == 1 else latest_by_key(rows, state.primary_key)
+
     def read(self, broadcast_limit: int = 8 << 20, with_order: bool = False) -> DataFrame:
         """Current rows.
 
@@ -148,11 +153,11 @@ class KeyedTable:
         if not deltas:
             rows = base
         elif not bases:
-            rows = latest_by_key(self._load(state, deltas), state.primary_key)
+            rows = self._latest(state)
         elif sum(self.files.size(d) for d in deltas) > broadcast_limit:
             rows = latest_by_key(base.unionByName(self._load(state, deltas)), state.primary_key)
         else:
-            latest = latest_by_key(self._load(state, deltas), state.primary_key)
+            latest = self._latest(state)
             named = latest.select(*[_column(k).alias(f"__key{n}") for n, k in enumerate(state.primary_key)])
             keys = F.broadcast(named)  # size checked just above
             same = F.lit(True)
@@ -189,7 +194,7 @@ class KeyedTable:
             old = self._load(state, self._base_folders(state, touched))
             # Both sides hold a key once, so buckets are even and one shuffle serves the
             # comparison and the layout alike.
-            rows = old.unionByName(latest_by_key(deltas, state.primary_key))
+            rows = old.unionByName(self._latest(state))
             rows = rows.withColumn(_BUCKET, bucket).repartition(_BUCKET)
             version = uuid.uuid4().hex[:12]
             (

@@ -66,9 +66,17 @@ class EventStore:
         return KeyedTable(spark or self.spark, f"{self.root}/tables/{config.table_name}")
 
     def ready_table(self, config: EventConfig) -> KeyedTable:
-        """The table of an event type, created or widened to its registered columns."""
+        """The table of an event type, created or widened to its registered columns.
+
+        Any other change, of the key or the order of writes too, is a ValueError.
+        """
         table = self.table(config)
         if table.exists():
+            state = table.state()
+            if state.primary_key != list(config.primary_key):
+                raise ValueError(f"{config.table_name} has the primary key {state.primary_key}")
+            if state.order_schema != order_schema(config).json():
+                raise ValueError(f"{config.table_name} orders its writes by {state.order_schema}")
             table.add_columns(config.table_schema)
             return table
         return table.create(

@@ -284,18 +284,18 @@ def _stored_registry(spark: SparkSession, leave_out: str) -> DataFrame:
 
 
 def route_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = event_messages(table(spark, sf_dir, "events"))
+    messages = event_messages(table(spark, sf_dir, "events"), to_parse=False)
     routed = registry.route(messages, _stored_registry(spark, "view"))
     return routed.groupBy("table_name").agg(F.count("*").alias("messages"))
 
 
 def registered_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = event_messages(table(spark, sf_dir, "events"))
+    messages = event_messages(table(spark, sf_dir, "events"), to_parse=False)
     return registry.registered(messages, _stored_registry(spark, "view")).select("key", "partition", "offset")
 
 
 def unregistered_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = event_messages(table(spark, sf_dir, "events"))
+    messages = event_messages(table(spark, sf_dir, "events"), to_parse=False)
     return registry.unregistered(messages, _stored_registry(spark, "view")).select("key", "partition", "offset")
 
 
@@ -452,7 +452,7 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def saved_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starting positions of a batch as one line of text, from which a first run can be seeded."""
-    messages = event_messages(table(spark, sf_dir, "events"))
+    messages = event_messages(table(spark, sf_dir, "events"), to_parse=False)
     first = messages.groupBy("topic", "partition").agg(F.min("offset").alias("first_offset"))
     return first.groupBy("topic").agg(offsets_text(F.col("partition"), F.col("first_offset")).alias("offsets"))
 

@@ -52,10 +52,11 @@ def event_body() -> list[Column]:
     ]
 
 
-def event_messages(events: DataFrame) -> DataFrame:
+def event_messages(events: DataFrame, to_parse: bool = True) -> DataFrame:
     """One message per event: partition by user, offset by event."""
+    events = spread(events) if to_parse else events
     keyed = to_messages(
-        spread(events), F.lit(APP), F.col("event_type"), event_body(), "event_id", "user_id"
+        events, F.lit(APP), F.col("event_type"), event_body(), "event_id", "user_id"
     )
     return envelope(keyed, F.col("key"), F.col("value"), F.col("user_id") % 4, F.col("event_id"))
 

@@ -41,6 +41,8 @@ class IngestOptions:
     parse_partitions: int | None = None
     # With more event types in one batch than this, it is first laid out by event type.
     land_above: int = 32
+    # Writes the rows of one table instead of the file tables: (config, rows, batch).
+    sink: Callable[[EventConfig, DataFrame, str], None] | None = None
     # Tables written side by side.
     parallel_tables: int = 8
     # Fold a table's deltas into its base after this many batches.
@@ -77,7 +79,7 @@ def ingest_batch(
         present = configs_of(with_key(registry).join(keys, "key", "left_semi"))
         store.write_batch("progress", sinks.progress(messages), batch)
 
-        usable, conflicting = _split_by_schema(store, present)
+        usable, conflicting = (present, []) if options.sink else _split_by_schema(store, present)
         bad = sinks.all_rejected(unregistered(messages, registry), sinks.UNREGISTERED)
         if conflicting:
             refused = messages.filter(F.col("key").isin([c.key for c in conflicting]))
@@ -111,6 +113,9 @@ def ingest_batch(
             store.write_batch("quarantine", bad, batch)
 
         def upsert(config: EventConfig, table_rows: DataFrame) -> None:
+            if options.sink:
+                options.sink(config, table_rows, batch)
+                return
             table = store.table(config)
             table.upsert(table_rows, batch)
             if len(table.state().deltas) >= options.compact_every:

@@ -137,3 +137,30 @@ def test_stream_restart_loses_and_repeats_nothing(spark, store, tmp_path):
     assert [r[:2] for r in content(store, ORDERS)] == [(1, 7.0), (2, 1.5)]
     assert store.quarantine().count() == 5
     assert store.progress().agg(F.sum("messages")).first()[0] == len(ROWS)
+
+
+def test_key_and_order_of_a_table_cannot_change(spark, store):
+    ingest_batch(messages(spark, ROWS), "b1", store)
+    for changed in (dict(primary_key=["page"]), dict(primary_key=["id"], order_by=["page"])):
+        store.register([EventConfig("shop", "visit", fields(id="long", page="string"), **changed)])
+        ingest_batch(messages(spark, [("shop|visit", {"id": 9, "page": "z"}, 0, 99)]), f"c{len(changed)}", store)
+    assert store.quarantine().filter("reason = 'schema_conflict'").count() == 2
+    assert content(store, VISITS) == [(1, "p")]
+
+
+def test_another_sink_can_take_the_tables(spark, store):
+    seen = {}
+    sink = lambda config, rows, batch: seen.update({config.table_name: (batch, rows.count(), rows.columns)})
+    ingest_batch(messages(spark, ROWS), "b1", store, IngestOptions(sink=sink, parse_partitions=3))
+    assert seen == {
+        "shop_order": ("b1", 3, ["id", "total", "at", "__order"]), "shop_visit": ("b1", 1, ["id", "page", "__order"]),
+    }
+    assert store.quarantine().count() == 5
+
+
+def test_a_failed_table_fails_the_batch(spark, store):
+    def sink(config, rows, batch):
+        raise OSError("database gone")
+
+    with pytest.raises(OSError, match="database gone"):
+        ingest_batch(messages(spark, ROWS), "b1", store, IngestOptions(sink=sink))

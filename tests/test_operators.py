@@ -150,6 +150,13 @@ def test_last_write_wins(spark, table, limit, compact_after):
         assert table.read(broadcast_limit=limit).count() == len(want)
 
 
+def test_one_delta_is_read_as_it_is(spark, table):
+    table.upsert(rows(spark, [(n % 5, "a", n) for n in range(100)]), "b0")
+    plan = table.read().filter("v = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "EqualTo(v,a)" in plan
+    assert table.read().count() == 5
+
+
 def test_small_deltas_do_not_shuffle_the_base(spark, table):
     table.upsert(rows(spark, [(n, "a", n) for n in range(100)]), "b0")
     table.compact()
