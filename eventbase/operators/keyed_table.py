@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,8 @@ from eventbase.sources.files import Files
 # Struct column that orders the writes of one key.
 ORDER = "__order"
 _BUCKET = "__bucket"
+# Keys of deltas are broadcast up to this many bytes.
+KEY_LIMIT = 64 << 20
 
 
 def latest_by_key(rows: DataFrame, primary_key: Sequence[str], *also_partition_by: str) -> DataFrame:
@@ -45,6 +47,13 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
+@dataclass
+class Delta:
+    folder: str
+    rows: int
+    key_bytes: int  # size of its primary keys in memory, estimated from above
+
+
 @dataclass
 class State:
     schema: str
@@ -52,7 +61,14 @@ class State:
     primary_key: list[str]
     buckets: int
     base: dict[str, str] = field(default_factory=dict)  # bucket -> version folder
-    deltas: dict[str, str] = field(default_factory=dict)  # batch -> folder
+    deltas: dict[str, Delta] = field(default_factory=dict)  # by batch
+
+    def __post_init__(self):
+        self.deltas = {b: d if isinstance(d, Delta) else Delta(**d) for b, d in self.deltas.items()}
+
+    @property
+    def key_bytes(self) -> int:
+        return sum(d.key_bytes for d in self.deltas.values())
 
 
 class KeyedTable:
@@ -133,19 +149,21 @@ class KeyedTable:
         ]
 
     def _delta_folders(self, state: State) -> list[str]:
-        return [f"{self.path}/delta/{folder}" for _, folder in sorted(state.deltas.items())]
+        return [f"{self.path}/delta/{d.folder}" for _, d in sorted(state.deltas.items()) if d.rows]
 
     def _latest(self, state: State) -> DataFrame:
         """One row per key over all deltas; a single delta is that already."""
         rows = self._load(state, self._delta_folders(state))
-        return rows if len(state.deltas) == 1 else latest_by_key(rows, state.primary_key)
+        one = len(self._delta_folders(state)) == 1
+        return rows if one else latest_by_key(rows, state.primary_key)
 
-    def read(self, broadcast_limit: int = 8 << 20, with_order: bool = False) -> DataFrame:
+    def read(self, broadcast_limit: int = KEY_LIMIT, with_order: bool = False) -> DataFrame:
         """Current rows.
 
-        While the deltas are small, only the base rows whose keys they name are compared
-        with them; all other base rows stream through without a shuffle, and filters reach
-        their scan. Beyond the limit everything is merged in one shuffle on the key.
+        While the keys of the deltas are known to fit in ``broadcast_limit`` bytes, only the
+        base rows they name are compared with the deltas; all other base rows stream through
+        without a shuffle, and filters reach their scan. Beyond it everything is merged in
+        one shuffle on the key.
         """
         state = self.state()
         deltas, bases = self._delta_folders(state), self._base_folders(state)
@@ -154,12 +172,12 @@ class KeyedTable:
             rows = base
         elif not bases:
             rows = self._latest(state)
-        elif sum(self.files.size(d) for d in deltas) > broadcast_limit:
+        elif state.key_bytes > broadcast_limit:
             rows = latest_by_key(base.unionByName(self._load(state, deltas)), state.primary_key)
         else:
             latest = self._latest(state)
             named = latest.select(*[_column(k).alias(f"__key{n}") for n, k in enumerate(state.primary_key)])
-            keys = F.broadcast(named)  # size checked just above
+            keys = F.broadcast(named)  # size checked above
             same = F.lit(True)
             for n, k in enumerate(state.primary_key):
                 same = same & _column(k).eqNullSafe(F.col(f"__key{n}"))
@@ -177,15 +195,21 @@ class KeyedTable:
         state = self.state()
         check_columns(rows, [*T.StructType.fromJson(json.loads(state.schema)).fieldNames(), ORDER])
         folder = f"{batch}-{uuid.uuid4().hex[:8]}"
-        latest = latest_by_key(rows, state.primary_key)
+        written = Observation()
+        width = F.lit(32)  # what a hash table adds to each key
+        for k in state.primary_key:
+            width = width + F.coalesce(F.octet_length(_column(k).cast("string")), F.lit(0))
+        latest = latest_by_key(rows, state.primary_key).observe(
+            written, F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("key_bytes")
+        )
         latest.write.mode("errorifexists").parquet(f"{self.path}/delta/{folder}")
-        state.deltas[batch] = folder
+        state.deltas[batch] = Delta(folder, written.get["rows"], written.get["key_bytes"])
         self._publish(state)
 
     def compact(self, keep_states: int = 20) -> None:
         """Fold the deltas into the base, rewriting only the buckets they touch."""
         state = self.state()
-        if state.deltas:
+        if self._delta_folders(state):
             bucket = F.pmod(F.xxhash64(*map(_column, state.primary_key)), F.lit(state.buckets)).cast("int")
             deltas = self._load(state, self._delta_folders(state))
             touched = [
@@ -216,7 +240,7 @@ class KeyedTable:
         for number in sequence[-keep_states:]:
             state = State(**json.loads(self.files.read_text(self._state_file(number))))
             used_bases |= set(state.base.values())
-            used_deltas |= set(state.deltas.values())
+            used_deltas |= {d.folder for d in state.deltas.values()}
         for kind, used in (("base", used_bases), ("delta", used_deltas)):
             for name in self.files.names(f"{self.path}/{kind}"):
                 if name not in used:

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Sessions of one key are merged per task before they are shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # A JSON object may repeat a name; the last one wins.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

@@ -11,10 +11,12 @@ import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventbase.functions.json_records import parse_events
 from eventbase.operators import sinks
+from eventbase.operators.keyed_table import empty
 from eventbase.operators.registry import EventConfig, configs_of, registered, unregistered, with_key
 from eventbase.operators.store import EventStore
 from eventbase.session import prepare
@@ -34,7 +36,9 @@ class IngestOptions:
     lenient_floats: bool = False
     explode_root_array: bool = False
     json_options: Mapping[str, str] = field(default_factory=dict)
-    # Keep the batch in memory (spilling to disk) between the passes over it.
+    # Keep the batch in memory (spilling to local disk) between the passes over it. Without,
+    # parsed records are written once to the shared folder, laid out by table, and each table
+    # reads its own: the way for batches beyond the cluster's memory.
     cache: bool = True
     # Number of partitions to split a batch into before parsing; None leaves it to the source.
     # Worth setting for a source with few partitions that has no splitting of its own.
@@ -61,6 +65,7 @@ def ingest_batch(
     The registry is read here, so a change of schema takes effect at a batch boundary.
     """
     options = options or IngestOptions()
+    landing = f"{store.root}/landing/{batch}"
     held: list[DataFrame] = []
 
     def hold(df: DataFrame) -> DataFrame:
@@ -88,10 +93,10 @@ def ingest_batch(
         groups: dict[tuple, list[EventConfig]] = {}
         for config in usable:
             groups.setdefault(config.parse_group, []).append(config)
-        inputs = _inputs_by_group(messages, list(groups.values()), batch, store, options)
+        inputs = _inputs_by_group(messages, list(groups.values()), landing, store, options)
 
         rows: list[tuple[EventConfig, DataFrame]] = []
-        for configs, group_messages in zip(groups.values(), inputs):
+        for n, (configs, group_messages) in enumerate(zip(groups.values(), inputs)):
             parsed = parse_events(
                 group_messages,
                 configs[0].schema,
@@ -100,9 +105,15 @@ def ingest_batch(
                 explode_root_array=options.explode_root_array,
                 json_options=options.json_options,
             )
-            parsed = hold(sinks.reject_null_keys(parsed, configs))
-            bad = bad.unionByName(sinks.rejected(parsed))
-            rows += [(c, sinks.table_rows(parsed.filter(F.col("key") == c.key), c)) for c in configs]
+            parsed = sinks.reject_null_keys(parsed, configs)
+            if options.cache:
+                parsed = hold(parsed)
+                failed = parsed
+                by_table = [parsed.filter(F.col("key") == c.key) for c in configs]
+            else:
+                failed, *by_table = _laid_out(parsed, configs, f"{landing}/parsed-{n}", store)
+            bad = bad.unionByName(sinks.rejected(failed))
+            rows += [(c, sinks.table_rows(p, c)) for c, p in zip(configs, by_table)]
 
         if options.on_bad == "fail":
             first = bad.select("reason", "key").first()
@@ -123,7 +134,7 @@ def ingest_batch(
 
         writes = [quarantine, *[partial(upsert, c, r) for c, r in rows]]
         _at_once(store.spark, writes, options.parallel_tables)
-        store.files.delete(f"{store.root}/landing/{batch}")
+        store.files.delete(landing)
     finally:
         for df in held:
             df.unpersist()
@@ -158,7 +169,7 @@ def _split_by_schema(
 def _inputs_by_group(
     messages: DataFrame,
     groups: list[list[EventConfig]],
-    batch: str,
+    landing: str,
     store: EventStore,
     options: IngestOptions,
 ) -> list[DataFrame]:
@@ -178,11 +189,31 @@ def _inputs_by_group(
     )
     group_of = store.spark.createDataFrame(numbered)  # local data of known size
     landed = messages.join(group_of, "key").hint("rebalance", "__group")
-    path = f"{store.root}/landing/{batch}"
-    landed.write.mode("overwrite").partitionBy("__group").parquet(path)
-    return [
-        store.spark.read.schema(ENVELOPE).parquet(f"{path}/__group={n}") for n in range(len(groups))
-    ]
+    landed.write.mode("overwrite").partitionBy("__group").parquet(f"{landing}/messages")
+    return [_folder(store, f"{landing}/messages/__group={n}", ENVELOPE) for n in range(len(groups))]
+
+
+def _laid_out(
+    parsed: DataFrame, configs: list[EventConfig], path: str, store: EventStore
+) -> list[DataFrame]:
+    """Parsed records written once: the rejected ones, then those of each event type."""
+    slot = F.when(F.col("reason").isNotNull(), F.lit(-1))
+    for n, config in enumerate(configs):
+        slot = slot.when(F.col("key") == config.key, F.lit(n))
+    numbered = parsed.withColumn("__slot", slot)
+    if len(configs) > 8:
+        # Otherwise every task would write a small file for each of many tables.
+        numbered = numbered.hint("rebalance", "__slot")
+    numbered.write.mode("overwrite").partitionBy("__slot").parquet(path)
+    slots = range(-1, len(configs))
+    return [_folder(store, f"{path}/__slot={n}", parsed.schema) for n in slots]
+
+
+def _folder(store: EventStore, path: str, schema: T.StructType) -> DataFrame:
+    """A folder just written, or no rows where there was nothing to write."""
+    if not store.files.exists(path):
+        return empty(store.spark, schema)
+    return store.spark.read.schema(schema).parquet(path)
 
 
 def run_ingest(

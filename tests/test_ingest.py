@@ -87,8 +87,12 @@ def test_result_does_not_depend_on_batch_boundaries(spark, store, cuts, compact_
     assert store.quarantine().count() == 5
 
 
-def test_many_event_types_are_laid_out_first(spark, store):
-    ingest_batch(messages(spark, ROWS), "b1", store, IngestOptions(land_above=1, cache=False))
+@pytest.mark.parametrize("land_above", [1, 32])
+@pytest.mark.parametrize("cache", [True, False])
+def test_ways_of_staging_agree(spark, store, land_above, cache):
+    ingest_batch(messages(spark, ROWS), "b1", store, IngestOptions(land_above=land_above, cache=cache))
+    assert store.quarantine().count() == 5
+    assert store.files.names(f"{store.root}/landing") == []
     assert [r[:2] for r in content(store, ORDERS)] == [(1, 7.0), (2, 1.5)]
     assert content(store, VISITS) == [(1, "p")]
 

@@ -128,7 +128,7 @@ def table(spark, tmp_path):
     return KeyedTable(spark, str(tmp_path / "t")).create(schema, ["id"], ORDER_SCHEMA, buckets=4)
 
 
-@pytest.mark.parametrize("limit", [0, 8 << 20], ids=["one_shuffle", "small_deltas"])
+@pytest.mark.parametrize("limit", [0, 64 << 20], ids=["one_shuffle", "small_deltas"])
 @pytest.mark.parametrize("compact_after", [set(), {0}, {1}, {0, 1, 2}])
 def test_last_write_wins(spark, table, limit, compact_after):
     want = {}
@@ -363,6 +363,15 @@ def test_jdbc_statements(spark):
         tables.jdbc_options("jdbc:x", "t", split_column="id")
 
 
+def test_sizes_of_deltas_are_known(spark, table):
+    table.upsert(rows(spark, [(n, "a", n) for n in range(100)] + [(5, "b", 200)]), "b0")
+    table.upsert(rows(spark, []), "b1")
+    sizes = {b: (d.rows, d.key_bytes) for b, d in table.state().deltas.items()}
+    assert sizes == {"b0": (100, 100 * 32 + 10 + 180), "b1": (0, 0)}
+    table.compact()
+    assert table.state().key_bytes == 0 and table.read().count() == 100
+
+
 def test_odd_column_names(spark, tmp_path):
     schema = T.StructType([T.StructField("i`d", T.IntegerType()), T.StructField("a.b", T.StringType())])
     table = KeyedTable(spark, str(tmp_path / "odd")).create(schema, ["i`d"], ORDER_SCHEMA, buckets=2)
