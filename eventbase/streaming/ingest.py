@@ -36,15 +36,15 @@ class IngestOptions:
     lenient_floats: bool = False
     explode_root_array: bool = False
     json_options: Mapping[str, str] = field(default_factory=dict)
-    # Keep the batch in memory (spilling to local disk) between the passes over it. Without,
-    # parsed records are written once to the shared folder, laid out by table, and each table
-    # reads its own: the way for batches beyond the cluster's memory.
-    cache: bool = True
+    # Keep the messages of a batch in memory (spilling to local disk). They are passed over four
+    # times: for files, whose columns are read apart, that costs little; for Kafka it is a fetch.
+    cache: bool = False
     # Number of partitions to split a batch into before parsing; None leaves it to the source.
     # Worth setting for a source with few partitions that has no splitting of its own.
     parse_partitions: int | None = None
-    # With more event types in one batch than this, it is first laid out by event type.
-    land_above: int = 32
+    # With more distinct schemas in one batch than this, it is first laid out by schema: each
+    # schema otherwise scans the whole batch.
+    land_above: int = 4
     # Writes the rows of one table instead of the file tables: (config, rows, batch).
     sink: Callable[[EventConfig, DataFrame, str], None] | None = None
     # Tables written side by side.
@@ -62,23 +62,18 @@ def ingest_batch(
 ) -> None:
     """Parse, route and store one batch. Safe to repeat with the same batch name.
 
-    The registry is read here, so a change of schema takes effect at a batch boundary.
+    The registry is read here, so a change of schema takes effect at a batch boundary. Records
+    are parsed once: the result is written to the shared folder, laid out by table, and each
+    table reads its own part. Losing an executor then costs no second parse.
     """
     options = options or IngestOptions()
     landing = f"{store.root}/landing/{batch}"
-    held: list[DataFrame] = []
-
-    def hold(df: DataFrame) -> DataFrame:
-        if not options.cache:
-            return df
-        held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-        return held[-1]
-
+    messages = messages.select(*ENVELOPE.fieldNames())
+    if options.parse_partitions:
+        messages = messages.repartition(options.parse_partitions)
+    if options.cache:
+        messages.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        messages = messages.select(*ENVELOPE.fieldNames())
-        if options.parse_partitions:
-            messages = messages.repartition(options.parse_partitions)
-        messages = hold(messages)
         registry = store.registry()
         keys = registered(messages.select("key"), registry).distinct()
         present = configs_of(with_key(registry).join(keys, "key", "left_semi"))
@@ -96,7 +91,9 @@ def ingest_batch(
         inputs = _inputs_by_group(messages, list(groups.values()), landing, store, options)
 
         rows: list[tuple[EventConfig, DataFrame]] = []
-        for n, (configs, group_messages) in enumerate(zip(groups.values(), inputs)):
+        parts: dict[int, list[DataFrame]] = {}
+
+        def parse(n: int, configs: list[EventConfig], group_messages: DataFrame) -> None:
             parsed = parse_events(
                 group_messages,
                 configs[0].schema,
@@ -106,12 +103,12 @@ def ingest_batch(
                 json_options=options.json_options,
             )
             parsed = sinks.reject_null_keys(parsed, configs)
-            if options.cache:
-                parsed = hold(parsed)
-                failed = parsed
-                by_table = [parsed.filter(F.col("key") == c.key) for c in configs]
-            else:
-                failed, *by_table = _laid_out(parsed, configs, f"{landing}/parsed-{n}", store)
+            parts[n] = _laid_out(parsed, configs, f"{landing}/parsed-{n}", store)
+
+        pairs = enumerate(zip(groups.values(), inputs))
+        _at_once(store.spark, [partial(parse, n, g, m) for n, (g, m) in pairs], options.parallel_tables)
+        for n, configs in enumerate(groups.values()):
+            failed, *by_table = parts[n]
             bad = bad.unionByName(sinks.rejected(failed))
             rows += [(c, sinks.table_rows(p, c)) for c, p in zip(configs, by_table)]
 
@@ -136,15 +133,17 @@ def ingest_batch(
         _at_once(store.spark, writes, options.parallel_tables)
         store.files.delete(landing)
     finally:
-        for df in held:
-            df.unpersist()
+        if options.cache:
+            messages.unpersist()
 
 
 def _at_once(spark: SparkSession, jobs: list[Callable[[], None]], limit: int) -> None:
-    """Run independent writes side by side, so that small ones do not wait for large ones.
+    """Run independent jobs side by side, so that small ones do not wait for large ones.
 
     The first failure is raised once all have ended; the batch is then not committed.
     """
+    if not jobs:
+        return
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(max_workers=max(1, min(limit, len(jobs)))) as pool:
         running = [pool.submit(inherit(job)) for job in jobs]
