@@ -206,6 +206,12 @@ class KeyedTable:
         state.deltas[batch] = Delta(folder, written.get["rows"], written.get["key_bytes"])
         self._publish(state)
 
+    def drop_batch(self, batch: str) -> None:
+        """Nothing to keep of this batch, whatever an earlier attempt at it wrote."""
+        state = self.state()
+        if state.deltas.pop(batch, None):
+            self._publish(state)
+
     def compact(self, keep_states: int = 20) -> None:
         """Fold the deltas into the base, rewriting only the buckets they touch."""
         state = self.state()

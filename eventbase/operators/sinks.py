@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventbase.operators.keyed_table import ORDER, check_columns
-from eventbase.operators.registry import EventConfig
+from eventbase.operators.registry import EventConfig, with_key
 from eventbase.sources.envelope import ENVELOPE
 
 # Reasons for messages that never reach, or do not fit, a table.
@@ -81,9 +81,17 @@ def all_rejected(messages: DataFrame, reason: str) -> DataFrame:
     )
 
 
-def progress(messages: DataFrame) -> DataFrame:
-    """Offsets covered per partition, for people to read; the checkpoint is what restarts use."""
-    return messages.groupBy("topic", "partition").agg(
+def progress(messages: DataFrame, registry: DataFrame) -> DataFrame:
+    """What a batch covers: offsets per partition and registered key (null: not registered).
+
+    For people to read, and for the batch itself to know which event types are in it; the
+    checkpoint is what restarts use.
+    """
+    known = with_key(registry).select(F.col("key").alias("__known"))
+    marked = messages.select("key", "topic", "partition", "offset").join(
+        known, F.col("key") == F.col("__known"), "left"
+    )
+    return marked.groupBy("topic", "partition", F.col("__known").alias("key")).agg(
         F.min("offset").alias("min_offset"),
         F.max("offset").alias("max_offset"),
         F.count("*").alias("messages"),

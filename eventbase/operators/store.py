@@ -27,6 +27,7 @@ PROGRESS = T.StructType(
     [
         T.StructField("topic", T.StringType()),
         T.StructField("partition", T.IntegerType()),
+        T.StructField("key", T.StringType()),
         T.StructField("min_offset", T.LongType()),
         T.StructField("max_offset", T.LongType()),
         T.StructField("messages", T.LongType()),
@@ -89,6 +90,16 @@ class EventStore:
         """One folder per batch, replaced as a whole when the batch is replayed."""
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={batch}")
 
+    def drop_batch(self, name: str, batch: str) -> None:
+        """Nothing to keep for this batch, whatever an earlier attempt at it wrote."""
+        self.files.delete(f"{self.root}/{name}/batch={batch}")
+
+    def keys_in_batch(self, batch: str) -> dict[str | None, int]:
+        """Messages per registered key of a batch; None stands for all that are not registered."""
+        covered = self.spark.read.schema(PROGRESS).parquet(f"{self.root}/progress/batch={batch}")
+        counts = covered.groupBy("key").agg(F.sum("messages").alias("n"))
+        return {r["key"]: r["n"] for r in counts.collect()}  # one row per registered key
+
     def _read_batches(self, name: str, schema: T.StructType) -> DataFrame:
         if not self.files.names(f"{self.root}/{name}"):
             return empty(self.spark, schema)
@@ -98,4 +109,4 @@ class EventStore:
         return self._read_batches("quarantine", QUARANTINE)
 
     def progress(self) -> DataFrame:
-        return self._read_batches("progress", PROGRESS).withColumn("batch", F.col("batch").cast("string"))
+        return self._read_batches("progress", PROGRESS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
@@ -16,8 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventbase.functions.json_records import parse_events
 from eventbase.operators import sinks
-from eventbase.operators.keyed_table import empty
-from eventbase.operators.registry import EventConfig, configs_of, registered, unregistered, with_key
+from eventbase.operators.registry import EventConfig, configs_of, unregistered, with_key
 from eventbase.operators.store import EventStore
 from eventbase.session import prepare
 from eventbase.sources.envelope import ENVELOPE
@@ -75,15 +74,17 @@ def ingest_batch(
         messages.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         registry = store.registry()
-        keys = registered(messages.select("key"), registry).distinct()
-        present = configs_of(with_key(registry).join(keys, "key", "left_semi"))
-        store.write_batch("progress", sinks.progress(messages), batch)
+        store.write_batch("progress", sinks.progress(messages, registry), batch)
+        counts = store.keys_in_batch(batch)
+        present = configs_of(with_key(registry).filter(F.col("key").isin([k for k in counts if k])))
 
         usable, conflicting = (present, []) if options.sink else _split_by_schema(store, present)
-        bad = sinks.all_rejected(unregistered(messages, registry), sinks.UNREGISTERED)
+        bad: list[DataFrame] = []
+        if None in counts:
+            bad.append(sinks.all_rejected(unregistered(messages, registry), sinks.UNREGISTERED))
         if conflicting:
             refused = messages.filter(F.col("key").isin([c.key for c in conflicting]))
-            bad = bad.unionByName(sinks.all_rejected(refused, sinks.SCHEMA_CONFLICT))
+            bad.append(sinks.all_rejected(refused, sinks.SCHEMA_CONFLICT))
 
         groups: dict[tuple, list[EventConfig]] = {}
         for config in usable:
@@ -91,7 +92,7 @@ def ingest_batch(
         inputs = _inputs_by_group(messages, list(groups.values()), landing, store, options)
 
         rows: list[tuple[EventConfig, DataFrame]] = []
-        parts: dict[int, list[DataFrame]] = {}
+        parts: dict[int, list[DataFrame | None]] = {}
 
         def parse(n: int, configs: list[EventConfig], group_messages: DataFrame) -> None:
             parsed = parse_events(
@@ -109,16 +110,23 @@ def ingest_batch(
         _at_once(store.spark, [partial(parse, n, g, m) for n, (g, m) in pairs], options.parallel_tables)
         for n, configs in enumerate(groups.values()):
             failed, *by_table = parts[n]
-            bad = bad.unionByName(sinks.rejected(failed))
-            rows += [(c, sinks.table_rows(p, c)) for c, p in zip(configs, by_table)]
-
-        if options.on_bad == "fail":
-            first = bad.select("reason", "key").first()
-            if first:
-                raise BadRecords(f"batch {batch}: {first['reason']} under key {first['key']!r}")
+            if failed is not None:
+                bad.append(sinks.rejected(failed))
+            for config, part in zip(configs, by_table):
+                if part is not None:
+                    rows.append((config, sinks.table_rows(part, config)))
+                elif not options.sink:
+                    store.table(config).drop_batch(batch)
+
+        if bad and options.on_bad == "fail":
+            first = bad[0].select("reason", "key").first()
+            raise BadRecords(f"batch {batch}: {first.reason} under key {first.key!r}")
 
         def quarantine() -> None:
-            store.write_batch("quarantine", bad, batch)
+            if bad:
+                store.write_batch("quarantine", reduce(DataFrame.unionByName, bad), batch)
+            else:
+                store.drop_batch("quarantine", batch)
 
         def upsert(config: EventConfig, table_rows: DataFrame) -> None:
             if options.sink:
@@ -194,8 +202,11 @@ def _inputs_by_group(
 
 def _laid_out(
     parsed: DataFrame, configs: list[EventConfig], path: str, store: EventStore
-) -> list[DataFrame]:
-    """Parsed records written once: the rejected ones, then those of each event type."""
+) -> list[DataFrame | None]:
+    """Parsed records written once: the rejected ones, then those of each event type.
+
+    None stands for a part without records.
+    """
     slot = F.when(F.col("reason").isNotNull(), F.lit(-1))
     for n, config in enumerate(configs):
         slot = slot.when(F.col("key") == config.key, F.lit(n))
@@ -208,10 +219,10 @@ def _laid_out(
     return [_folder(store, f"{path}/__slot={n}", parsed.schema) for n in slots]
 
 
-def _folder(store: EventStore, path: str, schema: T.StructType) -> DataFrame:
-    """A folder just written, or no rows where there was nothing to write."""
+def _folder(store: EventStore, path: str, schema: T.StructType) -> DataFrame | None:
+    """A folder just written; None where there was nothing to write."""
     if not store.files.exists(path):
-        return empty(store.spark, schema)
+        return None
     return store.spark.read.schema(schema).parquet(path)
 
 

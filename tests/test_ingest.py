@@ -65,7 +65,10 @@ def test_batch_goes_to_tables_and_quarantine(spark, store):
         ("unregistered", 4, []), ("unregistered", 5, []),
     ]
     assert bad.filter("reason = 'malformed'").first()["value"] == "{bad"
-    assert sorted(tuple(r)[1:5] for r in store.progress().collect()) == [(0, 1, 5, 5), (1, 1, 4, 4)]
+    covered = store.progress().select("partition", "key", "min_offset", "max_offset", "messages").collect()
+    assert sorted(map(str, map(tuple, covered))) == sorted(
+        map(str, [(0, "shop|order", 1, 2, 2), (0, "shop|visit", 3, 3, 1), (0, None, 4, 5, 2), (1, "shop|order", 1, 4, 4)])
+    )
 
 
 def test_repeating_a_batch_changes_nothing(spark, store):
@@ -73,7 +76,26 @@ def test_repeating_a_batch_changes_nothing(spark, store):
         ingest_batch(messages(spark, ROWS), "b1", store)
     assert len(content(store, ORDERS)) == 2
     assert store.quarantine().count() == 5
-    assert store.progress().count() == 2
+    assert store.progress().count() == 4
+
+
+def test_a_repeated_batch_takes_back_what_is_no_longer_good(spark, store):
+    batch = messages(spark, [("shop|visit", {"id": 1, "page": "p"}, 0, 1)])
+    ingest_batch(batch, "b1", store)
+    assert content(store, VISITS) == [(1, "p")]
+    blank = messages(spark, [("shop|visit", "", 0, 1)])
+    ingest_batch(blank, "b1", store)
+    assert content(store, VISITS) == [] and store.quarantine().count() == 1
+
+
+def test_a_repeated_batch_forgets_what_is_no_longer_bad(spark, store):
+    batch = messages(spark, [("shop|late", {"id": 1, "page": "p"}, 0, 1)])
+    ingest_batch(batch, "b1", store)
+    assert store.quarantine().count() == 1
+    late = EventConfig("shop", "late", fields(id="long", page="string"), ["id"])
+    store.register([late])
+    ingest_batch(batch, "b1", store)
+    assert store.quarantine().count() == 0 and content(store, late) == [(1, "p")]
 
 
 @pytest.mark.parametrize("cuts", [1, 3, 9])
