@@ -25,6 +25,8 @@ ORDER = "__order"
 _BUCKET = "__bucket"
 # Keys of deltas are broadcast up to this many bytes.
 KEY_LIMIT = 64 << 20
+# State files kept beside the newest; what they name is kept too.
+KEPT_STATES = 10
 
 
 def latest_by_key(rows: DataFrame, primary_key: Sequence[str], *also_partition_by: str) -> DataFrame:
@@ -86,12 +88,18 @@ class KeyedTable:
     def exists(self) -> bool:
         return bool(self._sequence())
 
-    def state(self) -> State:
+    def find_state(self) -> State | None:
         sequence = self._sequence()
         if not sequence:
-            raise FileNotFoundError(f"no table at {self.path}")
+            return None
         return State(**json.loads(self.files.read_text(self._state_file(sequence[-1]))))
 
+    def state(self) -> State:
+        state = self.find_state()
+        if state is None:
+            raise FileNotFoundError(f"no table at {self.path}")
+        return state
+
     def _state_file(self, number: int) -> str:
         return f"{self.path}/_states/{number:012d}.json"
 
@@ -99,6 +107,8 @@ class KeyedTable:
         sequence = self._sequence()
         number = sequence[-1] + 1 if sequence else 1
         self.files.publish_text(self._state_file(number), json.dumps(asdict(state)))
+        for old in sequence[:-KEPT_STATES]:
+            self.files.delete(self._state_file(old))
 
     def create(
         self,
@@ -190,7 +200,7 @@ class KeyedTable:
 
     # -- writing ---------------------------------------------------------------------
 
-    def upsert(self, rows: DataFrame, batch: str) -> None:
+    def upsert(self, rows: DataFrame, batch: str) -> State:
         """Apply one batch. Applying it again, in whole or after a crash, changes nothing."""
         state = self.state()
         check_columns(rows, [*T.StructType.fromJson(json.loads(state.schema)).fieldNames(), ORDER])
@@ -205,6 +215,7 @@ class KeyedTable:
         latest.write.mode("errorifexists").parquet(f"{self.path}/delta/{folder}")
         state.deltas[batch] = Delta(folder, written.get["rows"], written.get["key_bytes"])
         self._publish(state)
+        return state
 
     def drop_batch(self, batch: str) -> None:
         """Nothing to keep of this batch, whatever an earlier attempt at it wrote."""
@@ -212,7 +223,7 @@ class KeyedTable:
         if state.deltas.pop(batch, None):
             self._publish(state)
 
-    def compact(self, keep_states: int = 20) -> None:
+    def compact(self, keep_states: int = KEPT_STATES) -> None:
         """Fold the deltas into the base, rewriting only the buckets they touch."""
         state = self.state()
         if self._delta_folders(state):

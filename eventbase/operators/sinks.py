@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventbase.operators.keyed_table import ORDER, check_columns
+from eventbase.operators.keyed_table import ORDER
 from eventbase.operators.registry import EventConfig, with_key
 from eventbase.sources.envelope import ENVELOPE
 
@@ -16,14 +16,16 @@ NULL_KEY = "null_key"
 SCHEMA_CONFLICT = "schema_conflict"
 
 
-def order_struct(config: EventConfig) -> Column:
-    """What makes one write later than another: declared columns, then arrival order."""
-    declared = {column: F.col("row").getField(name).cast(dtype) for name, column, dtype in config.columns}
-    return F.struct(
-        *[declared[c].alias(c) for c in config.order_by],
-        F.col("partition").alias("__partition"),
-        F.col("offset").alias("__offset"),
-    )
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _column(name: str, column: str, dtype: T.DataType, config: EventConfig) -> str:
+    """SQL of one table column taken from the parsed row."""
+    value = f"row.{_quoted(name)}"
+    if config.schema[name].dataType != dtype:
+        value = f"CAST({value} AS {dtype.simpleString()})"
+    return value
 
 
 def order_schema(config: EventConfig) -> T.StructType:
@@ -37,14 +39,19 @@ def order_schema(config: EventConfig) -> T.StructType:
     )
 
 
-def table_rows(parsed: DataFrame, config: EventConfig) -> DataFrame:
-    """Good records of one event type as typed table columns, bound by name."""
-    rows = parsed.filter("reason is null").select(
-        *[F.col("row").getField(n).cast(dtype).alias(column) for n, column, dtype in config.columns],
-        order_struct(config).alias(ORDER),
+def table_rows(records: DataFrame, config: EventConfig) -> DataFrame:
+    """Good records of one event type as typed table columns, bound by name.
+
+    The order column says which write of a key is the later one: by the declared columns,
+    then by arrival.
+    """
+    values = {column: _column(name, column, dtype, config) for name, column, dtype in config.columns}
+    declared = [f"{values[c]} AS {_quoted(c)}" for c in config.order_by]
+    order = ", ".join([*declared, "`partition` AS __partition", "`offset` AS __offset"])
+    return records.selectExpr(
+        *[f"{value} AS {_quoted(column)}" for column, value in values.items()],
+        f"struct({order}) AS {ORDER}",
     )
-    check_columns(rows, [*config.table_schema.fieldNames(), ORDER])
-    return rows
 
 
 def null_key(config: EventConfig) -> Column:

@@ -72,13 +72,14 @@ class EventStore:
         Any other change, of the key or the order of writes too, is a ValueError.
         """
         table = self.table(config)
-        if table.exists():
-            state = table.state()
+        state = table.find_state()
+        if state:
             if state.primary_key != list(config.primary_key):
                 raise ValueError(f"{config.table_name} has the primary key {state.primary_key}")
             if state.order_schema != order_schema(config).json():
                 raise ValueError(f"{config.table_name} orders its writes by {state.order_schema}")
-            table.add_columns(config.table_schema)
+            if state.schema != config.table_schema.json():
+                table.add_columns(config.table_schema)
             return table
         return table.create(
             config.table_schema, config.primary_key, order_schema(config), buckets=self.buckets

@@ -133,8 +133,7 @@ def ingest_batch(
                 options.sink(config, table_rows, batch)
                 return
             table = store.table(config)
-            table.upsert(table_rows, batch)
-            if len(table.state().deltas) >= options.compact_every:
+            if len(table.upsert(table_rows, batch).deltas) >= options.compact_every:
                 table.compact()
 
         writes = [quarantine, *[partial(upsert, c, r) for c, r in rows]]

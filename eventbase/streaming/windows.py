@@ -77,8 +77,7 @@ def write_results(
         if not table.exists():
             order = rows.schema[ORDER].dataType
             table.create(rows.drop(ORDER).schema, ["window_start", *keys], order)
-        table.upsert(rows, f"{batch_id:09d}")
-        if len(table.state().deltas) >= compact_every:
+        if len(table.upsert(rows, f"{batch_id:09d}").deltas) >= compact_every:
             table.compact()
 
     writer = result.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
