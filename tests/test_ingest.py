@@ -1,8 +1,10 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from eventbase.operators.keyed_table import ORDER, KeyedTable, latest_by_key
 from eventbase.operators.registry import EventConfig, struct_from_pairs
 from eventbase.operators.store import EventStore
 from eventbase.sources.envelope import ENVELOPE, stream_envelope_folder
@@ -190,3 +192,43 @@ def test_a_failed_table_fails_the_batch(spark, store):
 
     with pytest.raises(OSError, match="database gone"):
         ingest_batch(messages(spark, ROWS), "b1", store, IngestOptions(sink=sink))
+
+
+def test_a_crash_between_two_tables_is_made_good_by_the_restart(spark, store, tmp_path, monkeypatch):
+    """The stream dies after one table is written; its restart repeats the batch."""
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
+    messages(spark, ROWS).coalesce(1).write.parquet(source)
+    whole_upsert = KeyedTable.upsert
+
+    def dies_on_visits(table, rows, batch):
+        if table.path.endswith("shop_visit"):
+            raise OSError("executor lost")
+        return whole_upsert(table, rows, batch)
+
+    def run():
+        stream = stream_envelope_folder(spark, source)
+        run_ingest(stream, store, checkpoint=checkpoint, available_now=True).awaitTermination()
+
+    monkeypatch.setattr(KeyedTable, "upsert", dies_on_visits)
+    with pytest.raises(StreamingQueryException):
+        run()
+    assert content(store, VISITS) == [] and len(content(store, ORDERS)) == 2
+    monkeypatch.setattr(KeyedTable, "upsert", whole_upsert)
+    run()
+    assert [r[:2] for r in content(store, ORDERS)] == [(1, 7.0), (2, 1.5)]
+    assert content(store, VISITS) == [(1, "p")]
+    assert store.quarantine().count() == 5
+    assert len(store.table(ORDERS).state().deltas) == 1
+
+
+def test_a_hot_key_is_reduced_before_the_shuffle(spark, store):
+    """A key with most of the rows crosses the shuffle once per task."""
+    rows = spark.range(2000).select(
+        F.when(F.col("id") < 1500, 7).otherwise(F.col("id")).alias("id"), F.struct(F.col("id").alias("n")).alias(ORDER)
+    )
+    latest = latest_by_key(rows.repartition(4), ["id"])
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    partial_limit, shuffle = plan.index("Partial"), plan.index("Exchange hashpartitioning(id")
+    assert shuffle < partial_limit  # printed from the top: the limit feeds the shuffle
+    assert latest.count() == 501
+    assert latest.filter("id = 7").select(f"{ORDER}.n").first()[0] == 1499
