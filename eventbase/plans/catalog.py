@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventbase.functions.json_records import parse_events
-from eventbase.functions.keys import app_key_of, application_key, event_type_of, message_key
+from eventbase.functions.keys import app_key_of, application_key, event_type_of
 from eventbase.operators import analysis, gateway, registry
 from eventbase.operators.keyed_table import ORDER, KeyedTable
 from eventbase.operators.registry import EventConfig
 from eventbase.plans.inputs import (
-    APP, EVENT_SCHEMA, ORDER_CONFIG, ORDER_SCHEMA, event_body, event_configs, event_messages, fields,
+    APP, EVENT_SCHEMA, ORDER_SCHEMA, event_body, event_configs, event_messages, fields,
     filled_store, new_store, no_zone, order_messages, parsed, table, time_text,
 )
 from eventbase.session import shared_folder
