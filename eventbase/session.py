@@ -37,6 +37,9 @@ def create_session(master: str | None = None, app_name: str = "eventbase", **set
     return prepare(builder.getOrCreate())
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for written tables and checkpoints, visible to every executor.
 
@@ -47,6 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="eventbase-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        application = spark.sparkContext.applicationId
+        if application not in _local_folders:
+            _local_folders[application] = tempfile.mkdtemp(prefix="eventbase-")
+        root = _local_folders[application]
     return f"{root.rstrip('/')}/eventbase-{uuid.uuid4().hex}"

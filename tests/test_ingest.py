@@ -8,7 +8,7 @@ from eventbase.operators.keyed_table import ORDER, KeyedTable, latest_by_key
 from eventbase.operators.registry import EventConfig, struct_from_pairs
 from eventbase.operators.store import EventStore
 from eventbase.sources.envelope import ENVELOPE, stream_envelope_folder
-from eventbase.streaming.ingest import BadRecords, IngestOptions, ingest_batch, run_ingest
+from eventbase.streaming.ingest import BadRecords, IngestOptions, ingest_batch, print_stream, run_ingest
 
 def fields(**types):
     return struct_from_pairs(types.items())
@@ -232,3 +232,13 @@ def test_a_hot_key_is_reduced_before_the_shuffle(spark, store):
     assert shuffle < partial_limit  # printed from the top: the limit feeds the shuffle
     assert latest.count() == 501
     assert latest.filter("id = 7").select(f"{ORDER}.n").first()[0] == 1499
+
+
+def test_messages_can_be_shown_on_the_console(spark, tmp_path):
+    messages(spark, ROWS).write.parquet(str(tmp_path / "in"))
+    shown = print_stream(stream_envelope_folder(spark, str(tmp_path / "in")))
+    try:
+        shown.processAllAvailable()
+        assert sum(p["numInputRows"] for p in shown.recentProgress) == len(ROWS)
+    finally:
+        shown.stop()

@@ -10,6 +10,7 @@ from eventbase.operators.keyed_table import ORDER, KeyedTable, check_columns
 from eventbase.operators.publish import to_messages
 from eventbase.operators.registry import EventConfig, storable, struct_from_pairs
 from eventbase.operators.store import EventStore
+from eventbase.session import shared_folder
 from eventbase.sources import kafka, tables
 from eventbase.sources.envelope import envelope
 from eventbase.streaming.ingest import IngestOptions, ingest_batch
@@ -381,3 +382,20 @@ def test_odd_column_names(spark, tmp_path):
         table.compact()
         table.upsert(data, batch)
     assert [tuple(r) for r in table.read().collect()] == [(1, "b")]
+
+
+class _Session:
+    """Only what ``shared_folder`` looks at."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})()
+
+
+def test_shared_folder():
+    assert shared_folder(_Session("yarn", "hdfs:///shared/")).startswith("hdfs:///shared/eventbase-")
+    local = _Session("local[2]")
+    a, b = shared_folder(local), shared_folder(local)
+    assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("yarn"))
