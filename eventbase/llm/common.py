@@ -51,3 +51,18 @@ def arrow_rows(
 
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def arrow_filter(df: DataFrame, columns: list[str], keep: Callable[[list[list]], list[bool]], at_once: int = 64) -> DataFrame:
+    """The rows for which ``keep`` says so, seeing the named columns of a few rows at a time."""
+    places = [df.columns.index(c) for c in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, at_once):
+                part = batch.slice(start, at_once)
+                kept = part.filter(pa.array(keep([part.column(i).to_pylist() for i in places]), pa.bool_()))
+                if kept.num_rows:
+                    yield kept
+
+    return df.mapInArrow(run, df.schema)

@@ -5,16 +5,33 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventbase.llm import bpe
+from eventbase.llm import bpe, lines, mixing, simhash
 from eventbase.llm.common import load
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their groups of near-duplicates."""
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a mix of one and a half times the corpus takes of each document."""
+    return mixing.taken(mixing.mix(load(spark, sf_dir, "documents")))
+
+
+def op9_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the line labelling's verdict for every document."""
+    docs = load(spark, sf_dir, "documents")
+    return lines.judge(docs, lines.train(docs, load(spark, sf_dir, "labels")))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and of the decoded text, for every document."""
     return bpe.round_trip(load(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = [op10_bpe]
+QUERIES = [op3_simhash, op4_mixing, op9_line_labels, op10_bpe]
 SQL: dict[str, str] = {}
