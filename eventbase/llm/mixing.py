@@ -216,3 +216,17 @@ def taken(mixed: DataFrame) -> DataFrame:
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.size("uses")).cast("long").alias("taken")
     )
+
+
+def repeat(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 17) -> DataFrame:
+    """The documents as the mix takes them: each row as often as it has uses, columns unchanged.
+
+    How often is joined back by id, source and size; of rows that agree in all three each is taken as the first of them.
+    """
+    mixed = mix(docs, doc_id, text, source, seed)
+    times = mixed.groupBy("doc_id", "source", "size").agg(F.max(F.size("uses")).alias("times")).filter("times > 0")
+    times = settle(times.select(*(F.col(c).alias(f"_{c}") for c in times.columns)))
+    same = docs[doc_id].eqNullSafe(times["_doc_id"]) & docs[source].eqNullSafe(times["_source"])
+    sized = docs.join(times, same & (n_words(docs[text]) == times["_size"]))
+    again = sized.withColumn("_nth", F.explode(F.sequence(F.lit(1), "_times")))
+    return again.select(*(docs[c] for c in docs.columns))

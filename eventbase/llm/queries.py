@@ -5,12 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventbase.llm import bpe, lines, mixing, simhash
+from eventbase.llm import bpe, html, lines, mixing, passages, simhash
 from eventbase.llm.common import load
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(load(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and their groups of near-duplicates."""
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
@@ -22,6 +27,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(load(spark, sf_dir, "documents")))
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of fifty words or more that a document shares with one of a smaller id."""
+    return passages.passages(load(spark, sf_dir, "documents"))
+
+
 def op9_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the line labelling's verdict for every document."""
     docs = load(spark, sf_dir, "documents")
@@ -33,5 +43,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(load(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = [op3_simhash, op4_mixing, op9_line_labels, op10_bpe]
+QUERIES = [op1_site_style_tree, op3_simhash, op4_mixing, op6_passages, op9_line_labels, op10_bpe]
 SQL: dict[str, str] = {}
