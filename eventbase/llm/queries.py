@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from eventbase.llm import bpe, html, lines, mixing, passages, quality, simhash
+from eventbase.llm import bpe, embeddings, html, lines, mixing, passages, quality, simhash
 from eventbase.llm.common import load
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +32,11 @@ def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.passages(load(spark, sf_dir, "documents"))
 
 
+def op7_quantised_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of near-duplicate vectors."""
+    return embeddings.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
 def op8_fourier_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A calibrated quality score for every document."""
     measured = quality.measure(load(spark, sf_dir, "documents"))
@@ -49,5 +54,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(load(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = [op1_site_style_tree, op3_simhash, op4_mixing, op6_passages, op8_fourier_ridge, op9_line_labels, op10_bpe]
+QUERIES = [op1_site_style_tree, op3_simhash, op4_mixing, op6_passages, op7_quantised_codes, op8_fourier_ridge, op9_line_labels, op10_bpe]
 SQL: dict[str, str] = {}
