@@ -47,6 +47,9 @@ EPOCH_UNITS = {
 BLANK = "blank"
 MALFORMED = "malformed"
 BAD_VALUE = "bad_value"
+EMPTY_LIST = "empty_list"
+# Column with the place of a record in a root list, when those are taken apart.
+ELEMENT = "element"
 
 _CORRUPT = "__unparsed"
 _TEMPORAL = (T.DateType, T.TimestampType)
@@ -67,7 +70,8 @@ def parse_events(
     """Add ``row`` (typed struct), ``reason`` and ``bad_fields`` to each message.
 
     A good record has a row and a null reason. A bad one has a null row, a reason and
-    the names of the top-level fields at fault; its text stays in ``body``.
+    the names of the top-level fields at fault; its text stays in ``body``. With ``explode_root_array``
+    a list at the root gives a record per element and its place in ``element``; an empty one is rejected.
     """
     if epoch_unit not in EPOCH_UNITS:
         raise ValueError(f"epoch_unit must be one of {sorted(EPOCH_UNITS)}, not {epoch_unit!r}")
@@ -83,14 +87,21 @@ def parse_events(
     )
     kept = [F.col(f"`{c}`") for c in df.columns]
     if explode_root_array:
-        df = df.withColumn(body, F.explode(steps.root_elements))
-    return (
+        df = df.select(*kept, F.posexplode_outer(steps.root_elements).alias(ELEMENT, "__item"))
+        whole = F.when(F.col(ELEMENT).isNull(), F.col(f"`{body}`")).otherwise(F.col("__item"))
+        df = df.withColumn(body, whole).drop("__item")
+        kept.append(F.col(ELEMENT))
+    parsed = (
         df.withColumn("__fast", steps.first_reading)
         .withColumns(steps.parts)
         .withColumns(steps.values)
         .withColumn("__p", steps.outcome)
         .select(*kept, steps.result)
     )
+    if explode_root_array:
+        empty = F.when(F.col(ELEMENT).isNull(), F.lit(EMPTY_LIST)).otherwise(F.col("reason"))
+        parsed = parsed.withColumn("reason", empty)
+    return parsed
 
 
 @dataclass(frozen=True)
@@ -168,6 +179,9 @@ def _steps(
     suspect = fast.getField(_CORRUPT).isNotNull()
     # What the first pass could read for certain needs no second look.
     settled = {}
+    repeats = rules.may_repeat(F.col(f"`{body}`"), schema)
+    if repeats is not None:
+        suspect = suspect | F.coalesce(repeats, F.lit(False))
     for f in schema:
         odd = rules.has_special(fast.getField(f.name), f.dataType)
         if odd is not None:
@@ -225,6 +239,18 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
+def _names_above(dtype: T.DataType, kinds: tuple[type, ...]) -> set[str]:
+    """Names of struct fields that are, or hold, a value of one of the kinds."""
+    if isinstance(dtype, T.StructType):
+        held = [f for f in dtype if _contains(f.dataType, kinds)]
+        return {f.name for f in held}.union(*(_names_above(f.dataType, kinds) for f in held))
+    if isinstance(dtype, T.ArrayType):
+        return _names_above(dtype.elementType, kinds)
+    if isinstance(dtype, T.MapType):
+        return _names_above(dtype.valueType, kinds)
+    return set()
+
+
 def _contains(dtype: T.DataType, kinds: tuple[type, ...]) -> bool:
     if isinstance(dtype, T.StructType):
         return any(_contains(f.dataType, kinds) for f in dtype)
@@ -258,7 +284,8 @@ class _Rules:
 
     def temporal(self, kind: Column, text: Column, dtype: T.DataType) -> Column:
         """Value of a date or timestamp from its token type and text; null when it has none."""
-        as_written = F.when(F.contains(text, F.lit("-")), text.try_cast(dtype))
+        # Spark would give a time alone today's date.
+        as_written = F.when(text.rlike(r"^\s*[+-]?\d{4,}-"), text.try_cast(dtype))
         if isinstance(dtype, T.DateType):
             days = F.when(text.rlike(r"^[+]?\d+$"), text.try_cast("int"))
             return F.when(kind == "STRING", F.coalesce(as_written, F.date_from_unix_date(days)))
@@ -373,15 +400,27 @@ class _Rules:
         odd = self.has_special(col, dtype)
         return present if odd is None else present & ~F.coalesce(odd, F.lit(False))
 
+    def may_repeat(self, text: Column, schema: T.StructType) -> Column | None:
+        """True where the name of a date or timestamp field, or of a field that holds one, stands in a text twice.
+
+        The first pass sees the last of several values alone, and does not tell a bad date before it.
+        """
+        found = None
+        for name in sorted(_names_above(schema, _TEMPORAL)):
+            pattern = rf"""(?<![A-Za-z0-9_])\Q{name}\E["']?\s*:"""
+            twice = F.regexp_count(text, F.lit(pattern)) > 1
+            found = twice if found is None else found | twice
+        return found
+
     # -- exact pass ------------------------------------------------------------------
 
     def exact_record(
         self, text: Column, schema: T.StructType, settled: Mapping[str, tuple[Column, Column]]
     ) -> Column:
         return _let(
-            self._two_readings(text, schema, corrupt=True),
+            self._two_readings(text, corrupt=True),
             lambda r: F.when(
-                r.getField("a").getField(_CORRUPT).isNotNull(),
+                r.getField(_CORRUPT).isNotNull(),
                 F.struct(
                     F.lit(None).cast(schema).alias("row"),
                     F.lit(True).alias("malformed"),
@@ -406,12 +445,22 @@ class _Rules:
             ),
         )
 
-    def _two_readings(self, text: Column, schema: T.StructType, corrupt: bool = False) -> Column:
-        texts = T.StructType([T.StructField(n, T.StringType()) for n in schema.fieldNames()])
-        tokens = T.StructType([T.StructField(n, T.VariantType()) for n in schema.fieldNames()])
-        return F.struct(
-            self.from_json(text, texts, corrupt).alias("a"), self.from_json(text, tokens).alias("k")
+    def _two_readings(self, text: Column, corrupt: bool = False) -> Column:
+        """An object's entries as (name, text, token), repeated names included; whether it is broken."""
+        by_text = F.map_entries(self.from_json(text, T.MapType(T.StringType(), T.StringType())))
+        by_token = F.map_entries(self.from_json(text, T.MapType(T.StringType(), T.VariantType())))
+        entries = F.zip_with(
+            by_text,
+            by_token,
+            lambda a, k: F.struct(
+                a.getField("key").alias("n"), a.getField("value").alias("a"), k.getField("value").alias("k")
+            ),
         )
+        parts = [entries.alias("entries")]
+        if corrupt:
+            nothing = T.StructType([])
+            parts.append(self.from_json(text, nothing, corrupt=True).getField(_CORRUPT).alias(_CORRUPT))
+        return F.struct(*parts)
 
     def _exact_fields(
         self,
@@ -419,15 +468,30 @@ class _Rules:
         schema: T.StructType,
         settled: Mapping[str, tuple[Column, Column]] | None = None,
     ) -> Column:
-        a, k = readings.getField("a"), readings.getField("k")
-        fields = []
-        for f in schema:
-            found = self.exact(a.getField(f.name), k.getField(f.name), f.dataType)
-            if settled and f.name in settled:
-                known, outcome = settled[f.name]
-                found = F.when(known, outcome).otherwise(found)
-            fields.append(found.alias(f.name))
-        return F.struct(*fields)
+        """struct<v, bad> of each field: bad if any of its values is, else the last of them."""
+        entries = readings.getField("entries")
+        return F.struct(*[self._exact_field(entries, f, (settled or {}).get(f.name)).alias(f.name) for f in schema])
+
+    def _exact_field(self, entries: Column, f: T.StructField, settled: tuple[Column, Column] | None) -> Column:
+        nothing = F.struct(F.lit(None).cast(f.dataType).alias("v"), F.lit(False).alias("bad"))
+
+        def last_of(found: Column) -> Column:
+            decided = F.struct(
+                F.element_at(found, -1).getField("v").cast(f.dataType).alias("v"),
+                F.exists(found, lambda x: x.getField("bad")).alias("bad"),
+            )
+            return F.when(F.size(found) > 0, decided).otherwise(nothing)
+
+        def decide(own: Column) -> Column:
+            each = F.transform(own, lambda e: self.exact(e.getField("a"), e.getField("k"), f.dataType))
+            found = _let(each, last_of)
+            if settled is None:
+                return found
+            known, outcome = settled
+            # Of a repeated field the first pass may have kept a value that is not the last.
+            return F.when(known & (F.size(own) < 2), outcome).otherwise(found)
+
+        return _let(F.filter(entries, lambda e: e.getField("n") == f.name), decide)
 
     @staticmethod
     def _any_bad(fields: Column, schema: T.StructType) -> Column:
@@ -457,7 +521,7 @@ class _Rules:
 
         if isinstance(dtype, T.StructType):
             found = _let(
-                self._two_readings(text, dtype),
+                self._two_readings(text),
                 lambda r: _let(
                     self._exact_fields(r, dtype),
                     lambda fs: F.struct(

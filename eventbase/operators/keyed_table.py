@@ -1,10 +1,13 @@
 """Keyed tables on parquet files: upserts by primary key, last write wins.
 
 A batch costs what the batch weighs: it is reduced to one row per key and appended as a
-delta. Reading lays the deltas over the base; ``compact`` folds them in and rewrites only
-the buckets they touch. What a reader sees is named by the newest state file, which is
+delta. Reading lays the deltas over the base. ``compact`` joins deltas with deltas until they make up
+a share of the base, and only then folds them in, rewriting the buckets they touch; buckets that have
+outgrown their size are doubled in number. What a reader sees is named by the newest state file, which is
 published last and whole, so a lost job or executor leaves the table as it was.
-A table has one writer at a time.
+
+Nothing that a state names is deleted but by ``expire``, and that by age: a reader may go on with what it
+opened for as long as files are kept. A table has one writer at a time, compaction included.
 """
 
 from __future__ import annotations
@@ -25,8 +28,14 @@ ORDER = "__order"
 _BUCKET = "__bucket"
 # Keys of deltas are broadcast up to this many bytes.
 KEY_LIMIT = 64 << 20
-# State files kept beside the newest; what they name is kept too.
-KEPT_STATES = 10
+# Hours for which replaced states, and the files they name, are kept: longer than any query runs.
+KEPT_HOURS = 48.0
+# Deltas with fewer rows than this share of the base are joined with each other, not folded in.
+FOLD_SHARE = 0.1
+# Rows of a bucket (about 1 GB at 100 bytes) above which the number of buckets doubles.
+BUCKET_ROWS = 10_000_000
+# Rows that one task of a compaction takes, about.
+TASK_ROWS = 2_000_000
 
 
 def latest_by_key(rows: DataFrame, primary_key: Sequence[str], *also_partition_by: str) -> DataFrame:
@@ -54,6 +63,7 @@ class Delta:
     folder: str
     rows: int
     key_bytes: int  # size of its primary keys in memory, estimated from above
+    buckets: list[int] | None = None  # those it touches; None: not known
 
 
 @dataclass
@@ -64,6 +74,8 @@ class State:
     buckets: int
     base: dict[str, str] = field(default_factory=dict)  # bucket -> version folder
     deltas: dict[str, Delta] = field(default_factory=dict)  # by batch
+    base_rows: int = 0  # in all buckets, from above
+    runs: list[str] = field(default_factory=list)  # streams that have written, in order
 
     def __post_init__(self):
         self.deltas = {b: d if isinstance(d, Delta) else Delta(**d) for b, d in self.deltas.items()}
@@ -107,8 +119,6 @@ class KeyedTable:
         sequence = self._sequence()
         number = sequence[-1] + 1 if sequence else 1
         self.files.publish_text(self._state_file(number), json.dumps(asdict(state)))
-        for old in sequence[:-KEPT_STATES]:
-            self.files.delete(self._state_file(old))
 
     def create(
         self,
@@ -117,7 +127,7 @@ class KeyedTable:
         order_schema: T.StructType,
         buckets: int = 64,
     ) -> KeyedTable:
-        """An empty typed table. ``buckets`` should leave about 1 GB in each at full size."""
+        """An empty typed table. ``buckets`` is where it starts; compaction doubles them as the table grows."""
         if self.exists():
             raise FileExistsError(self.path)
         self.files.make_folder(f"{self.path}/_states")
@@ -158,25 +168,36 @@ class KeyedTable:
             if buckets is None or int(bucket) in buckets
         ]
 
-    def _delta_folders(self, state: State) -> list[str]:
-        return [f"{self.path}/delta/{d.folder}" for _, d in sorted(state.deltas.items()) if d.rows]
+    def _delta_folders(self, state: State, batches: Sequence[str] | None = None) -> list[str]:
+        return [
+            f"{self.path}/delta/{d.folder}"
+            for b, d in sorted(state.deltas.items())
+            if d.rows and (batches is None or b in batches)
+        ]
 
-    def _latest(self, state: State) -> DataFrame:
-        """One row per key over all deltas; a single delta is that already."""
-        rows = self._load(state, self._delta_folders(state))
-        one = len(self._delta_folders(state)) == 1
-        return rows if one else latest_by_key(rows, state.primary_key)
+    def _latest(self, state: State, batches: Sequence[str] | None = None) -> DataFrame:
+        """One row per key over all deltas, or those of the given batches; a single delta is that already."""
+        folders = self._delta_folders(state, batches)
+        rows = self._load(state, folders)
+        return rows if len(folders) == 1 else latest_by_key(rows, state.primary_key)
+
+    @staticmethod
+    def _bucket_of(state: State) -> Column:
+        return F.pmod(F.xxhash64(*map(_column, state.primary_key)), F.lit(state.buckets)).cast("int")
 
     def read(self, broadcast_limit: int = KEY_LIMIT, with_order: bool = False) -> DataFrame:
         """Current rows.
 
-        While the keys of the deltas are known to fit in ``broadcast_limit`` bytes, only the
-        base rows they name are compared with the deltas; all other base rows stream through
-        without a shuffle, and filters reach their scan. Beyond it everything is merged in
-        one shuffle on the key.
+        Buckets that no delta touches stream through. In the others, while the keys of the deltas are
+        known to fit in ``broadcast_limit`` bytes, only the base rows they name are compared with the
+        deltas; all other base rows are not shuffled, and filters reach their scan. Beyond it those
+        buckets are merged with the deltas in one shuffle on the key.
         """
         state = self.state()
-        deltas, bases = self._delta_folders(state), self._base_folders(state)
+        deltas = self._delta_folders(state)
+        touched = self._touched(state) if deltas else None
+        bases = self._base_folders(state, touched)
+        untouched = [f for f in self._base_folders(state) if f not in set(bases)] if touched is not None else []
         base = self._load(state, bases)
         if not deltas:
             rows = base
@@ -195,11 +216,31 @@ class KeyedTable:
             rows = base.join(keys, same, "left_anti").unionByName(
                 latest_by_key(contested, state.primary_key)
             )
+        if untouched:
+            rows = rows.unionByName(self._load(state, untouched))
         names = T.StructType.fromJson(json.loads(state.schema)).fieldNames()
         return rows.select(*[_column(n) for n in names], *([ORDER] if with_order else []))
 
+    @staticmethod
+    def _touched(state: State) -> set[int] | None:
+        """Buckets with rows in some delta; None if a delta does not say."""
+        found: set[int] = set()
+        for d in state.deltas.values():
+            if d.rows and d.buckets is None:
+                return None
+            found |= set(d.buckets or ())
+        return found
+
     # -- writing ---------------------------------------------------------------------
 
+    def run_number(self, stream: str) -> int:
+        """A number for a stream that writes here, greater than those of all streams before it."""
+        state = self.state()
+        if stream not in state.runs:
+            state.runs.append(stream)
+            self._publish(state)
+        return state.runs.index(stream)
+
     def upsert(self, rows: DataFrame, batch: str) -> State:
         """Apply one batch. Applying it again, in whole or after a crash, changes nothing."""
         state = self.state()
@@ -210,10 +251,14 @@ class KeyedTable:
         for k in state.primary_key:
             width = width + F.coalesce(F.octet_length(_column(k).cast("string")), F.lit(0))
         latest = latest_by_key(rows, state.primary_key).observe(
-            written, F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("key_bytes")
+            written,
+            F.count("*").alias("rows"),
+            F.coalesce(F.sum(width), F.lit(0)).alias("key_bytes"),
+            F.collect_set(self._bucket_of(state)).alias("buckets"),  # at most `buckets` numbers
         )
         latest.write.mode("errorifexists").parquet(f"{self.path}/delta/{folder}")
-        state.deltas[batch] = Delta(folder, written.get["rows"], written.get["key_bytes"])
+        found = written.get
+        state.deltas[batch] = Delta(folder, found["rows"], found["key_bytes"], sorted(found["buckets"]))
         self._publish(state)
         return state
 
@@ -223,44 +268,101 @@ class KeyedTable:
         if state.deltas.pop(batch, None):
             self._publish(state)
 
-    def compact(self, keep_states: int = KEPT_STATES) -> None:
-        """Fold the deltas into the base, rewriting only the buckets they touch."""
+    def compact(
+        self,
+        keep: Sequence[str] = (),
+        fold_share: float = FOLD_SHARE,
+        bucket_rows: int = BUCKET_ROWS,
+        task_rows: int = TASK_ROWS,
+    ) -> None:
+        """Make reading cheaper; the rows stay the same.
+
+        Deltas that hold less than ``fold_share`` of the base's rows are joined into one. More of them are folded
+        into the base, rewriting the buckets they touch, or all if the number of buckets is doubled.
+        Batches named in ``keep`` stay deltas: one that is not committed may be repeated and must then be replaceable.
+        """
         state = self.state()
-        if self._delta_folders(state):
-            bucket = F.pmod(F.xxhash64(*map(_column, state.primary_key)), F.lit(state.buckets)).cast("int")
-            deltas = self._load(state, self._delta_folders(state))
-            touched = [
-                r[0] for r in deltas.select(bucket.alias(_BUCKET)).distinct().collect()
-            ]  # at most `buckets` numbers
-            old = self._load(state, self._base_folders(state, touched))
-            # Both sides hold a key once, so buckets are even and one shuffle serves the
-            # comparison and the layout alike.
-            rows = old.unionByName(self._latest(state))
-            rows = rows.withColumn(_BUCKET, bucket).repartition(_BUCKET)
-            version = uuid.uuid4().hex[:12]
-            (
-                latest_by_key(rows, state.primary_key, _BUCKET)
-                .write.partitionBy(_BUCKET)
-                .parquet(f"{self.path}/base/{version}")
-            )
+        batches = [b for b, d in state.deltas.items() if d.rows and b not in keep]
+        rows = sum(state.deltas[b].rows for b in batches)
+        if not batches:
+            return
+        if rows < fold_share * state.base_rows:
+            if len(batches) > 1:
+                self._join_deltas(state, batches)
+            return
+        buckets = state.buckets
+        while state.base_rows + rows > bucket_rows * buckets:
+            buckets *= 2
+        self._fold(state, batches, buckets, task_rows)
+
+    def rewrite(self, task_rows: int = TASK_ROWS) -> None:
+        """Fold everything into a base of one folder."""
+        state = self.state()
+        batches = [b for b, d in state.deltas.items() if d.rows]
+        if batches or len(set(state.base.values())) > 1:
+            self._fold(state, batches, state.buckets, task_rows, whole=True)
+
+    def _join_deltas(self, state: State, batches: list[str]) -> None:
+        folder = f"joined-{uuid.uuid4().hex[:12]}"
+        self._latest(state, batches).write.mode("errorifexists").parquet(f"{self.path}/delta/{folder}")
+        parts = [state.deltas.pop(b) for b in batches]
+        known = all(d.buckets is not None for d in parts)
+        buckets = sorted(set().union(*(d.buckets for d in parts))) if known else None
+        # rows and key bytes are bounded from above: a key may be in several of them
+        state.deltas[folder] = Delta(folder, sum(d.rows for d in parts), sum(d.key_bytes for d in parts), buckets)
+        self._publish(state)
+
+    def _fold(self, state: State, batches: list[str], buckets: int, task_rows: int, whole: bool = False) -> None:
+        rows = sum(state.deltas[b].rows for b in batches)
+        if buckets == state.buckets and not whole:
+            bucket = self._bucket_of(state)
+            deltas = self._load(state, self._delta_folders(state, batches))
+            touched = [r[0] for r in deltas.select(bucket.alias(_BUCKET)).distinct().collect()]  # at most `buckets` numbers
+        else:
+            touched = None
+            state.buckets = buckets
+            bucket = self._bucket_of(state)
+        old = self._load(state, self._base_folders(state, touched))
+        # Both sides hold a key once, so buckets are even, and so are the parts that tasks take of them.
+        merged = (old.unionByName(self._latest(state, batches)) if batches else old).withColumn(_BUCKET, bucket)
+        parts = max(1, -(-(state.base_rows + rows) // (buckets * task_rows)))
+        part = F.pmod(F.xxhash64(F.lit(1), *map(_column, state.primary_key)), F.lit(parts))
+        merged = merged.withColumn("__part", part)
+        n = (buckets if touched is None else len(touched)) * parts
+        merged = latest_by_key(merged.repartition(n, _BUCKET, "__part"), state.primary_key, _BUCKET, "__part").drop("__part")
+        version = uuid.uuid4().hex[:12]
+        merged.write.option("partitionOverwriteMode", "static").partitionBy(_BUCKET).parquet(f"{self.path}/base/{version}")
+        if touched is None:
+            found = self.files.names(f"{self.path}/base/{version}")
+            state.base = {n.split("=")[1]: version for n in found if n.startswith(f"{_BUCKET}=")}
+            for d in state.deltas.values():
+                d.buckets = None  # they named buckets of the old number
+        else:
             state.base |= {str(b): version for b in touched}
-            state.deltas = {}
-            self._publish(state)
-        self._expire(keep_states)
+        for b in batches:
+            del state.deltas[b]
+        state.base_rows += rows  # from above: updates are counted as new rows
+        self._publish(state)
 
-    def _expire(self, keep_states: int) -> None:
-        """Remove old states, and folders that no remaining state names."""
+    def expire(self, keep_hours: float = KEPT_HOURS) -> None:
+        """Remove what was replaced more than ``keep_hours`` ago. To be run apart from reading and writing, now and then.
+
+        The newest state stays whatever its age; files it or a kept state names stay, and so does
+        everything younger, which may belong to a batch that is being written.
+        """
         sequence = self._sequence()
-        for number in sequence[:-keep_states]:
+        states = self.files.ages(f"{self.path}/_states")
+        # A state was in use until the next one was written: its age counts from there.
+        ended = {n: states[f"{m:012d}.json"] for n, m in zip(sequence, sequence[1:])}
+        for number in [n for n, age in ended.items() if age >= keep_hours]:
             self.files.delete(self._state_file(number))
-        used_bases, used_deltas = set(), set()
-        for number in sequence[-keep_states:]:
+        used: set[str] = set()
+        for number in self._sequence():
             state = State(**json.loads(self.files.read_text(self._state_file(number))))
-            used_bases |= set(state.base.values())
-            used_deltas |= {d.folder for d in state.deltas.values()}
-        for kind, used in (("base", used_bases), ("delta", used_deltas)):
-            for name in self.files.names(f"{self.path}/{kind}"):
-                if name not in used:
+            used |= set(state.base.values()) | {d.folder for d in state.deltas.values()}
+        for kind in ("base", "delta"):
+            for name, age in self.files.ages(f"{self.path}/{kind}").items():
+                if name not in used and age >= keep_hours:
                     self.files.delete(f"{self.path}/{kind}/{name}")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventbase.functions.json_records import ELEMENT
 from eventbase.operators.keyed_table import ORDER
 from eventbase.operators.registry import EventConfig, with_key
 from eventbase.sources.envelope import ENVELOPE
@@ -33,21 +34,25 @@ def order_schema(config: EventConfig) -> T.StructType:
     return T.StructType(
         [
             *[T.StructField(c, types[c]) for c in config.order_by],
+            T.StructField("__epoch", T.IntegerType()),
             T.StructField("__partition", T.IntegerType()),
             T.StructField("__offset", T.LongType()),
+            T.StructField("__element", T.IntegerType()),
         ]
     )
 
 
-def table_rows(records: DataFrame, config: EventConfig) -> DataFrame:
+def table_rows(records: DataFrame, config: EventConfig, source_epoch: int = 0) -> DataFrame:
     """Good records of one event type as typed table columns, bound by name.
 
     The order column says which write of a key is the later one: by the declared columns,
-    then by arrival.
+    then by arrival: the epoch of the source, partition, offset, and the place in a list of records.
     """
     values = {column: _column(name, column, dtype, config) for name, column, dtype in config.columns}
     declared = [f"{values[c]} AS {_quoted(c)}" for c in config.order_by]
-    order = ", ".join([*declared, "`partition` AS __partition", "`offset` AS __offset"])
+    element = f"`{ELEMENT}`" if ELEMENT in records.columns else "0"
+    arrival = [f"{source_epoch:d} AS __epoch", "`partition` AS __partition", "`offset` AS __offset", f"{element} AS __element"]
+    order = ", ".join([*declared, *arrival])
     return records.selectExpr(
         *[f"{value} AS {_quoted(column)}" for column, value in values.items()],
         f"struct({order}) AS {ORDER}",

@@ -95,12 +95,20 @@ class EventStore:
         """Nothing to keep for this batch, whatever an earlier attempt at it wrote."""
         self.files.delete(f"{self.root}/{name}/batch={batch}")
 
-    def keys_in_batch(self, batch: str) -> dict[str | None, int]:
-        """Messages per registered key of a batch; None stands for all that are not registered."""
-        covered = self.spark.read.schema(PROGRESS).parquet(f"{self.root}/progress/batch={batch}")
+    def keys_in(self, covered: DataFrame) -> dict[str | None, int]:
+        """Messages per registered key, from progress rows; None stands for all that are not registered."""
         counts = covered.groupBy("key").agg(F.sum("messages").alias("n"))
         return {r["key"]: r["n"] for r in counts.collect()}  # one row per registered key
 
+    def maintain(self, keep_hours: float = 48.0, compact: bool = True) -> None:
+        """Upkeep of all tables, to be run beside readers but not beside a writer."""
+        for config in self.configs():
+            table = self.table(config)
+            if table.exists():
+                if compact:
+                    table.compact()
+                table.expire(keep_hours)
+
     def _read_batches(self, name: str, schema: T.StructType) -> DataFrame:
         if not self.files.names(f"{self.root}/{name}"):
             return empty(self.spark, schema)

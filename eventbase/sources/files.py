@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -12,6 +14,10 @@ class Files:
         self._io = jvm.org.apache.commons.io.IOUtils
         self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
 
+    def qualified(self, path: str) -> str:
+        """A path with its file system, as Spark names it in plans."""
+        return self._fs.makeQualified(self._path(path)).toString()
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._path(path))
 
@@ -20,6 +26,13 @@ class Files:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
 
+    def ages(self, path: str) -> dict[str, float]:
+        """Hours since each entry of a folder was last changed, by the clock of the driver."""
+        if not self.exists(path):
+            return {}
+        now = time.time() * 1000
+        return {s.getPath().getName(): (now - s.getModificationTime()) / 3_600_000 for s in self._fs.listStatus(self._path(path))}
+
     def size(self, path: str) -> int:
         return self._fs.getContentSummary(self._path(path)).getLength()
 

@@ -48,8 +48,10 @@ class IngestOptions:
     sink: Callable[[EventConfig, DataFrame, str], None] | None = None
     # Tables written side by side.
     parallel_tables: int = 8
-    # Fold a table's deltas into its base after this many batches.
-    compact_every: int = 50
+    # Compact a table when a batch finds this many deltas of earlier ones; None leaves it to another job.
+    compact_every: int | None = 50
+    # To be raised when a topic is made anew, so that its offsets, which start again, count as later.
+    source_epoch: int = 0
 
     def __post_init__(self):
         if self.on_bad not in ("quarantine", "fail"):
@@ -74,8 +76,8 @@ def ingest_batch(
         messages.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         registry = store.registry()
-        store.write_batch("progress", sinks.progress(messages, registry), batch)
-        counts = store.keys_in_batch(batch)
+        covered = _settled(store, sinks.progress(messages, registry), f"{landing}/progress")
+        counts = store.keys_in(covered)
         present = configs_of(with_key(registry).filter(F.col("key").isin([k for k in counts if k])))
 
         usable, conflicting = (present, []) if options.sink else _split_by_schema(store, present)
@@ -114,7 +116,7 @@ def ingest_batch(
                 bad.append(sinks.rejected(failed))
             for config, part in zip(configs, by_table):
                 if part is not None:
-                    rows.append((config, sinks.table_rows(part, config)))
+                    rows.append((config, sinks.table_rows(part, config, options.source_epoch)))
                 elif not options.sink:
                     store.table(config).drop_batch(batch)
 
@@ -133,17 +135,26 @@ def ingest_batch(
                 options.sink(config, table_rows, batch)
                 return
             table = store.table(config)
-            if len(table.upsert(table_rows, batch).deltas) >= options.compact_every:
-                table.compact()
+            if options.compact_every and len(table.state().deltas) >= options.compact_every:
+                # All batches but this one are committed; only they may be folded.
+                table.compact(keep=[batch])
+            table.upsert(table_rows, batch)
 
         writes = [quarantine, *[partial(upsert, c, r) for c, r in rows]]
         _at_once(store.spark, writes, options.parallel_tables)
-        store.files.delete(landing)
+        # Last, so that what it says is covered has been stored.
+        store.write_batch("progress", covered, batch)
     finally:
+        store.files.delete(landing)
         if options.cache:
             messages.unpersist()
 
 
+def _settled(store: EventStore, rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(path)
+    return store.spark.read.schema(rows.schema).parquet(path)
+
+
 def _at_once(spark: SparkSession, jobs: list[Callable[[], None]], limit: int) -> None:
     """Run independent jobs side by side, so that small ones do not wait for large ones.
 
@@ -195,7 +206,7 @@ def _inputs_by_group(
     )
     group_of = store.spark.createDataFrame(numbered)  # local data of known size
     landed = messages.join(group_of, "key").hint("rebalance", "__group")
-    landed.write.mode("overwrite").partitionBy("__group").parquet(f"{landing}/messages")
+    landed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("__group").parquet(f"{landing}/messages")
     return [_folder(store, f"{landing}/messages/__group={n}", ENVELOPE) for n in range(len(groups))]
 
 
@@ -213,7 +224,7 @@ def _laid_out(
     if len(configs) > 8:
         # Otherwise every task would write a small file for each of many tables.
         numbered = numbered.hint("rebalance", "__slot")
-    numbered.write.mode("overwrite").partitionBy("__slot").parquet(path)
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("__slot").parquet(path)
     slots = range(-1, len(configs))
     return [_folder(store, f"{path}/__slot={n}", parsed.schema) for n in slots]
 
@@ -225,6 +236,11 @@ def _folder(store: EventStore, path: str, schema: T.StructType) -> DataFrame | N
     return store.spark.read.schema(schema).parquet(path)
 
 
+def stream_of(batch: DataFrame) -> str:
+    """A name for the stream a micro-batch belongs to: it stays the same for as long as its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")[:8]
+
+
 def run_ingest(
     messages: DataFrame,
     store: EventStore,
@@ -241,16 +257,11 @@ def run_ingest(
     after the stream, so a repeated one replaces itself and a new stream never does.
     """
     prepare(store.spark)
-    stream_id: list[str] = []
-
     def one_batch(batch_messages: DataFrame, batch_id: int) -> None:
-        if not stream_id:
-            context = batch_messages.sparkSession.sparkContext
-            stream_id.append(context.getLocalProperty("sql.streaming.queryId")[:8])
         # Unique per checkpoint, and sorted by time within one.
         session = prepare(batch_messages.sparkSession)
         bound = EventStore(session, store.root, store.buckets)
-        ingest_batch(batch_messages, f"{stream_id[0]}-{batch_id:09d}", bound, options)
+        ingest_batch(batch_messages, f"{stream_of(batch_messages)}-{batch_id:09d}", bound, options)
 
     writer = messages.writeStream.queryName(name).option("checkpointLocation", checkpoint)
     if available_now:

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from eventbase.operators.analysis import Measures, aggregate
 from eventbase.operators.keyed_table import ORDER, KeyedTable
 from eventbase.session import prepare
+from eventbase.streaming.ingest import stream_of
 
 
 def windowed(
@@ -62,23 +63,27 @@ def write_results(
     """Keep the rows of a stream under ``path``.
 
     "append" adds rows once they are final (a window, when the watermark has passed it), in
-    one folder per batch (``read_appended``). "update", for windowed aggregates, upserts every window that a batch changed into a keyed table, so a batch costs
+    one folder per stream and batch (``read_appended``), so a stream with a new checkpoint adds to what is there. "update", for windowed aggregates, upserts every window that a batch changed into a keyed table, so a batch costs
     what it changes and the newest value of all windows can be read at any time.
     """
     if mode not in ("append", "update"):
         raise ValueError("mode is 'append' or 'update'")
 
     def append(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{path}/batch={stream_of(rows)}-{batch_id:09d}")
 
     def update(rows: DataFrame, batch_id: int) -> None:
         table = KeyedTable(prepare(rows.sparkSession), path)
-        rows = rows.withColumn(ORDER, F.struct(F.lit(batch_id).cast("long").alias("__batch")))
         if not table.exists():
-            order = rows.schema[ORDER].dataType
-            table.create(rows.drop(ORDER).schema, ["window_start", *keys], order)
-        if len(table.upsert(rows, f"{batch_id:09d}").deltas) >= compact_every:
-            table.compact()
+            order = T.StructType([T.StructField("__run", T.LongType()), T.StructField("__batch", T.LongType())])
+            table.create(rows.schema, ["window_start", *keys], order)
+        # A new checkpoint counts from the start: its results replace those of the stream before it.
+        run = table.run_number(stream_of(rows))
+        order = F.struct(F.lit(run).cast("long").alias("__run"), F.lit(batch_id).cast("long").alias("__batch"))
+        batch = f"{stream_of(rows)}-{batch_id:09d}"
+        if len(table.state().deltas) >= compact_every:
+            table.compact(keep=[batch])
+        table.upsert(rows.withColumn(ORDER, order), batch)
 
     writer = result.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if available_now:

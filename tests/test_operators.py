@@ -173,13 +173,74 @@ def test_a_compaction_rewrites_touched_buckets_only(spark, table):
     before = table.state().base
     table.upsert(rows(spark, [(1, "b", 500)]), "b1")
     table.compact()
+    assert table.state().base == before and len(table.state().deltas) == 1  # too few rows to fold in
+    table.compact(fold_share=0.0)
     after = table.state().base
     assert sum(before[b] != after[b] for b in before) == 1
-    for _ in range(30):
-        table.compact(keep_states=1)
     assert table.read().count() == 100
 
 
+def test_small_deltas_are_joined_first(spark, table):
+    table.upsert(rows(spark, [(n, "a", n) for n in range(100)]), "b0")
+    table.compact()
+    before = table.state().base
+    for n in range(3):
+        table.upsert(rows(spark, [(1, f"b{n}", 500 + n), (n, "c", 600)]), f"b{n + 1}")
+    table.compact()
+    assert table.state().base == before and len(table.state().deltas) == 1
+    assert {r["id"]: r["v"] for r in table.read().collect()} | {0: "c", 1: "c", 2: "c"} == {n: "c" if n < 3 else "a" for n in range(100)}
+    table.compact(fold_share=0.0)
+    assert not table.state().deltas and table.read().count() == 100
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_buckets_double_and_are_split_over_tasks(spark, table, limit):
+    for n in range(4):
+        table.upsert(rows(spark, [(i, f"v{n}", n) for i in range(n * 50, n * 50 + 60)]), f"b{n}")
+        table.compact(fold_share=0.0, bucket_rows=20, task_rows=7)
+    state = table.state()
+    assert state.buckets == 16 and len(state.base) > 8
+    table.upsert(rows(spark, [(0, "late", 9)]), "b9")
+    assert table.state().deltas["b9"].buckets is not None
+    got = {r["id"]: r["v"] for r in table.read(broadcast_limit=limit).collect()}
+    assert got == {i: "late" if i == 0 else f"v{min(3, i // 50)}" for i in range(210)}
+
+
+def test_untouched_buckets_are_not_merged(spark, table):
+    table.upsert(rows(spark, [(n, "a", n) for n in range(100)]), "b0")
+    table.compact()
+    table.upsert(rows(spark, [(1, "b", 500)]), "b1")
+    state = table.state()
+    (touched,) = state.deltas["b1"].buckets
+    plan = table.read(broadcast_limit=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") >= 1
+    assert len(table._base_folders(state, {touched})) == 1 and table.read(broadcast_limit=0).count() == 100
+
+
+def test_a_reader_outlives_compactions_until_files_expire(spark, table):
+    table.upsert(rows(spark, [(n, "a", n) for n in range(50)]), "b0")
+    table.compact()
+    table.upsert(rows(spark, [(1, "b", 100)]), "b1")
+    seen = table.read()
+    for n in range(12):
+        table.upsert(rows(spark, [(n, f"c{n}", 200 + n)]), f"b{n + 2}")
+        table.compact(fold_share=0.0 if n % 3 == 0 else 0.5)
+        table.expire()
+    assert {r["id"]: r["v"] for r in seen.collect()} == {n: "b" if n == 1 else "a" for n in range(50)}
+    table.expire(keep_hours=0.0)
+    assert table.files.names(f"{table.path}/_states") == [f"{max(table._sequence()):012d}.json"]
+    assert set(table.files.names(f"{table.path}/base")) == set(table.state().base.values())
+    assert table.read().count() == 50
+
+
+def test_a_batch_that_may_be_repeated_is_not_folded(spark, table):
+    table.upsert(rows(spark, [(1, "a", 1)]), "b0")
+    table.upsert(rows(spark, [(2, "bad", 2)]), "b1")
+    table.compact(keep=["b1"])
+    table.drop_batch("b1")
+    assert [tuple(r) for r in table.read().collect()] == [(1, "a")]
+
+
 def test_a_reader_keeps_its_version(spark, table):
     table.upsert(rows(spark, [(1, "a", 1)]), "b0")
     seen = table.read()
