@@ -252,13 +252,15 @@ def _names_above(dtype: T.DataType, kinds: tuple[type, ...]) -> set[str]:
 
 
 def _contains(dtype: T.DataType, kinds: tuple[type, ...]) -> bool:
+    if isinstance(dtype, kinds):
+        return True
     if isinstance(dtype, T.StructType):
         return any(_contains(f.dataType, kinds) for f in dtype)
     if isinstance(dtype, T.ArrayType):
         return _contains(dtype.elementType, kinds)
     if isinstance(dtype, T.MapType):
         return _contains(dtype.valueType, kinds)
-    return isinstance(dtype, kinds)
+    return False
 
 
 class _Rules:
@@ -384,14 +386,11 @@ class _Rules:
     def known(self, col: Column, dtype: T.DataType) -> Column:
         """True where the first pass's reading of a field of a corrupt record can be relied on.
 
-        A value it could not read is null, and so is a list or map with such a value in it;
-        a struct may be whole or in part.
+        A value it could not read is null, and so is a list or map with such a value in it.
         """
         present = col.isNotNull()
-        if isinstance(dtype, T.StructType):
-            for f in dtype:
-                present = present & self.known(col.getField(f.name), f.dataType)
-            return present
+        if _contains(dtype, (T.StructType,)):
+            return F.lit(False)  # a name may be repeated inside
         if isinstance(dtype, (T.ArrayType, T.MapType)):
             inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype.valueType
             if isinstance(inner, (T.StructType, T.ArrayType, T.MapType)):

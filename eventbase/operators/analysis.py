@@ -44,6 +44,8 @@ def _at_finest_grain(
     """
     parts: dict[str, Column] = {}
     combined = []
+    counted = sorted({column for function, column in measures.values() if function == "count_distinct"})
+    own = {column: f"__distinct_{n}" for n, column in enumerate(counted)}
     for name, (function, column) in measures.items():
         if function in _COMBINE:
             parts[f"__{name}"] = _measure(function, column)
@@ -53,9 +55,18 @@ def _at_finest_grain(
             parts[f"__{name}_n"] = F.count(column)
             average = F.try_divide(F.sum(f"__{name}_sum"), F.sum(f"__{name}_n"))
             combined.append(average.alias(name))
+        elif function == "count_distinct":
+            combined.append(F.count_distinct(own[column]).alias(name))
+        elif function == "approx_count_distinct":
+            parts[f"__{name}"] = F.hll_sketch_agg(F.col(column).cast("string"))
+            combined.append(F.hll_sketch_estimate(F.hll_union_agg(f"__{name}")).alias(name))
         else:
+            _measure(function, column)
             return None
-    return df.groupBy(*dims).agg(*[c.alias(n) for n, c in parts.items()]), combined
+    # Values counted as distinct join the grain: rows become one per combination and value.
+    grain = [*dims, *(F.col(column).alias(name) for column, name in own.items())]
+    aggregates = [c.alias(n) for n, c in parts.items()] or [F.lit(1).alias("__row")]
+    return df.groupBy(*grain).agg(*aggregates), combined
 
 
 def _summary(df: DataFrame, dims: Sequence[str], measures: Measures, group) -> DataFrame:
@@ -89,9 +100,13 @@ def enrich(
     on: Mapping[str, str],
     columns: Sequence[str],
     how: str = "left",
+    one_match: bool = False,
 ) -> DataFrame:
     """Add columns of a dimension table; ``on`` maps event columns to dimension columns.
 
+    The dimension should have each key once: an event gets a row per match. ``one_match`` makes sure of that,
+    keeping of the rows of a key the one with the smallest values in ``columns``, at the price of a shuffle of the dimension.
+
     No broadcast is forced: Spark broadcasts a dimension whose size it knows to be small
     and otherwise shuffles both sides, splitting partitions of a key that many events share.
     """
@@ -99,6 +114,10 @@ def enrich(
         *[F.col(d).alias(f"__{d}") for d in on.values()],
         *[c for c in columns],
     )
+    if one_match:
+        keys = [f"__{d}" for d in on.values()]
+        least = renamed.groupBy(*keys).agg(F.min(F.struct(*columns)).alias("__row"))
+        renamed = least.select(*keys, *[F.col("__row").getField(c).alias(c) for c in columns])
     condition = F.lit(True)
     for event_column, dimension_column in on.items():
         condition = condition & (df[event_column] == renamed[f"__{dimension_column}"])

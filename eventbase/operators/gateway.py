@@ -38,7 +38,10 @@ def _check_scope(df: DataFrame, tables: list[KeyedTable]) -> None:
     roots = [table.files.qualified(table.path) for table in tables]
     plan = df._jdf.queryExecution().analyzed()
     below = plan.subqueriesAll()
+    shared_views = f"SubqueryAlias {df.sparkSession.conf.get('spark.sql.globalTempDatabase', 'global_temp')}."
     for part in [plan, *(below.apply(i) for i in range(below.size()))]:
+        if shared_views in part.treeString():
+            raise PermissionError("not within the given tables: a global view")
         leaves = part.collectLeaves()
         for leaf in (leaves.apply(i) for i in range(leaves.size())):
             kind = leaf.nodeName().split(" ")[0]

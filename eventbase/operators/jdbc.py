@@ -28,8 +28,22 @@ def _quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
-def merge_statement(target: str, staging: str, columns: Sequence[str], primary_key: Sequence[str]) -> str:
-    """Standard SQL upsert of a staging table, values bound by name."""
+def _later(columns: Sequence[str]) -> str:
+    """SQL: the staged row's order is greater than the target's, or equal (a batch that is repeated)."""
+    first, *rest = columns
+    s, t = f"s.{_quoted(first)}", f"t.{_quoted(first)}"
+    tie = f"({s} = {t} OR ({s} IS NULL AND {t} IS NULL))"
+    after = f"({s} > {t} OR ({t} IS NULL AND {s} IS NOT NULL))"
+    return f"({after} OR ({tie} AND {_later(rest)}))" if rest else f"({after} OR {tie})"
+
+
+def merge_statement(
+    target: str, staging: str, columns: Sequence[str], primary_key: Sequence[str], order_by: Sequence[str] = ()
+) -> str:
+    """Standard SQL upsert of a staging table, values bound by name.
+
+    With ``order_by`` a row replaces another only if it is the later one; its columns are then part of the target.
+    """
     missing = [k for k in primary_key if k not in columns]
     if missing or not primary_key:
         raise ValueError(f"primary key columns not among the columns: {missing}")
@@ -38,7 +52,8 @@ def merge_statement(target: str, staging: str, columns: Sequence[str], primary_k
     update = ""
     if others:
         assignments = ", ".join(f"{_quoted(c)} = s.{_quoted(c)}" for c in others)
-        update = f" WHEN MATCHED THEN UPDATE SET {assignments}"
+        later = f" AND {_later(order_by)}" if order_by else ""
+        update = f" WHEN MATCHED{later} THEN UPDATE SET {assignments}"
     names = ", ".join(_quoted(c) for c in columns)
     values = ", ".join(f"s.{_quoted(c)}" for c in columns)
     return (
@@ -59,7 +74,7 @@ def upsert_jdbc(
     connections: int = 16,
     **options: str,
 ) -> None:
-    """Upsert rows (with an order column) into ``target``.
+    """Upsert rows (with an order column) into ``target``, which has the parts of the order as columns of their own.
 
     Executors fill the staging table over a bounded number of connections; the database
     merges it in one transaction. Any failure, that of the commit included, fails the batch.
@@ -67,7 +82,12 @@ def upsert_jdbc(
     """
     spark = rows.sparkSession
     latest = latest_by_key(rows, primary_key) if ORDER in rows.columns else rows
-    staged = storable_columns(latest.drop(ORDER))
+    order_by: list[str] = []
+    if ORDER in rows.columns:
+        order_by = latest.schema[ORDER].dataType.fieldNames()
+        own = [F.col(f"{ORDER}.`{c}`").alias(c) for c in order_by if c not in rows.columns]
+        latest = latest.select(*[F.col(f"`{c}`") for c in latest.columns if c != ORDER], *own)
+    staged = storable_columns(latest)
     (
         staged.write.format("jdbc")
         .options(**{"url": url, "dbtable": staging, "batchsize": str(batch_size), **options})
@@ -75,7 +95,7 @@ def upsert_jdbc(
         .mode("overwrite")
         .save()
     )
-    sql = statement or merge_statement(target, staging, staged.columns, primary_key)
+    sql = statement or merge_statement(target, staging, staged.columns, primary_key, order_by)
     properties = spark._jvm.java.util.Properties()
     for name, value in options.items():
         properties.setProperty(name, value)

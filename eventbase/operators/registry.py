@@ -27,6 +27,7 @@ REGISTRY = T.StructType(
         T.StructField("column_types", T.MapType(T.StringType(), T.StringType()), False),
         T.StructField("epoch_unit", T.StringType(), False),
         T.StructField("order_by", T.ArrayType(T.StringType(), False), False),
+        T.StructField("fields", T.ArrayType(T.StringType(), False), False),
     ]
 )
 
@@ -87,6 +88,9 @@ class EventConfig:
     epoch_unit: str = "ms"
     # Columns that decide which write of a key is the last; arrival order when empty.
     order_by: Sequence[str] = ()
+    # Fields that are stored, in the order of the table's columns; all of the schema when empty. A field inside
+    # structs is named by its path ("props.k"); its column is the path with "_" unless mapped.
+    fields: Sequence[str] = ()
 
     def __post_init__(self):
         if not self.app_key or not self.event_type or KEY_SEPARATOR in self.app_key:
@@ -96,11 +100,14 @@ class EventConfig:
         object.__setattr__(self, "schema", storable(self.schema))
         object.__setattr__(self, "primary_key", tuple(self.primary_key))
         object.__setattr__(self, "order_by", tuple(self.order_by))
+        object.__setattr__(self, "fields", tuple(self.fields))
         if not self.table_name:
             object.__setattr__(self, "table_name", f"{self.app_key}_{self.event_type}")
-        unknown = set(self.column_map) - set(self.schema.fieldNames())
+        for name in self.fields:
+            self.type_of(name)
+        unknown = set(self.column_map) - set(self.stored)
         if unknown:
-            raise ValueError(f"mapped fields are not in the schema: {sorted(unknown)}")
+            raise ValueError(f"mapped fields are not stored: {sorted(unknown)}")
         columns = self.table_schema
         if len({c.lower() for c in columns.fieldNames()}) < len(columns):
             raise ValueError("two fields map to one column")
@@ -114,20 +121,35 @@ class EventConfig:
     def key(self) -> str:
         return f"{self.app_key}{KEY_SEPARATOR}{self.event_type}"
 
+    @property
+    def stored(self) -> tuple[str, ...]:
+        """The fields that are stored, those inside structs by their path."""
+        return self.fields or tuple(self.schema.fieldNames())
+
+    def path_of(self, name: str) -> list[str]:
+        """The names to follow to a stored field; a top-level field may have dots in its name."""
+        return [name] if name in self.schema.fieldNames() else name.split(".")
+
+    def type_of(self, name: str) -> T.DataType:
+        dtype: T.DataType = self.schema
+        for step in self.path_of(name):
+            if not isinstance(dtype, T.StructType) or step not in dtype.fieldNames():
+                raise ValueError(f"stored field is not in the schema: {name!r}")
+            dtype = dtype[step].dataType
+        return dtype
+
     @property
     def columns(self) -> list[tuple[str, str, T.DataType]]:
-        """(JSON field, table column, column type) in schema order."""
+        """(stored field, table column, column type) in the order of the table."""
         found = []
-        for f in self.schema:
-            column = self.column_map.get(f.name, f.name)
-            dtype = f.dataType
+        for name in self.stored:
+            column = self.column_map.get(name, "_".join(self.path_of(name)))
+            own = dtype = self.type_of(name)
             if column in self.column_types:
                 dtype = T.DataType.fromDDL(self.column_types[column])
-                if not _keeps_values(f.dataType, dtype):
-                    raise ValueError(
-                        f"column {column!r}: {dtype.simpleString()} cannot hold every {f.dataType.simpleString()}"
-                    )
-            found.append((f.name, column, dtype))
+                if not _keeps_values(own, dtype):
+                    raise ValueError(f"column {column!r}: {dtype.simpleString()} cannot hold every {own.simpleString()}")
+            found.append((name, column, dtype))
         return found
 
     @property
@@ -143,7 +165,7 @@ class EventConfig:
         return (
             self.app_key, self.event_type, self.schema.json(), self.table_name, list(self.primary_key),
             dict(self.column_map), dict(self.column_types), self.epoch_unit,
-            list(self.order_by),
+            list(self.order_by), list(self.fields),
         )
 
     @classmethod
@@ -151,7 +173,7 @@ class EventConfig:
         return cls(
             row["app_key"], row["event_type"], T.StructType.fromJson(json.loads(row["schema_json"])),
             row["primary_key"], row["table_name"], dict(row["column_map"]), dict(row["column_types"]),
-            row["epoch_unit"], row["order_by"],
+            row["epoch_unit"], row["order_by"], row["fields"],
         )
 
 

@@ -23,8 +23,8 @@ def _quoted(name: str) -> str:
 
 def _column(name: str, column: str, dtype: T.DataType, config: EventConfig) -> str:
     """SQL of one table column taken from the parsed row."""
-    value = f"row.{_quoted(name)}"
-    if config.schema[name].dataType != dtype:
+    value = ".".join(["row", *map(_quoted, config.path_of(name))])
+    if config.type_of(name) != dtype:
         value = f"CAST({value} AS {dtype.simpleString()})"
     return value
 
@@ -64,7 +64,10 @@ def null_key(config: EventConfig) -> Column:
     fields = {column: name for name, column, _ in config.columns}
     found = F.lit(False)
     for column in config.primary_key:
-        found = found | F.col("row").getField(fields[column]).isNull()
+        value = F.col("row")
+        for step in config.path_of(fields[column]):
+            value = value.getField(step)
+        found = found | value.isNull()
     return F.col("reason").isNull() & found
 
 

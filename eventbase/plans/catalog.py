@@ -16,7 +16,8 @@ from eventbase.plans.inputs import (
     filled_store, new_store, no_zone, order_messages, parsed, table, time_text,
 )
 from eventbase.session import shared_folder
-from eventbase.sources.envelope import read_envelope_folder, stream_envelope_folder
+from eventbase.operators.sinks import order_schema
+from eventbase.sources.envelope import envelope, read_envelope_folder, stream_envelope_folder
 from eventbase.sources.kafka import offsets_text
 from eventbase.streaming.ingest import IngestOptions, ingest_batch, run_ingest
 from eventbase.streaming.windows import read_appended, windowed, write_results
@@ -229,6 +230,46 @@ def ingest_root_array_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", F.col("row.id").alias("id"), F.col("row.v").alias("v"), "reason")
 
 
+def ingest_repeated_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that stand twice in an object, at the root and inside: the last counts, any bad one rejects."""
+    events = table(spark, sf_dir, "events")
+    n, a = F.col("event_id") % 12, F.col("event_id").cast("string")
+    body = (
+        F.when(n == 0, F.concat(F.lit('{"a":1,"a":'), a, F.lit("}")))
+        .when(n == 1, F.concat(F.lit('{"a":'), a, F.lit(',"a":"x"}')))
+        .when(n == 2, F.concat(F.lit('{"a":"x","a":'), a, F.lit("}")))
+        .when(n == 3, F.concat(F.lit('{"a":'), a, F.lit(',"a":""}')))
+        .when(n == 4, F.concat(F.lit('{"a":'), a, F.lit(',"a":null}')))
+        .when(n == 5, F.concat(F.lit('{"s":{"x":1},"s":5,"a":'), a, F.lit("}")))
+        .when(n == 6, F.concat(F.lit('{"a":'), a, F.lit(',"s":{"x":1,"x":"q"}}')))
+        .when(n == 7, F.concat(F.lit('{"s":{"x":1,"x":""},"a":"","a":'), a, F.lit("}")))
+        .when(n == 8, F.concat(F.lit('{"t":"zz","t":"2018-02-01 12:00:00","a":'), a, F.lit("}")))
+        .when(n == 9, F.concat(F.lit('{"d":"2018-02-01","d":true,"a":'), a, F.lit("}")))
+        .when(n == 10, F.concat(F.lit('{"t":"2018-02-01 12:00:00","t":"2019-01-01 00:00:00","d":"","d":"2018-02-01","a":'), a, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"s":{"x":1},"s":{"x":'), a, F.lit("}}")))
+    )
+    schema = fields(a="long", s=fields(x="long").jsonValue(), t="timestamp", d="date")
+    rows = parsed(events, body, schema, "event_id")
+    return rows.select(
+        "event_id", "reason", F.col("row.a").alias("a"), F.col("row.s.x").alias("x"), no_zone("row.t").alias("t"), F.col("row.d").alias("d")
+    )
+
+
+def ingest_times_without_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text with a time alone is no timestamp, whatever its zone."""
+    events = table(spark, sf_dir, "events")
+    n = F.col("event_id") % 5
+    text = (
+        F.when(n == 0, F.lit("12:30:00-08:00"))
+        .when(n == 1, F.lit("T10:00:00-05:00"))
+        .when(n == 2, F.lit("12:30:00"))
+        .when(n == 3, F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-08:00")))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    )
+    rows = parsed(events, F.to_json(F.struct(text.alias("t"))), fields(t="timestamp"), "event_id")
+    return rows.select("event_id", "reason", no_zone("row.t").alias("t"))
+
+
 def ingest_syntax_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lenient JSON syntax is refused unless the options allow it; text after the root is ignored."""
     events = table(spark, sf_dir, "events")
@@ -324,6 +365,21 @@ def mapped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.table(config).read().withColumn("price", F.col("price").cast("double"))
 
 
+def mapped_nested_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields inside structs as columns, other fields left out, a nested key."""
+    schema = fields(id="long", who=fields(user="long", kind="string").jsonValue(), props=fields(k="integer").jsonValue(), value="double")
+    config = EventConfig(
+        APP, "nested", schema, ["user_id", "who_kind"], fields=["who.user", "who.kind", "props.k", "id"],
+        column_map={"who.user": "user_id", "id": "event_id"}, order_by=["event_id"],
+    )
+    store = new_store(spark, [config])
+    events = table(spark, sf_dir, "events")
+    who = F.struct(F.col("user_id").alias("user"), F.col("event_type").alias("kind"))
+    body = F.to_json(F.struct(F.col("event_id").alias("id"), who.alias("who"), F.from_json("props", "k int").alias("props"), "value"))
+    ingest_batch(envelope(events, F.lit(config.key), body, F.lit(0), -F.col("event_id")), "b", store)
+    return store.table(config).read()
+
+
 def publish_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish to a folder, read the messages back, split the keys and parse."""
     path = shared_folder(spark)
@@ -353,8 +409,8 @@ def _union_tables(store, configs) -> DataFrame:
 
 def _halves(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All messages in two interleaved batches, by the hour in their body."""
-    hour = F.substring(F.get_json_object("value", "$.eventtime"), 12, 2)
-    return messages.filter(hour < "12"), messages.filter(hour >= "12")
+    hour = F.coalesce(F.substring(F.get_json_object("value", "$.eventtime"), 12, 2), F.lit(""))
+    return messages.filter(hour < "12"), messages.filter(~(hour < "12"))
 
 
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,10 +427,88 @@ def upsert_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     early, late = _halves(messages)
     ingest_batch(late, "b0", store, IngestOptions(compact_every=1))
     for _ in range(2):
-        ingest_batch(early, "b1", store)
+        ingest_batch(early, "b1", store, IngestOptions(compact_every=1))
     return _union_tables(store, configs)
 
 
+def read_base_and_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same result read from a base under two deltas, merged in either way of reading."""
+    store, configs = _users_store(spark)
+    early, late = _halves(event_messages(table(spark, sf_dir, "events")))
+    ingest_batch(late, "b0", store)
+    for config in configs:
+        store.table(config).compact(fold_share=0.0)
+    even = F.col("offset") % 2 == 0
+    ingest_batch(early.filter(even), "b1", store)
+    ingest_batch(early.filter(~even), "b2", store)
+    result = None
+    for n, config in enumerate(configs):
+        rows = store.table(config).read(broadcast_limit=0 if n % 2 else 64 << 20)
+        result = rows if result is None else result.unionByName(rows)
+    return result.select(*_event_columns())
+
+
+def read_during_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a reader sees who opened the tables before later batches and two compactions."""
+    store, configs = _users_store(spark)
+    messages = event_messages(table(spark, sf_dir, "events"))
+    ingest_batch(messages, "b0", store)
+    opened = _union_tables(store, configs)
+    later = messages.withColumn("offset", F.col("offset") + 1_000_000_000)
+    for n in range(2):
+        ingest_batch(later.filter(F.col("offset") % 2 == n), f"b{n + 1}", store)
+        for config in configs:
+            store.table(config).compact(fold_share=0.0)
+            store.table(config).expire()
+    return opened
+
+
+def upsert_root_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies that are lists of records: of one key the last in the list stays, empty lists are quarantined."""
+    config = EventConfig(APP, "visit", fields(userid="long", eventid="long", n="integer"), ["userid"])
+    store = new_store(spark, [config])
+    events = table(spark, sf_dir, "events")
+    first = F.to_json(F.struct(F.col("user_id").alias("userid"), F.col("event_id").alias("eventid"), F.lit(1).alias("n")))
+    last = F.to_json(F.struct(F.col("user_id").alias("userid"), F.col("event_id").alias("eventid"), F.lit(2).alias("n")))
+    body = F.when(F.col("event_id") % 5 == 0, F.lit("[ ]")).otherwise(F.concat(F.lit("["), first, F.lit(","), last, F.lit("]")))
+    messages = envelope(events, F.lit(f"{APP}|visit"), body, F.lit(0), F.col("event_id"))
+    ingest_batch(messages, "b", store, IngestOptions(explode_root_array=True))
+    kept = store.table(config).read().select("userid", "eventid", "n", F.lit(None).cast("string").alias("reason"))
+    refused = store.quarantine().select(
+        F.lit(None).cast("long").alias("userid"), F.col("offset").alias("eventid"), F.lit(None).cast("int").alias("n"), "reason"
+    )
+    return kept.unionByName(refused)
+
+
+def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quarantine table after a batch with every kind of message that is not stored."""
+    good = EventConfig(APP, "good", fields(id="long", v="double"), ["id"])
+    taken = EventConfig(APP, "taken", fields(id="long", v="long"), ["id"])
+    store = new_store(spark, [good, taken])
+    store.table(taken).create(fields(id="long", v="string"), ["id"], order_schema(taken), buckets=1)
+    events = table(spark, sf_dir, "events")
+    n, whole = F.col("event_id") % 8, F.to_json(F.struct(F.col("event_id").alias("id"), F.col("value").alias("v")))
+    key = F.when(n == 5, F.lit(f"{APP}|unknown")).when(n == 6, F.lit(None)).when(n == 7, F.lit(taken.key)).otherwise(F.lit(good.key))
+    body = (
+        F.when(n == 0, F.lit(" "))
+        .when(n == 1, F.concat(whole, F.lit("]")).substr(F.lit(2), F.length(whole)))
+        .when(n == 2, F.lit('{"id":"x","v":"y"}'))
+        .when(n == 3, F.lit('{"v":1.5}'))
+        .otherwise(whole)
+    )
+    ingest_batch(envelope(events, key, body, F.lit(0), F.col("event_id")), "b", store)
+    found = store.quarantine().select(
+        "offset", "key", "reason", F.array_join("bad_fields", ",").alias("bad_field_names"), F.length("value").alias("chars")
+    )
+    stored = store.table(good).read()
+    return found.unionByName(
+        stored.select(
+            F.col("id").alias("offset"), F.lit(good.key).alias("key"), F.lit("stored").alias("reason"),
+            F.lit("").alias("bad_field_names"), F.lit(None).cast("int").alias("chars"),
+        )
+    )
+
+
 def sink_types_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every kind of column, nulls included, through a keyed table."""
     gap = F.col("event_id") % 7 == 0
@@ -410,22 +544,24 @@ def sink_types_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams -----------------------------------------------------------------------------
 
 
-def _stream_folder(spark: SparkSession, messages: DataFrame, files: int) -> str:
+def _stream_folder(spark: SparkSession, messages: DataFrame) -> str:
     path = shared_folder(spark)
-    messages.repartitionByRange(files, "offset").write.parquet(path)
+    messages.repartitionByRange("offset").write.parquet(path)
     return path
 
 
-def _run_stream(spark: SparkSession, source: str, store, checkpoint: str) -> None:
-    messages = stream_envelope_folder(spark, source, max_files_per_trigger=1)
+def _run_stream(spark: SparkSession, source: str, store, checkpoint: str, batches: int = 1) -> None:
+    """Read a folder in about so many batches, each of as many files as that takes."""
+    files = [n for n in store.files.names(source) if n.endswith(".parquet")]
+    messages = stream_envelope_folder(spark, source, max_files_per_trigger=max(1, -(-len(files) // batches)))
     run_ingest(messages, store, checkpoint=checkpoint, available_now=True).awaitTermination()
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last event per user and type, arriving as a stream of three batches."""
     store, configs = _users_store(spark)
-    source = _stream_folder(spark, event_messages(table(spark, sf_dir, "events")), 3)
-    _run_stream(spark, source, store, shared_folder(spark))
+    source = _stream_folder(spark, event_messages(table(spark, sf_dir, "events")))
+    _run_stream(spark, source, store, shared_folder(spark), batches=3)
     return _union_tables(store, configs)
 
 
@@ -435,7 +571,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = event_messages(table(spark, sf_dir, "events"))
     source, checkpoint = shared_folder(spark), shared_folder(spark)
     for half in _halves(messages):
-        half.coalesce(1).write.mode("append").parquet(source)
+        half.write.mode("append").parquet(source)
         _run_stream(spark, source, store, checkpoint)
     return _union_tables(store, configs)
 
@@ -443,8 +579,8 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the progress table of a stream says it has covered."""
     store, _ = _users_store(spark)
-    source = _stream_folder(spark, event_messages(table(spark, sf_dir, "events")), 2)
-    _run_stream(spark, source, store, shared_folder(spark))
+    source = _stream_folder(spark, event_messages(table(spark, sf_dir, "events")))
+    _run_stream(spark, source, store, shared_folder(spark), batches=2)
     return store.progress().groupBy("topic", "partition").agg(
         F.min("min_offset").alias("min_offset"), F.max("max_offset").alias("max_offset"), F.sum("messages").alias("messages")
     )
@@ -477,6 +613,10 @@ def _windows(spark: SparkSession, result: DataFrame, mode: str, *keys: str) -> D
         result, path, checkpoint=shared_folder(spark), keys=keys, mode=mode, available_now=True
     ).awaitTermination()
     rows = KeyedTable(spark, path).read() if mode == "update" else read_appended(spark, path, result.schema)
+    return _window_columns(rows, *keys)
+
+
+def _window_columns(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.select(
         no_zone("window_start").alias("window_start"), no_zone("window_end").alias("window_end"), *keys, "n",
         F.col("total").cast("double").alias("total"), F.col("top").cast("double").alias("top"),
@@ -484,13 +624,35 @@ def _windows(spark: SparkSession, result: DataFrame, mode: str, *keys: str) -> D
 
 
 def agg_stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = windowed(_event_stream(spark, sf_dir), "ts", STREAM_MEASURES, size="6 hours", keys=["event_type"])
+    result = windowed(
+        _event_stream(spark, sf_dir), "ts", STREAM_MEASURES, size="6 hours", watermark="31 days", keys=["event_type"]
+    )
     return _windows(spark, result, "update", "event_type")
 
 
+def agg_stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of half of the events, then of all by a stream with a new checkpoint over the same table."""
+    path, events = shared_folder(spark), _event_stream(spark, sf_dir)
+    for stream in (events.filter("event_id % 2 = 0"), events):
+        result = windowed(stream, "ts", STREAM_MEASURES, size="6 hours", watermark="31 days", keys=["event_type"])
+        write_results(
+            result, path, checkpoint=shared_folder(spark), keys=["event_type"], mode="update", available_now=True
+        ).awaitTermination()
+    return _window_columns(KeyedTable(spark, path).read(), "event_type")
+
+
+def append_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with checkpoints of their own add to one folder; neither replaces the other's batches."""
+    path, events = shared_folder(spark), _event_stream(spark, sf_dir).select("event_id", "event_type")
+    for n in range(2):
+        part = events.filter(F.col("event_id") % 2 == n)
+        write_results(part, path, checkpoint=shared_folder(spark), available_now=True).awaitTermination()
+    return read_appended(spark, path, events.schema)
+
+
 def agg_stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = windowed(
-        _event_stream(spark, sf_dir), "ts", STREAM_MEASURES, size="1 day", slide="6 hours", keys=["event_type"]
+        _event_stream(spark, sf_dir), "ts", STREAM_MEASURES, size="1 day", slide="6 hours", watermark="31 days", keys=["event_type"]
     )
     return _windows(spark, result, "update", "event_type")
 
@@ -545,7 +707,8 @@ def agg_approx_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Approximate distinct users per type, as a verdict on its error."""
     measures = {"approx": ("approx_count_distinct", "userid"), "users": ("count_distinct", "userid")}
     rows = analysis.aggregate(_typed_events(spark, sf_dir), ["eventtype"], measures)
-    close = F.abs(F.col("approx") - F.col("users")) <= 0.2 * F.col("users")
+    # The default standard error is 5 %; four of them are hardly ever exceeded.
+    close = F.abs(F.col("approx") - F.col("users")) <= F.greatest(F.lit(1.0), 0.2 * F.col("users"))
     return rows.select("eventtype", "users", close.alias("within_a_fifth"))
 
 
@@ -582,6 +745,12 @@ def cube_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(analysis.cube(_facts(spark, sf_dir), CUBE_DIMS, CUBE_MEASURES))
 
 
+def cube_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users for every combination of the dimensions."""
+    rows = analysis.cube(_facts(spark, sf_dir), CUBE_DIMS, {"n": ("count", "*"), "users": ("count_distinct", "userid")})
+    return rows.select(*CUBE_DIMS, F.col("grouping_id").cast("long").alias("grouping_id"), "n", "users")
+
+
 def rollup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _summary(analysis.rollup(_facts(spark, sf_dir), CUBE_DIMS, CUBE_MEASURES))
 
@@ -627,8 +796,11 @@ def sql_setops(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sql_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gateway.query(
         filled_store(spark, sf_dir), APP, ["purchase", "order"],
-        "SELECT o.o_orderstatus, count(*) AS pairs, count(DISTINCT p.userid) AS users "
-        "FROM purchase p JOIN `order` o ON p.userid = o.o_custkey GROUP BY o.o_orderstatus",
+        # Counts per user are joined, not the pairs of a user's purchases and orders.
+        "SELECT o.o_orderstatus, sum(p.n * o.n) AS pairs, count(*) AS users "
+        "FROM (SELECT userid, count(*) AS n FROM purchase GROUP BY userid) p "
+        "JOIN (SELECT o_custkey, o_orderstatus, count(*) AS n FROM `order` GROUP BY o_custkey, o_orderstatus) o "
+        "ON p.userid = o.o_custkey GROUP BY o.o_orderstatus",
     )
 
 
@@ -636,9 +808,13 @@ def sql_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors within the hour after a signup of the same user."""
     return gateway.query(
         filled_store(spark, sf_dir), APP, ["signup", "error"],
-        "SELECT s.eventid AS signup_id, count(e.eventid) AS errors FROM signup s LEFT JOIN error e "
-        "ON s.userid = e.userid AND e.eventtime >= s.eventtime AND e.eventtime < s.eventtime + INTERVAL 1 HOUR "
-        "GROUP BY s.eventid",
+        # Rows meet by user and hour: a signup looks in its own hour and the next.
+        "WITH s AS (SELECT eventid, userid, eventtime, floor(unix_seconds(eventtime) / 3600) + next AS hour "
+        "FROM signup LATERAL VIEW explode(array(0, 1)) AS next), "
+        "e AS (SELECT eventid, userid, eventtime, floor(unix_seconds(eventtime) / 3600) AS hour FROM error), "
+        "found AS (SELECT s.eventid, count(*) AS n FROM s JOIN e USING (userid, hour) "
+        "WHERE e.eventtime >= s.eventtime AND e.eventtime < s.eventtime + INTERVAL 1 HOUR GROUP BY s.eventid) "
+        "SELECT signup.eventid AS signup_id, coalesce(n, 0) AS errors FROM signup LEFT JOIN found USING (eventid)",
     )
 
 
@@ -657,7 +833,8 @@ QUERIES = [
     ingest_integers_bool, ingest_decimal, ingest_special_floats, ingest_json_text, ingest_nested, ingest_object_as_array,
     ingest_root_array_explode, ingest_syntax_options, ingest_texts, ingest_vectors, route_table_counts, registered_semi,
     unregistered_anti, registry_duplicates, application_keys, mapped_columns, publish_envelope, upsert_latest,
-    upsert_two_batches, sink_types_roundtrip, stream_ingest, stream_resume, stream_progress, saved_offsets,
+    upsert_two_batches, read_base_and_deltas, read_during_compaction, upsert_root_lists, quarantine_table, mapped_nested_columns,
+    ingest_repeated_fields, ingest_times_without_dates, agg_stream_new_checkpoint, append_two_streams, cube_users, sink_types_roundtrip, stream_ingest, stream_resume, stream_progress, saved_offsets,
     agg_stream_tumbling, agg_stream_sliding, agg_stream_late, agg_stream_session, enrich_stream, agg_batch, agg_approx_users,
     enrich_dimension, cube_events, rollup_events, grouping_sets_events, sql_filter_project, sql_window, sql_topk, sql_setops,
     sql_join, sql_range_join,

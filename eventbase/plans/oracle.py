@@ -123,6 +123,39 @@ SELECT 'app' AS app_key, event_type, 'events' AS topic, cast(user_id % 4 AS INTE
        user_id AS userid, value FROM events""",
     "upsert_latest": _LATEST,
     "upsert_two_batches": _LATEST,
+    "read_base_and_deltas": _LATEST,
+    "read_during_compaction": _LATEST,
+    "upsert_root_lists": """
+SELECT user_id AS userid, max(event_id) AS eventid, 2 AS n, NULL AS reason FROM events WHERE event_id % 5 <> 0 GROUP BY 1
+UNION ALL SELECT NULL, event_id, NULL, 'empty_list' FROM events WHERE event_id % 5 = 0""",
+    "quarantine_table": """
+SELECT event_id AS "offset", CASE n WHEN 5 THEN 'app|unknown' WHEN 7 THEN 'app|taken' WHEN 6 THEN NULL ELSE 'app|good' END AS key,
+       CASE n WHEN 0 THEN 'blank' WHEN 1 THEN 'malformed' WHEN 2 THEN 'bad_value' WHEN 3 THEN 'null_key' WHEN 4 THEN 'stored'
+              WHEN 7 THEN 'schema_conflict' ELSE 'unregistered' END AS reason,
+       CASE n WHEN 2 THEN 'id,v' ELSE '' END AS bad_field_names,
+       CASE n WHEN 0 THEN 1 WHEN 2 THEN 18 WHEN 3 THEN 9 WHEN 4 THEN NULL
+              ELSE length('{"id":' || event_id || ',"v":' || value::VARCHAR || '}') END AS chars
+FROM (SELECT *, event_id % 8 AS n FROM events)""",
+    "mapped_nested_columns": f"""
+SELECT user_id, event_type AS who_kind, {_K} AS props_k, event_id
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS n FROM events) WHERE n = 1""",
+    "ingest_repeated_fields": """
+SELECT event_id, CASE WHEN n IN (1, 2, 5, 6, 8, 9) THEN 'bad_value' END AS reason,
+       CASE WHEN n IN (0, 7, 10) THEN event_id END AS a, CASE WHEN n = 11 THEN event_id END AS x,
+       CASE WHEN n = 10 THEN TIMESTAMP '2019-01-01 00:00:00' END AS t, CASE WHEN n = 10 THEN DATE '2018-02-01' END AS d
+FROM (SELECT *, event_id % 12 AS n FROM events)""",
+    "ingest_times_without_dates": """
+SELECT event_id, CASE WHEN event_id % 5 < 3 THEN 'bad_value' END AS reason,
+       CASE event_id % 5 WHEN 3 THEN date_trunc('second', ts) + INTERVAL 8 HOURS WHEN 4 THEN date_trunc('second', ts) END AS t FROM events""",
+    "agg_stream_new_checkpoint": _windows("6 HOURS", "6 HOURS"),
+    "append_two_streams": """
+SELECT event_id, event_type FROM events""",
+    "cube_users": f"""
+WITH facts AS (
+  SELECT event_type AS eventtype, cast(ts AS DATE) AS day, c_mktsegment AS segment, user_id FROM events LEFT JOIN customer ON user_id = c_custkey
+)
+SELECT eventtype, day, segment, cast(grouping(eventtype, day, segment) AS BIGINT) AS grouping_id, count(*) AS n, count(DISTINCT user_id) AS users
+FROM facts GROUP BY CUBE (eventtype, day, segment)""",
     "sink_types_roundtrip": f"""
 SELECT event_id AS id, CASE WHEN keep THEN cast(ts AS DATE) END AS d, CASE WHEN keep THEN ts END AS t,
        CASE WHEN keep THEN cast(event_id % 100 AS INTEGER) END AS b, CASE WHEN keep THEN cast({_MONEY} AS DOUBLE) END AS dec,

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from eventbase.operators.store import EventStore
 from eventbase.session import create_session
 from eventbase.sources.kafka import stream_kafka
-from eventbase.streaming.ingest import DEFAULT_BATCH_MS, run_ingest
+from eventbase.streaming.ingest import DEFAULT_BATCH_MS, IngestOptions, run_ingest
 
 # Names of the job options.
 BROKERS = "kafka.brokers"
@@ -17,9 +17,16 @@ BATCH_MS = "spark.streaming.batchms"
 STORE = "store.path"
 CHECKPOINT = "checkpoint.path"
 SAVED_OFFSETS = "kafka.offsets"
+# Names of our own for the controls of a large backlog and of the store.
+MAX_OFFSETS = "kafka.max.offsets"  # messages per batch at most
+MIN_PARTITIONS = "kafka.min.partitions"  # parts a batch is fetched in at least
+CACHE = "ingest.cache"
+COMPACT_EVERY = "ingest.compact.every"  # 0: compaction is another job
+BUCKETS = "store.buckets"
 
 USAGE = f"""Usage: job.py -D{BROKERS}=<brokers> -D{TOPIC}=<topic> -D{STORE}=<folder> -D{CHECKPOINT}=<folder>
-  [-D{BATCH_MS}=<milliseconds>] [-D{SAVED_OFFSETS}=<partition:offset,...>] [-D<spark setting>=<value>]"""
+  [-D{BATCH_MS}=<milliseconds>] [-D{SAVED_OFFSETS}=<partition:offset,...>] [-D{MAX_OFFSETS}=<n>] [-D{MIN_PARTITIONS}=<n>]
+  [-D{CACHE}=true] [-D{COMPACT_EVERY}=<batches>] [-D{BUCKETS}=<n>] [-D<spark setting>=<value>]"""
 
 
 def job_options(args: Sequence[str]) -> dict[str, str]:
@@ -31,17 +38,23 @@ def job_options(args: Sequence[str]) -> dict[str, str]:
     return options
 
 
+def ingest_options(options: dict[str, str]) -> IngestOptions:
+    every = int(options.get(COMPACT_EVERY, IngestOptions.compact_every))
+    return IngestOptions(cache=options.get(CACHE, "").lower() == "true", compact_every=every or None)
+
+
 def main(args: Sequence[str]) -> None:
     options = job_options(args)
     settings = {k: v for k, v in options.items() if k.startswith("spark.") and k != BATCH_MS}
     spark = create_session(**settings)
-    messages = stream_kafka(
-        spark, options[BROKERS], options[TOPIC], saved_offsets=options.get(SAVED_OFFSETS)
-    )
+    limits = {"max_offsets_per_trigger": MAX_OFFSETS, "min_partitions": MIN_PARTITIONS}
+    given = {k: int(options[name]) for k, name in limits.items() if name in options}
+    messages = stream_kafka(spark, options[BROKERS], options[TOPIC], saved_offsets=options.get(SAVED_OFFSETS), **given)
     query = run_ingest(
         messages,
-        EventStore(spark, options[STORE]),
+        EventStore(spark, options[STORE], buckets=int(options.get(BUCKETS, 64))),
         checkpoint=options[CHECKPOINT],
+        options=ingest_options(options),
         batch_ms=int(options.get(BATCH_MS, DEFAULT_BATCH_MS)),
     )
     query.awaitTermination()

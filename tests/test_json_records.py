@@ -214,7 +214,7 @@ def test_root_list_gives_one_record_per_element(spark):
     )
     good = [r for r, reason in got if reason is None]
     assert good == [(1,), (2,)]
-    assert sorted(reason for _, reason in got if reason) == ["bad_value", "empty_list"] + ["malformed"] * 3
+    assert sorted(reason for _, reason in got if reason) == ["bad_value", "empty_list"] + ["malformed"] * 4
 
 
 def test_odd_field_names(spark):

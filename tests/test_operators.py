@@ -300,6 +300,22 @@ def test_registered_but_empty_table_can_be_queried(store):
     assert gateway.query(store, "b", "t", "SELECT count(*) AS n FROM t").first()["n"] == 0
 
 
+def test_query_stays_within_its_tables(spark, store, tmp_path_factory):
+    for call in ("reflect", "java_method", "try_reflect", "system.builtin.reflect"):
+        with pytest.raises((AnalysisException, PermissionError)):
+            gateway.query(store, "a", "t", f"SELECT {call}('java.lang.System', 'getProperty', 'user.name') FROM t").collect()
+    spark.range(3).createOrReplaceGlobalTempView("secret")
+    for sql in ("SELECT * FROM global_temp.secret", "SELECT id FROM t WHERE id IN (SELECT id FROM global_temp.secret)"):
+        with pytest.raises((PermissionError, AnalysisException)):
+            gateway.query(store, "a", "t", sql)
+    stored = tmp_path_factory.mktemp("outside") / "x"
+    spark.range(3).write.parquet(str(stored))
+    spark.read.parquet(str(stored)).createOrReplaceGlobalTempView("files")
+    with pytest.raises((PermissionError, AnalysisException)):
+        gateway.query(store, "a", "t", "SELECT (SELECT max(id) FROM global_temp.files) AS m FROM t")
+    assert gateway.query(store, "a", "t", "WITH x AS (SELECT v FROM t) SELECT count(*) AS n FROM x WHERE v >= (SELECT min(v) FROM t)").first()["n"] > 0
+
+
 def test_catalog_copy(spark, store):
     gateway.publish_to_catalog(store, store.configs()[0], "analysis_copy")
     assert spark.table("analysis_copy").count() == 10
@@ -415,6 +431,8 @@ def test_jdbc_statements(spark):
         ' WHEN NOT MATCHED THEN INSERT ("id", "v") VALUES (s."id", s."v")'
     )
     assert "UPDATE" not in jdbc.merge_statement("t", "s", ["id"], ["id"])
+    ordered = jdbc.merge_statement("t", "s", ["id", "v", "p", "o"], ["id"], ["p", "o"])
+    assert 'WHEN MATCHED AND ((s."p" > t."p" OR' in ordered and 's."o" > t."o"' in ordered
     with pytest.raises(ValueError):
         jdbc.merge_statement("t", "s", ["v"], ["id"])
     df = spark.createDataFrame([(1, [1, 2])], "id int, xs array<int>")
