@@ -70,7 +70,7 @@ class Lines:
     features: np.ndarray = field(default_factory=lambda: np.zeros((0, N_FEATURES)))
 
 
-N_FEATURES = 9
+N_FEATURES = 10
 
 
 def look(text: str | None) -> Lines:
@@ -88,6 +88,11 @@ def look(text: str | None) -> Lines:
     def per_line(mask: np.ndarray) -> np.ndarray:
         return np.add.reduceat(mask, starts, dtype=np.int64)
 
+    # words with a symbol in them, counted at the place where they begin
+    begins = np.flatnonzero(first)
+    marked = np.zeros(len(octets), bool)
+    marked[begins] = np.add.reduceat(SYMBOL[octets], begins, dtype=np.int64) > 0
+    n_marked = per_line(marked)
     n_words, n_solid, n_letters = per_line(first), per_line(solid), per_line(LETTER[octets])
     n_symbols, n_upper, n_digits = per_line(SYMBOL[octets]), per_line(UPPER[octets]), per_line(DIGIT[octets])
     has = n_words > 0
@@ -110,6 +115,7 @@ def look(text: str | None) -> Lines:
         [
             np.ones(len(n_words)),
             np.minimum(4 * n_symbols[has] / n_solid, 1.5),
+            n_marked[has] / n_words,
             n_upper[has] / np.maximum(1, n_letters[has]),
             n_digits[has] / n_solid,
             np.minimum(4 * others / n_solid, 1.5),
@@ -120,7 +126,8 @@ def look(text: str | None) -> Lines:
         ],
         axis=1,
     )
-    return Lines(base, n_words, features)
+    # the evidence of a line grows with its length
+    return Lines(base, n_words, features * np.clip((n_words / 8) ** 0.25, 0.7, 2)[:, None])
 
 
 def base_failed(base: tuple[int, ...]) -> bool:
