@@ -478,3 +478,5 @@ def test_shared_folder():
     assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Session("yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("local-cluster[2,1,1024]"))
