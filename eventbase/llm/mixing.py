@@ -174,8 +174,9 @@ def mix(
     blocks = settle(blocks.withColumn("is_cut", fits == "cut").withColumn("times", times.cast("long")).withColumn("n", n))
 
     # Quotas of blocks, their split among the shards, and the blocks each shard gets.
+    wanted = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)) * SHARE).first()[0]
     shards = 1
-    while shards * shard_words < sizes.agg(F.coalesce(F.sum("size"), F.lit(0)) * SHARE).first()[0]:
+    while shards * shard_words < wanted:
         shards *= 2
     quotas = blocks.groupBy("source").agg(F.sum("times").alias("blocks"))
     cuts = settle(shard_quotas(quotas, shards, seed + 2))
@@ -228,5 +229,5 @@ def repeat(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     times = settle(times.select(*(F.col(c).alias(f"_{c}") for c in times.columns)))
     same = docs[doc_id].eqNullSafe(times["_doc_id"]) & docs[source].eqNullSafe(times["_source"])
     sized = docs.join(times, same & (n_words(docs[text]) == times["_size"]))
-    again = sized.withColumn("_nth", F.explode(F.sequence(F.lit(1), "_times")))
-    return again.select(*(docs[c] for c in docs.columns))
+    row = F.struct(*(docs[c].alias(c) for c in docs.columns))
+    return sized.select(F.explode(F.array_repeat(row, times["_times"])).alias("row")).select("row.*")

@@ -330,7 +330,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = passages(docs, doc_id, text)
     spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "n_words")).alias("_spans"))
     spans = settle(spans.withColumnRenamed("doc_id", "_doc"))
-    joined = docs.join(spans, docs[doc_id] == spans["_doc"], "left").drop("_doc")
+    joined = docs.join(spans, docs[doc_id] == spans["_doc"], "left").select(*(docs[c] for c in docs.columns), spans["_spans"])
     at, schema = docs.columns.index(text), docs.schema
     counted = docs.columns.index(n_chars) if n_chars in docs.columns else None
 
