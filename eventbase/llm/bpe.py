@@ -45,7 +45,7 @@ NEVER = 1 << 60  # the rank of a pair without a merge
 REMEMBERED = 64  # characters; longer pieces are not kept
 BITS = 20  # of an id
 MASK = (1 << BITS) - 1
-KEPT_PIECES = 250_000  # pieces in use whose tokens a worker remembers; forgetting costs time only
+KEPT_PIECES = 150_000  # pieces in use whose tokens a worker remembers; forgetting costs time only
 
 
 def byte_letters() -> dict[str, int]:
