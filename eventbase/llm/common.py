@@ -27,6 +27,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that a table does not have, in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def arrow_rows(
     df: DataFrame, rows: Callable[[list[list]], Iterator[tuple]], schema: str | T.StructType, at_once: int = 64
 ) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventbase.llm.common import arrow_rows, settle
+from eventbase.llm.common import arrow_rows, free_name, settle
 
 SHINGLE = 5  # words
 WINDOW = 6  # shingles of which one is a seed
@@ -330,7 +330,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = passages(docs, doc_id, text)
     spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "n_words")).alias("_spans"))
     spans = settle(spans.withColumnRenamed("doc_id", "_doc"))
-    joined = docs.join(spans, docs[doc_id] == spans["_doc"], "left").select(*(docs[c] for c in docs.columns), spans["_spans"])
+    joined = docs.join(spans, docs[doc_id] == spans["_doc"], "left")
+    joined = joined.select(*(docs[c] for c in docs.columns), spans["_spans"].alias(free_name(docs, "spans")))
     at, schema = docs.columns.index(text), docs.schema
     counted = docs.columns.index(n_chars) if n_chars in docs.columns else None
 
