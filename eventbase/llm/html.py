@@ -52,6 +52,7 @@ NOISE_NAMES = set(
     " notification alert popup modal overlay newsletter subscribe subscription share sharing social comment comments disqus respond replies reply"
     " related recommended recommendations pagination pager login signin signup search form toolbar skip dialog disclaimer".split()
 )
+LAYOUT_NAMES = {"has", "with", "no", "without", "is", "layout"}
 HEADER_NAMES = {"header", "head", "top"}
 
 
@@ -75,9 +76,9 @@ def _says(attributes: str) -> tuple[str, bool, set[str]]:
             hidden = hidden or "display:none" in value.replace(" ", "")
         else:
             for token in value.split():
-                words.add(token)
                 parts = re.split(r"[-_]+", token)
-                words.update((parts[0], parts[-1]))
+                if parts[0] not in LAYOUT_NAMES:  # "has-sidebar" speaks of the page around it
+                    words.update((token, parts[0], parts[-1]))
     return classes, hidden, words
 
 

@@ -28,6 +28,8 @@ def test_odd_pages():
     assert one("<div>out</div><main><p>in</p></main><div>out</div>") == "in"
     assert one("<p>x" * 3000).count("\n") == 2999
     assert one("<div>" * 3000 + "deep") == "deep"
+    assert one('<div class="has-sidebar with-menu"><p>in</p><div class="sidebar">out</div></div>') == "in"
+    assert one("<article><p>a<div class=ad>x</div>b</p><div id=comments><p>c</article>") == "a\nb"
     assert one('<p style="display: none">no</p><p>&lt;b&gt;</p>') == "<b>"
 
 
