@@ -35,7 +35,7 @@ def scoped_session(spark: SparkSession, views: dict[str, KeyedTable]) -> SparkSe
 
 def _check_scope(df: DataFrame, tables: list[KeyedTable]) -> None:
     """Refuse a query that reads anything but the files of the given tables, subqueries included."""
-    roots = [table.files.qualified(table.path) for table in tables]
+    roots = [table.files.qualified(place) for table in tables for place in table.places()]
     plan = df._jdf.queryExecution().analyzed()
     below = plan.subqueriesAll()
     shared_views = f"SubqueryAlias {df.sparkSession.conf.get('spark.sql.globalTempDatabase', 'global_temp')}."
@@ -51,7 +51,7 @@ def _check_scope(df: DataFrame, tables: list[KeyedTable]) -> None:
                 raise PermissionError(f"not within the given tables: {kind}")
             paths = leaf.relation().location().rootPaths()
             for path in (paths.apply(i).toString() for i in range(paths.size())):
-                if not any(path.startswith(f"{root}/") for root in roots):
+                if not any(f"{path}/".startswith(f"{root}/") for root in roots):
                     raise PermissionError(f"not within the given tables: {path}")
 
 

@@ -50,6 +50,19 @@ def latest_by_key(rows: DataFrame, primary_key: Sequence[str], *also_partition_b
     return rows.withColumn("__n", F.row_number().over(by_key)).filter("__n = 1").drop("__n")
 
 
+def key_width(primary_key: Sequence[str]) -> Column:
+    """Bytes a key takes in memory, estimated from above."""
+    width = F.lit(32)  # what a hash table adds to each key
+    for k in primary_key:
+        width = width + F.coalesce(F.octet_length(_column(k).cast("string")), F.lit(0))
+    return width
+
+
+def bucket_of(primary_key: Sequence[str], buckets: int | Column) -> Column:
+    number = F.lit(buckets) if isinstance(buckets, int) else buckets
+    return F.pmod(F.xxhash64(*map(_column, primary_key)), number).cast("int")
+
+
 def _column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
@@ -60,7 +73,7 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 @dataclass
 class Delta:
-    folder: str
+    folder: str  # below the table's, or a whole path where a batch was written for several tables at once
     rows: int
     key_bytes: int  # size of its primary keys in memory, estimated from above
     buckets: list[int] | None = None  # those it touches; None: not known
@@ -151,6 +164,10 @@ class KeyedTable:
             state.schema = T.StructType([*known.fields, *added]).json()
             self._publish(state)
 
+    def places(self) -> list[str]:
+        """Folders that hold its data: its own, and those of batches written together with other tables."""
+        return [self.path, *(d.folder for d in self.state().deltas.values() if "/" in d.folder)]
+
     # -- reading ---------------------------------------------------------------------
 
     def _load(self, state: State, folders: list[str]) -> DataFrame:
@@ -170,7 +187,7 @@ class KeyedTable:
 
     def _delta_folders(self, state: State, batches: Sequence[str] | None = None) -> list[str]:
         return [
-            f"{self.path}/delta/{d.folder}"
+            d.folder if "/" in d.folder else f"{self.path}/delta/{d.folder}"
             for b, d in sorted(state.deltas.items())
             if d.rows and (batches is None or b in batches)
         ]
@@ -183,7 +200,7 @@ class KeyedTable:
 
     @staticmethod
     def _bucket_of(state: State) -> Column:
-        return F.pmod(F.xxhash64(*map(_column, state.primary_key)), F.lit(state.buckets)).cast("int")
+        return bucket_of(state.primary_key, state.buckets)
 
     def read(self, broadcast_limit: int = KEY_LIMIT, with_order: bool = False) -> DataFrame:
         """Current rows.
@@ -247,9 +264,7 @@ class KeyedTable:
         check_columns(rows, [*T.StructType.fromJson(json.loads(state.schema)).fieldNames(), ORDER])
         folder = f"{batch}-{uuid.uuid4().hex[:8]}"
         written = Observation()
-        width = F.lit(32)  # what a hash table adds to each key
-        for k in state.primary_key:
-            width = width + F.coalesce(F.octet_length(_column(k).cast("string")), F.lit(0))
+        width = key_width(state.primary_key)
         latest = latest_by_key(rows, state.primary_key).observe(
             written,
             F.count("*").alias("rows"),
@@ -262,6 +277,13 @@ class KeyedTable:
         self._publish(state)
         return state
 
+    def add_delta(self, batch: str, delta: Delta) -> State:
+        """Take as a batch what was written elsewhere: one row per key, with all columns."""
+        state = self.state()
+        state.deltas[batch] = delta
+        self._publish(state)
+        return state
+
     def drop_batch(self, batch: str) -> None:
         """Nothing to keep of this batch, whatever an earlier attempt at it wrote."""
         state = self.state()
@@ -354,12 +376,17 @@ class KeyedTable:
         states = self.files.ages(f"{self.path}/_states")
         # A state was in use until the next one was written: its age counts from there.
         ended = {n: states[f"{m:012d}.json"] for n, m in zip(sequence, sequence[1:])}
+        outside: set[str] = set()
         for number in [n for n, age in ended.items() if age >= keep_hours]:
+            state = State(**json.loads(self.files.read_text(self._state_file(number))))
+            outside |= {d.folder for d in state.deltas.values() if "/" in d.folder}
             self.files.delete(self._state_file(number))
         used: set[str] = set()
         for number in self._sequence():
             state = State(**json.loads(self.files.read_text(self._state_file(number))))
             used |= set(state.base.values()) | {d.folder for d in state.deltas.values()}
+        for path in outside - used:
+            self.files.delete(path)
         for kind in ("base", "delta"):
             for name, age in self.files.ages(f"{self.path}/{kind}").items():
                 if name not in used and age >= keep_hours:

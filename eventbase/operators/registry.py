@@ -152,6 +152,11 @@ class EventConfig:
             found.append((name, column, dtype))
         return found
 
+    @property
+    def columns_from(self) -> list[tuple[str, str]]:
+        """(stored field, table column)"""
+        return [(name, column) for name, column, _ in self.columns]
+
     @property
     def table_schema(self) -> T.StructType:
         return T.StructType([T.StructField(column, dtype) for _, column, dtype in self.columns])

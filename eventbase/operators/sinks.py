@@ -42,7 +42,7 @@ def order_schema(config: EventConfig) -> T.StructType:
     )
 
 
-def table_rows(records: DataFrame, config: EventConfig, source_epoch: int = 0) -> DataFrame:
+def table_rows(records: DataFrame, config: EventConfig, source_epoch: int = 0, *kept: str) -> DataFrame:
     """Good records of one event type as typed table columns, bound by name.
 
     The order column says which write of a key is the later one: by the declared columns,
@@ -56,6 +56,7 @@ def table_rows(records: DataFrame, config: EventConfig, source_epoch: int = 0) -
     return records.selectExpr(
         *[f"{value} AS {_quoted(column)}" for column, value in values.items()],
         f"struct({order}) AS {ORDER}",
+        *kept,
     )
 
 

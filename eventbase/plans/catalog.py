@@ -463,6 +463,16 @@ def read_during_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opened
 
 
+def ingest_many_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of forty event types, one table each, written in one job."""
+    configs = [EventConfig(APP, f"u{n}", EVENT_SCHEMA, ["userid"]) for n in range(40)]
+    store = new_store(spark, configs)
+    messages = event_messages(table(spark, sf_dir, "events"))
+    key = F.concat(F.lit(f"{APP}|u"), F.get_json_object("value", "$.userid").cast("long") % 40)
+    ingest_batch(messages.withColumn("key", key), "b", store)
+    return _union_tables(store, [c for c in configs if store.table(c).exists()])
+
+
 def upsert_root_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies that are lists of records: of one key the last in the list stays, empty lists are quarantined."""
     config = EventConfig(APP, "visit", fields(userid="long", eventid="long", n="integer"), ["userid"])
@@ -834,7 +844,7 @@ QUERIES = [
     ingest_root_array_explode, ingest_syntax_options, ingest_texts, ingest_vectors, route_table_counts, registered_semi,
     unregistered_anti, registry_duplicates, application_keys, mapped_columns, publish_envelope, upsert_latest,
     upsert_two_batches, read_base_and_deltas, read_during_compaction, upsert_root_lists, quarantine_table, mapped_nested_columns,
-    ingest_repeated_fields, ingest_times_without_dates, agg_stream_new_checkpoint, append_two_streams, cube_users, sink_types_roundtrip, stream_ingest, stream_resume, stream_progress, saved_offsets,
+    ingest_many_types, ingest_repeated_fields, ingest_times_without_dates, agg_stream_new_checkpoint, append_two_streams, cube_users, sink_types_roundtrip, stream_ingest, stream_resume, stream_progress, saved_offsets,
     agg_stream_tumbling, agg_stream_sliding, agg_stream_late, agg_stream_session, enrich_stream, agg_batch, agg_approx_users,
     enrich_dimension, cube_events, rollup_events, grouping_sets_events, sql_filter_project, sql_window, sql_topk, sql_setops,
     sql_join, sql_range_join,

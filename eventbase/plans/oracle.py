@@ -125,6 +125,9 @@ SELECT 'app' AS app_key, event_type, 'events' AS topic, cast(user_id % 4 AS INTE
     "upsert_two_batches": _LATEST,
     "read_base_and_deltas": _LATEST,
     "read_during_compaction": _LATEST,
+    "ingest_many_types": f"""
+SELECT event_id AS eventid, ts AS eventtime, event_type AS eventtype, user_id AS userid, value, {_K} AS k
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events) WHERE n = 1""",
     "upsert_root_lists": """
 SELECT user_id AS userid, max(event_id) AS eventid, 2 AS n, NULL AS reason FROM events WHERE event_id % 5 <> 0 GROUP BY 1
 UNION ALL SELECT NULL, event_id, NULL, 'empty_list' FROM events WHERE event_id % 5 = 0""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from eventbase.functions.json_records import parse_events
 from eventbase.operators import sinks
+from eventbase.operators.keyed_table import Delta, KeyedTable, bucket_of, key_width, latest_by_key
 from eventbase.operators.registry import EventConfig, configs_of, unregistered, with_key
 from eventbase.operators.store import EventStore
 from eventbase.session import prepare
@@ -94,6 +96,7 @@ def ingest_batch(
         inputs = _inputs_by_group(messages, list(groups.values()), landing, store, options)
 
         rows: list[tuple[EventConfig, DataFrame]] = []
+        together: list[tuple[str, list[tuple[int, EventConfig]], T.StructType]] = []
         parts: dict[int, list[DataFrame | None]] = {}
 
         def parse(n: int, configs: list[EventConfig], group_messages: DataFrame) -> None:
@@ -114,7 +117,12 @@ def ingest_batch(
             failed, *by_table = parts[n]
             if failed is not None:
                 bad.append(sinks.rejected(failed))
-            for config, part in zip(configs, by_table):
+            alike = [] if options.sink else _alike(configs, by_table)
+            together += [(f"{landing}/parsed-{n}", some, by_table[some[0][0]].schema) for some in alike]
+            done = {slot for some in alike for slot, _ in some}
+            for slot, (config, part) in enumerate(zip(configs, by_table)):
+                if slot in done:
+                    continue
                 if part is not None:
                     rows.append((config, sinks.table_rows(part, config, options.source_epoch)))
                 elif not options.sink:
@@ -134,13 +142,10 @@ def ingest_batch(
             if options.sink:
                 options.sink(config, table_rows, batch)
                 return
-            table = store.table(config)
-            if options.compact_every and len(table.state().deltas) >= options.compact_every:
-                # All batches but this one are committed; only they may be folded.
-                table.compact(keep=[batch])
-            table.upsert(table_rows, batch)
+            _compact_if_due(store.table(config), batch, options).upsert(table_rows, batch)
 
         writes = [quarantine, *[partial(upsert, c, r) for c, r in rows]]
+        writes += [partial(_upsert_together, store, batch, options, *some) for some in together]
         _at_once(store.spark, writes, options.parallel_tables)
         # Last, so that what it says is covered has been stored.
         store.write_batch("progress", covered, batch)
@@ -150,6 +155,68 @@ def ingest_batch(
             messages.unpersist()
 
 
+def _compact_if_due(table: KeyedTable, batch: str, options: IngestOptions) -> KeyedTable:
+    if options.compact_every and len(table.state().deltas) >= options.compact_every:
+        # All batches but this one are committed; only they may be folded.
+        table.compact(keep=[batch])
+    return table
+
+
+def _alike(configs: list[EventConfig], by_table: list[DataFrame | None]) -> list[list[tuple[int, EventConfig]]]:
+    """Event types of one parse group whose tables have the same columns, keys and order, with their slots."""
+    found: dict[tuple, list[tuple[int, EventConfig]]] = {}
+    for slot, (config, part) in enumerate(zip(configs, by_table)):
+        if part is not None:
+            shape = (config.table_schema.json(), tuple(config.columns_from), config.primary_key, config.order_by)
+            found.setdefault(shape, []).append((slot, config))
+    return [some for some in found.values() if len(some) > 1]
+
+
+def _upsert_together(
+    store: EventStore,
+    batch: str,
+    options: IngestOptions,
+    path: str,
+    some: list[tuple[int, EventConfig]],
+    schema: T.StructType,
+) -> None:
+    """Upsert the parsed records of many like tables in one job, whose output has a folder for each.
+
+    Another small job counts rows and buckets for the tables' states; what is left per table are a few file calls.
+    """
+    spark, config = store.spark, some[0][1]
+    folders = [f"{path}/__slot={slot}" for slot, _ in some]
+    with_slot = T.StructType([*schema.fields, T.StructField("__slot", T.IntegerType())])
+    records = spark.read.schema(with_slot).option("basePath", path).parquet(*folders)
+    rows = sinks.table_rows(records, config, options.source_epoch, "__slot")
+    latest = latest_by_key(rows, config.primary_key, "__slot")
+    if len(some) > 8:
+        latest = latest.hint("rebalance", "__slot")  # as in _laid_out
+    target = f"{store.root}/deltas/{batch}-{uuid.uuid4().hex[:8]}"
+    latest.write.option("partitionOverwriteMode", "static").partitionBy("__slot").parquet(target)
+
+    tables = {slot: store.table(c) for slot, c in some}
+    numbers = {slot: table.state().buckets for slot, table in tables.items()}
+    buckets = F.lit(store.buckets)
+    for slot, number in numbers.items():
+        if number != store.buckets:
+            buckets = F.when(F.col("__slot") == slot, number).otherwise(buckets)
+    written = spark.read.schema(T.StructType([*rows.schema.fields])).parquet(target)
+    counted = written.groupBy("__slot").agg(
+        F.count("*").alias("rows"),
+        F.sum(key_width(config.primary_key)).alias("key_bytes"),
+        F.collect_set(bucket_of(config.primary_key, buckets)).alias("buckets"),
+    )
+    found = {r["__slot"]: r for r in counted.collect()}  # one row per table
+
+    def publish(slot: int) -> None:
+        r = found[slot]
+        delta = Delta(f"{target}/__slot={slot}", r["rows"], r["key_bytes"], sorted(r["buckets"]))
+        _compact_if_due(tables[slot], batch, options).add_delta(batch, delta)
+
+    _at_once(spark, [partial(publish, slot) for slot in tables], options.parallel_tables)
+
+
 def _settled(store: EventStore, rows: DataFrame, path: str) -> DataFrame:
     rows.write.mode("overwrite").parquet(path)
     return store.spark.read.schema(rows.schema).parquet(path)

@@ -242,3 +242,37 @@ def test_messages_can_be_shown_on_the_console(spark, tmp_path):
         assert sum(p["numInputRows"] for p in shown.recentProgress) == len(ROWS)
     finally:
         shown.stop()
+
+
+def test_many_like_tables_in_one_job(spark, store):
+    configs = [EventConfig("many", f"t{n}", fields(id="long", v="double"), ["id"]) for n in range(12)]
+    store.register(configs)
+    batch = [(f"many|t{n}", {"id": i, "v": n + i / 10}, 0, 100 * n + i) for n in range(11) for i in (1, 2, 1)]
+    for _ in range(2):  # a repeated batch replaces itself
+        ingest_batch(messages(spark, batch), "b1", store)
+    for n in range(11):
+        assert sorted(r[:2] for r in content(store, configs[n])) == [(1, n + 0.1), (2, n + 0.2)]
+    ingest_batch(messages(spark, [("many|t0", {"id": 1, "v": 9.0}, 0, 5000), ("many|t3", {"id": 3, "v": 9.0}, 0, 5001)]), "b2", store)
+    ingest_batch(messages(spark, batch[:3]), "b1", store)  # now without the other tables' records
+    assert sorted(r[:2] for r in content(store, configs[0])) == [(1, 9.0), (2, 0.2)]
+    for config in configs[:11]:
+        store.table(config).compact(fold_share=0.0)
+        store.table(config).expire(keep_hours=0.0)
+    assert sorted(r[:2] for r in content(store, configs[0])) == [(1, 9.0), (2, 0.2)]
+    assert (3, 9.0) in [r[:2] for r in content(store, configs[3])]
+    left = [n for d in store.files.names(f"{store.root}/deltas") for n in store.files.names(f"{store.root}/deltas/{d}") if n.startswith("__slot")]
+    assert left == []
+
+
+def test_progress_and_landing_of_a_failed_batch(spark, store):
+    with pytest.raises(BadRecords):
+        ingest_batch(messages(spark, ROWS), "b1", store, IngestOptions(on_bad="fail"))
+    assert store.progress().count() == 0 and store.files.names(f"{store.root}/landing") == []
+
+
+def test_root_lists_keep_their_order(spark, store):
+    body = [{"id": 1, "amount": float(n)} for n in range(20)]
+    batch = messages(spark, [("shop|order", body, 0, 0), ("shop|order", [], 0, 1)])
+    ingest_batch(batch, "b1", store, IngestOptions(explode_root_array=True))
+    assert [r[:2] for r in content(store, ORDERS)] == [(1, 19.0)]
+    assert [r["reason"] for r in store.quarantine().collect()] == ["empty_list"]
