@@ -1,15 +1,16 @@
 """Main text of web pages, by a site style tree.
 
-The pages of a host are merged into one tree: a style node is a chain of tags and classes, and holds how
-often each of its looks occurs, that is each sequence of child tags (presentation) and each text (content). The entropy
-of its looks, over the logarithm of their number, is its importance: 0 if all pages agree there, 1 if all
-differ. A branch whose nodes are all of low importance is a template, and its repeated texts are removed
-from each page. Elements that say what they are (menus, adverts, forms and the like, by tag, class, id or role)
+The pages of a host are merged into one tree: a style node is a chain of tags and classes, and holds on how
+many pages each of its looks occurs, that is each sequence of child tags (presentation) and each text (content). A look
+counts once per page, and pages with the same text count as one, so neither a table of few values nor copies of an
+article look like a template. The entropy of the looks, over the logarithm of their number, is the node's importance: 0
+if all pages agree there, 1 if all differ. A branch whose nodes are all of low importance is a template, and its texts that
+at least eight pages have are removed from each page. Elements that say what they are (menus, adverts, forms and the like, by tag, class, id or role)
 have no importance by name; the entropy alone cannot see them where a site fills them at random. If a page marks its
-article, text outside it is left out.
+article, text outside it is left out and all of that inside is kept: the tree judges pages without such a mark only.
 
-The tree is built by grouping counts, partly summed before any shuffle, so a host with a third of all pages is no
-hot spot; only the hashes of repeated template texts are joined back to the pages of their host.
+The tree is built by grouping: copies by host and text, then counts, partly summed before any shuffle, so a host with a
+third of all pages is no hot spot; only the hashes of repeated template texts are joined back to the pages of their host.
 
 Rules for odd input: null or empty html gives an empty text; a null url is a host of its own; unclosed and stray tags
 are taken as browsers mostly do; pages that repeat an id are each extracted.
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import xxhash
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from eventbase.llm.common import arrow_rows, settle
 
 LOW_IMPORTANCE = 0.2
-LEAST_PAGES = 8  # looks of a node below which it is no template
+LEAST_PAGES = 8  # of a node, and of a text, below which it is no template
 
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S
@@ -82,12 +82,12 @@ def _says(attributes: str) -> tuple[str, bool, set[str]]:
     return classes, hidden, words
 
 
-def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], Counter]:
-    """Blocks (path, text, inside an article) that are not noise by name, and counts of looks (path, hash)."""
+def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], set]:
+    """Blocks (path, text, inside an article) that are not noise by name, and the looks (path, hash)."""
     page = page or ""
     stack = [Element("", "", False, False)]
     blocks: list[tuple[str, str, bool]] = []
-    looks: Counter = Counter()
+    looks: set[tuple[str, int]] = set()
     words: list[str] = []
     seen_article = False
     at = 0
@@ -99,13 +99,13 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], Counter]:
             top = next(e for e in reversed(stack) if e.tag in BLOCK or not e.tag)
             if text and not stack[-1].noise:
                 blocks.append((top.path, text, top.inside))
-                looks[top.path, look_of(top.path, text)] += 1
+                looks.add((top.path, look_of(top.path, text)))
 
     def close(n: int) -> None:
         while len(stack) > n:
             gone = stack.pop()
             if gone.children and not gone.noise:
-                looks[gone.path, look_of(gone.path, "<" + " ".join(gone.children))] += 1
+                looks.add((gone.path, look_of(gone.path, "<" + " ".join(gone.children))))
 
     while found := TAG.search(page, at):
         if found.start() > at and not stack[-1].noise:
@@ -178,11 +178,14 @@ def look_of(path: str, what: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\n{what}") - (1 << 63)
 
 
+def article(blocks: list[tuple[str, str, bool]]) -> list[tuple[str, str, bool]]:
+    """The blocks inside the marked article, or all if there is none."""
+    return [b for b in blocks if b[2]] or blocks
+
+
 def main_text(page: str | None, dull: set[int]) -> str:
-    blocks, _ = parse(page)
-    if any(inside for _, _, inside in blocks):
-        blocks = [b for b in blocks if b[2]]
-    return "\n".join(text for path, text, _ in blocks if not dull or look_of(path, text) not in dull)
+    blocks = article(parse(page)[0])
+    return "\n".join(text for path, text, inside in blocks if inside or not dull or look_of(path, text) not in dull)
 
 
 def host_of(url: Column) -> Column:
@@ -193,24 +196,26 @@ def template_looks(pages: DataFrame) -> DataFrame:
     """Rows (host, dull): the hashes of texts that repeat in branches of low importance. ``pages`` has host and html."""
 
     def rows(columns: list[list]) -> Iterator[tuple]:
-        total: Counter = Counter()
         for host, page in zip(*columns):
-            for look, n in parse(page)[1].items():
-                total[host, *look] += n
-        return ((*key, n) for key, n in total.items())
-
-    looks = arrow_rows(pages.select("host", "html"), rows, "host string, path string, look long, n long", at_once=2000)
-    looks = settle(looks.groupBy("host", "path", "look").agg(F.sum("n").alias("n")))
-    nodes = looks.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("nlogn"))
+            blocks, looks = parse(page)
+            whole = look_of("", "\n".join(text for _, text, _ in article(blocks)))
+            yield host, whole, sorted(looks) + [(path, None) for path in sorted({path for path, _ in looks})]
+
+    each = arrow_rows(pages.select("host", "html"), rows, "host string, whole long, looks array<struct<path: string, look: long>>")
+    each = each.groupBy("host", "whole").agg(F.min("looks").alias("looks")).select("host", F.inline("looks"))
+    looks = settle(each.groupBy("host", "path", "look").agg(F.count("*").alias("n")))  # without a look: the pages of the path
+    m, nlogn = F.sum(F.when(F.col("look").isNotNull(), F.col("n"))), F.sum(F.when(F.col("look").isNotNull(), F.col("n") * F.log("n")))
+    pages_of = F.max(F.when(F.col("look").isNull(), F.col("n")))
+    nodes = looks.groupBy("host", "path").agg(m.alias("m"), nlogn.alias("nlogn"), pages_of.alias("pages"))
     importance = F.when(F.col("m") > 1, 1 - F.col("nlogn") / (F.col("m") * F.log("m"))).otherwise(1.0)
-    nodes = nodes.withColumn("importance", F.when(F.col("m") < LEAST_PAGES, 1.0).otherwise(importance))
+    nodes = nodes.withColumn("importance", F.when(F.col("pages") < LEAST_PAGES, 1.0).otherwise(importance))
     # a branch is as important as its most important node
     steps = F.split("path", "/")
     upward = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.array_join(F.slice(steps, 1, i), "/"))
     branches = nodes.select("host", "importance", F.explode(upward).alias("path"))
     branches = branches.groupBy("host", "path").agg(F.max("importance").alias("importance"))
     low = branches.filter(F.col("importance") < LOW_IMPORTANCE).select("host", "path")
-    dull = looks.filter("n > 1").join(low, ["host", "path"], "left_semi")
+    dull = looks.filter((F.col("n") >= LEAST_PAGES) & F.col("look").isNotNull()).join(low, ["host", "path"], "left_semi")
     return dull.groupBy("host").agg(F.collect_list("look").alias("dull"))
 
 

@@ -46,6 +46,23 @@ def test_templates_of_a_site_go(spark):
     assert html.extract(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_article_text_is_no_template(spark):
+    cells = "<table>" + "".join(f"<tr><td>{'Yes' if i % 2 else 'No'}</td></tr>" for i in range(40)) + "</table>"
+    pages = [(0, "http://one.example/", cells, None, 0)]
+    for i in range(60):
+        marked = f"<article><h3>Summary</h3><p>first {i}</p><h3>Details</h3><p>second {i}</p></article>"
+        copies = "".join(f"<p>paragraph {k}</p>" for k in range(5)) + f"<nav>{i}</nav>"
+        few = f"<h4>{'Note' if i < 7 else 'Always'}</h4><p>own {i}</p>"
+        pages += [(100 + i, f"http://marked.example/{i}", marked, None, 0), (200 + i, f"http://copies.example/{i}", copies, None, 0)]
+        pages += [(300 + i, f"http://few.example/{i}", few, None, 0)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, SCHEMA)).collect()}
+    assert got[0].split("\n") == ["No", "Yes"] * 20
+    for i in range(60):
+        assert got[100 + i] == f"Summary\nfirst {i}\nDetails\nsecond {i}"
+        assert got[200 + i] == "\n".join(f"paragraph {k}" for k in range(5))
+        assert got[300 + i] == (f"Note\nown {i}" if i < 7 else f"own {i}")
+
+
 def test_given_pages_give_their_documents(spark):
     at = "/root/testdata/sf0.001/"
     docs = {"\n".join(" ".join(x.split()) for x in r.text.split("\n") if x.split()) for r in spark.read.parquet(at + "documents.parquet").collect()}
