@@ -58,6 +58,26 @@ def test_recall_at_the_threshold(spark, dimensions):
     assert sum(r.n_links for r in got) >= 0.95 * links.sum()
 
 
+@pytest.mark.parametrize("common", [0.5, 0.8])
+def test_recall_where_vectors_share_a_direction(spark, common):
+    r = np.random.default_rng(11)
+    own = r.normal(size=(3000, 64))
+    own[:, 0] = 0
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    aside = r.normal(size=own.shape)
+    aside[:, 0] = 0
+    aside -= (aside * own).sum(1, keepdims=True) * own
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    like = 1 - (1 - 0.952) / (1 - common)
+    both = np.concatenate([own, like * own[:400] + np.sqrt(1 - like**2) * aside[:400]]) * np.sqrt(1 - common)
+    both[:, 0] = np.sqrt(common)
+    links, _ = all_pairs(np.arange(len(both)), both)
+    rows = [(i, v.tolist()) for i, v in enumerate(both)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert all(x.n_links <= links[x.vec_id] for x in got)
+    assert links.sum() >= 800 and sum(x.n_links for x in got) >= 0.95 * links.sum()
+
+
 def test_odd_vectors(spark):
     inf, nan = float("inf"), float("nan")
     rows = [
