@@ -3,7 +3,9 @@
 1. Seeds: of every six neighbouring five-word shingles the one with the smallest hash (a minimiser). Documents that share
    ten words in a row share a seed.
 2. The first document with a seed (smallest id, then position) is its holder. Every other occurrence is matched
-   with the holder's alone, so the matches grow with the text, not with the square of a seed's frequency.
+   with the holder's alone, so the matches grow with the text, not with the square of a seed's frequency. Two seeds in a row
+   have a holder too, the first document with both: where the parts of a passage have different holders, the documents
+   that share the whole are compared by the seeds on either side of the joins.
 3. Per pair of documents, matches on one diagonal that touch are joined into fragments, and fragments that
    come in the same order in both are chained: the best chain to each fragment is looked up in a Fenwick tree of
    prefix maxima, with a cost per word of gap on either side.
@@ -66,8 +68,8 @@ def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def seed_rows(docs: DataFrame) -> DataFrame:
-    """Rows (seed, doc, pos) of a table (doc_id, text)."""
-    schema = T.StructType([T.StructField("seed", T.LongType()), T.StructField("doc", docs.schema["doc_id"].dataType), T.StructField("pos", T.IntegerType())])
+    """Rows (seed, doc, pos, next_seed, next_pos) of a table (doc_id, text); the last seed of a text has no next."""
+    schema = T.StructType([T.StructField("seed", T.LongType()), T.StructField("doc", docs.schema["doc_id"].dataType), T.StructField("pos", T.IntegerType()), T.StructField("next_seed", T.LongType()), T.StructField("next_pos", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,21 +78,39 @@ def seed_rows(docs: DataFrame) -> DataFrame:
                 found = [seeds(word_hashes(t)) for t in part.column(1).to_pylist()]
                 own = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
                 if len(own):
+                    seed, pos = np.concatenate([s for _, s in found]), np.concatenate([at for at, _ in found]).astype(np.int32)
+                    last = np.append(own[1:] != own[:-1], True)
                     made = [
-                        pa.array(np.concatenate([s for _, s in found])), part.column(0).take(pa.array(own)),
-                        pa.array(np.concatenate([at for at, _ in found]).astype(np.int32)),
+                        pa.array(seed), part.column(0).take(pa.array(own)), pa.array(pos),
+                        pa.array(np.roll(seed, -1), mask=last), pa.array(np.roll(pos, -1), mask=last),
                     ]
-                    yield pa.RecordBatch.from_arrays(made, names=["seed", "doc", "pos"])
+                    yield pa.RecordBatch.from_arrays(made, names=["seed", "doc", "pos", "next_seed", "next_pos"])
 
     return docs.select("doc_id", "text").filter("doc_id is not null").mapInArrow(run, schema)
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """Rows (doc, pos, first, first_pos): an occurrence of a seed and the holder's."""
-    found = seed_rows(docs)
+    """Rows (doc, pos, first, first_pos): an occurrence of a seed and a holder's."""
+    found = settle(seed_rows(docs))
     held = found.groupBy("seed").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n"))
     held = settle(held.filter("n > 1").select("seed", F.col("first.doc").alias("first"), F.col("first.pos").alias("first_pos")))
-    return found.join(held, "seed").filter(F.col("doc") != F.col("first")).select("doc", "pos", "first", "first_pos")
+    by_seed = found.join(held, "seed").filter(F.col("doc") != F.col("first")).select("doc", "pos", "first", "first_pos")
+
+    # Two seeds in a row, unless their holder is that of each of the two.
+    rows = found.filter("next_seed is not null")
+    both = rows.groupBy("seed", "next_seed").agg(F.min(F.struct("doc", "pos", "next_pos")).alias("by"), F.count("*").alias("n"))
+    both = both.filter("n > 1").select("seed", "next_seed", "by")
+    one = held.select("seed", F.struct(F.col("first").alias("doc"), F.col("first_pos").alias("pos")).alias("one"))
+    other = one.withColumnsRenamed({"seed": "next_seed", "one": "other"})
+    same = (F.col("one.doc") == F.col("by.doc")) & (F.col("one.pos") == F.col("by.pos"))
+    same &= (F.col("other.doc") == F.col("by.doc")) & (F.col("other.pos") == F.col("by.next_pos"))
+    both = settle(both.join(one, "seed").join(other, "next_seed").filter(~same).select("seed", "next_seed", "by"))
+    met = rows.join(both, ["seed", "next_seed"]).filter(F.col("doc") != F.col("by.doc"))
+    pairs = F.inline(F.array(
+        F.struct(F.col("pos"), F.col("by.doc").alias("first"), F.col("by.pos").alias("first_pos")),
+        F.struct(F.col("next_pos").alias("pos"), F.col("by.doc").alias("first"), F.col("by.next_pos").alias("first_pos")),
+    ))
+    return by_seed.unionByName(met.select("doc", pairs))
 
 
 class PrefixMax:

@@ -110,3 +110,17 @@ def test_cut_out():
     assert P.cut_out(" a b", [(0, 9)]) == " "
     assert P.cut_out(None, []) == ""
     assert P.seeds(np.zeros(3, np.uint64))[0].size == 0
+
+
+def test_passages_whose_parts_have_other_holders(spark):
+    r = np.random.default_rng(17)
+    text = lambda n: " ".join(f"w{x}" for x in r.integers(0, 10**9, n))
+    rows = []
+    for k in range(40):
+        parts = [text(60 // (2 + k % 2)) for _ in range(2 + k % 2)]
+        for i, part in enumerate(parts):
+            rows.append((10 * k + i, f"{text(40)} {part} {text(40)}"))
+        whole = " ".join(parts)
+        rows += [(10 * k + 8, f"{text(30)} {whole} {text(30)}"), (10 * k + 9, f"{text(45)} {whole} {text(20)}")]
+    got = P.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(x.doc_id, x.first_doc_id, x.start_word, x.n_words) for x in got} == {(10 * k + 9, 10 * k + 8, 45, 60) for k in range(40)}
