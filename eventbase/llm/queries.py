@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventbase.llm import bpe, embeddings, html, lines, mixing, passages, quality, sharding, simhash, toolcalls
+from eventbase.llm import bpe, embeddings, html, languages, lines, mixing, passages, quality, sharding, simhash, tokenlinks, toolcalls, trie
 from eventbase.llm.common import load, n_words
 from eventbase.llm.sql import SQL
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,5 +104,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(load(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = [op1_site_style_tree, op2_tool_calls, op3_simhash, op4_mixing, op5_sampled_splitters, op6_passages, op7_quantised_codes, op8_fourier_ridge, op9_line_labels, op10_bpe]
+def op11_euler_tour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations, with what its subtree holds and saves."""
+    return trie.measure(load(spark, sf_dir, "conversations"))
+
+
+def op12_lockstep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ends that two tokenizers share, for every document."""
+    return tokenlinks.measure(load(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
+def op13_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = load(spark, sf_dir, "documents")
+    return languages.predict(docs, languages.train(docs))
+
+
+QUERIES = [op1_site_style_tree, op2_tool_calls, op3_simhash, op4_mixing, op5_sampled_splitters, op6_passages, op7_quantised_codes, op8_fourier_ridge, op9_line_labels, op10_bpe, op11_euler_tour, op12_lockstep, op13_string_kernel]
 __all__ = ["QUERIES", "SQL"]

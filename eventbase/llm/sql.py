@@ -85,7 +85,43 @@ _ROUND = """c{n} AS (
          room - coalesce(sum(CASE WHEN new THEN size END) OVER (PARTITION BY source, block), 0) AS room FROM d{n}
 )"""
 
+# CRC-32 of the decimal id: its digits one after the other, and after each the eight steps of a byte (-1).
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+  x -> [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  (c, x) -> CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295::BIGINT)"""
+
+OP11_EULER_TOUR = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, md5(coalesce(text, '')) AS digest, length(coalesce(text, '')) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, {_CRC32} % 6 AS h, list(md5(length(role) || ':' || role || ':' || digest) ORDER BY place) AS said,
+         list(chars ORDER BY place) AS chars FROM turns GROUP BY conv_id
+), built AS (
+  SELECT c.conv_id, list_concat(coalesce(b.said[1:c.h], []), c.said[c.h + 1:]) AS path,
+         list_concat(coalesce(b.chars[1:c.h], []), c.chars[c.h + 1:]) AS chars
+  FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, d, array_to_string(path[1:d], '') AS key, CASE WHEN d > 0 THEN chars[d] ELSE 0 END AS chars, d = len(path) AS ends
+  FROM built, LATERAL (SELECT unnest(range(len(path) + 1)) AS d)
+), nodes AS (
+  SELECT key, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY key, d
+), below AS (
+  SELECT n.*, count(c.key) AS n_children FROM nodes n
+  LEFT JOIN nodes c ON c.depth = n.depth + 1 AND c.key[:32 * n.depth] = n.key GROUP BY ALL
+), subtrees AS (
+  SELECT key[:32 * a] AS key, a AS depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM below, LATERAL (SELECT unnest(range(depth + 1)) AS a) GROUP BY 1, 2
+)
+SELECT b.conv_id, b.depth, p.conv_id AS parent_conv_id, b.n_convs, b.n_children, s.n_leaves, s.saved_tokens, b.ends_sha256
+FROM below b JOIN subtrees s USING (key, depth) LEFT JOIN nodes p ON p.depth = b.depth - 1 AND p.key = b.key[:32 * (b.depth - 1)]
+"""
+
 SQL: dict[str, str] = {
     "op2_tool_calls": OP2_TOOL_CALLS,
     "op4_mixing": OP4_MIXING.replace("{rounds}", ", ".join(_ROUND.format(n=n, m=n + 1) for n in range(4))),
+    "op11_euler_tour": OP11_EULER_TOUR,
 }

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="the given tabl
 
 
 def test_one_query_per_operator():
-    assert [q.__name__.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.__name__.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert {q.__name__ for q in QUERIES} | {"pipeline"} <= set(entry_points.queries())
 
 
