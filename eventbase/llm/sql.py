@@ -87,8 +87,8 @@ _ROUND = """c{n} AS (
 
 # CRC-32 of the decimal id: its digits one after the other, and after each the eight steps of a byte (-1).
 _CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
-  x -> [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
-  (c, x) -> CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295::BIGINT)"""
+  lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295::BIGINT)"""
 
 OP11_EULER_TOUR = f"""
 WITH turns AS (

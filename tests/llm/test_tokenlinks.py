@@ -80,6 +80,16 @@ def test_long_texts_in_pieces(tools, monkeypatch):
     assert len(L.cuts(long[0])) > 5 and r
 
 
+def test_both_libraries_agree_on_a(tools, monkeypatch):
+    assert tools.fast
+    r = random.Random(2)
+    vocabulary = [t.decode("utf-8", "replace") for t in tools.side_a.tokens]
+    made = ["".join(r.choice(vocabulary) for _ in range(20)) for _ in range(2000)]
+    made += [r.choice("aA =-_\n\té日😀\x85") * r.randrange(1, 300) for _ in range(300)]
+    assert [tools.encode_a(t) for t in made] == [tools.a.encode(t, add_special_tokens=False).ids for t in made]
+    assert tools.encode_a(" " * 3_000_000) == tools.a.encode(" " * 3_000_000, add_special_tokens=False).ids
+
+
 def test_lanes_of_every_size_meet_the_same_ends():
     r = np.random.default_rng(1)
     a, b = (np.unique(np.append(r.integers(1, 5000, n), 5000)) for n in (900, 1400))
