@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventbase.session import shared_folder
+from eventbase.sources.files import Files
 
 # A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,11 +22,23 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write a result to the shared folder and read it again: what follows never computes it twice."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    settled = df.sparkSession.read.parquet(path)
+    _written[settled] = path
+    return settled
+
+
+def discard(*settled: DataFrame) -> None:
+    """Delete what ``settle`` wrote. Only for results of which all that was made is settled itself."""
+    for df in settled:
+        if path := _written.pop(df, None):
+            Files(df.sparkSession, path).delete(path)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -3,14 +3,16 @@
 1. Seeds: of every six neighbouring five-word shingles the one with the smallest hash (a minimiser). Documents that share
    ten words in a row share a seed.
 2. The first document with a seed (smallest id, then position) is its holder. Every other occurrence is matched
-   with the holder's alone, so the matches grow with the text, not with the square of a seed's frequency. Two seeds in a row
-   have a holder too, the first document with both: where the parts of a passage have different holders, the documents
-   that share the whole are compared by the seeds on either side of the joins.
+   with the holder's alone, so the matches grow with the text, not with the square of a seed's frequency. What a text
+   says again and again is matched n-th time with n-th time, and a passage it holds twice also with the first time.
 3. Per pair of documents, matches on one diagonal that touch are joined into fragments, and fragments that
    come in the same order in both are chained: the best chain to each fragment is looked up in a Fenwick tree of
    prefix maxima, with a cost per word of gap on either side.
 4. Chains are aligned word by word: fragments as they are, the gaps between them and the text beyond their ends by
    edit distance. A passage is a maximal run of the alignment in which four of five words agree, of at least 50 words.
+5. What is left: two shared seeds in a row of which no passage so far covers either have a holder of their own, the first
+   document with both, and are matched, chained and aligned in the same way. So where the parts of a passage have different
+   holders, the documents that share the whole are compared by the seeds on either side of the joins.
 
 Words are runs without ASCII white space, lower-cased A-Z, compared by a 64-bit hash. Of a repeated passage the
 smallest document keeps its own; the others are said to repeat it. Repetition within one document is not looked for.
@@ -27,11 +29,11 @@ from difflib import SequenceMatcher
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventbase.llm.common import arrow_rows, free_name, settle
+from eventbase.llm.common import arrow_rows, discard, free_name, settle
 
 SHINGLE = 5  # words
 WINDOW = 6  # shingles of which one is a seed
@@ -40,6 +42,7 @@ SIMILARITY = 0.8
 GAP_COST = 0.2  # per word of a gap on either side, against 1 per word matched
 LONGEST_GAP = 64  # words between fragments of one chain
 LEAST_SCORE = 6.0  # of a chain: more than one seed alone
+NEXT_SEED = 18  # words to the next seed at most, for two in a row
 MARGIN = 64  # words beside a chain that are looked at; windows start and end at multiples of it
 
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -50,67 +53,99 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the minimisers."""
+def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions and hashes of the minimisers, and whether a row is a second one of its place.
+
+    The second and later occurrences of a seed in the text are seeds of their own, told apart by their number. Where
+    at least ``LEAST_WORDS`` lie between an occurrence and the one before it, it is also given as if it were the first.
+    """
     n = len(words) - SHINGLE + 1
     if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     mixed = np.zeros(n, np.uint64)
     for i in range(SHINGLE):
-        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n]
-    mixed ^= mixed >> np.uint64(32)
-    mixed *= np.uint64(0xD6E8FEB86659FD93)
-    mixed ^= mixed >> np.uint64(32)
+        mixed = _mixed(mixed, words[i : i + n])
+    mixed = _stirred(mixed)
     width = min(WINDOW, n)
     views = np.lib.stride_tricks.sliding_window_view(mixed, width)
     at = np.unique(views.argmin(axis=1) + np.arange(n - width + 1))
-    return at, mixed[at].view(np.int64)
+    found = mixed[at]
+    order = np.argsort(found, kind="stable")
+    places = np.arange(len(at))
+    new = np.append(True, found[order][1:] != found[order][:-1])
+    nth = np.empty(len(at), np.uint64)
+    nth[order] = places - np.maximum.accumulate(np.where(new, places, 0))
+    far = np.zeros(len(at), bool)
+    far[order[1:]] = ~new[1:] & (np.diff(at[order]) >= LEAST_WORDS)
+    own = np.where(nth > 0, _stirred(_mixed(found, nth)), found)
+    at, own, again = np.append(at, at[far]), np.append(own, found[far]), np.append(np.zeros(len(at), bool), far[far])
+    return at, own.view(np.int64), again
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return a * np.uint64(0x9E3779B97F4A7C15) + b
+
+
+def _stirred(a: np.ndarray) -> np.ndarray:
+    a = (a ^ a >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return a ^ a >> np.uint64(32)
 
 
 def seed_rows(docs: DataFrame) -> DataFrame:
-    """Rows (seed, doc, pos, next_seed, next_pos) of a table (doc_id, text); the last seed of a text has no next."""
-    schema = T.StructType([T.StructField("seed", T.LongType()), T.StructField("doc", docs.schema["doc_id"].dataType), T.StructField("pos", T.IntegerType()), T.StructField("next_seed", T.LongType()), T.StructField("next_pos", T.IntegerType())])
+    """Rows (seed, doc, pos, again) of a table (doc_id, text)."""
+    kind = docs.schema["doc_id"].dataType
+    schema = T.StructType([T.StructField("seed", T.LongType()), T.StructField("doc", kind), *T._parse_datatype_string("pos int, again boolean")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
                 found = [seeds(word_hashes(t)) for t in part.column(1).to_pylist()]
-                own = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
+                own = np.repeat(np.arange(len(found)), [len(at) for at, *_ in found])
                 if len(own):
-                    seed, pos = np.concatenate([s for _, s in found]), np.concatenate([at for at, _ in found]).astype(np.int32)
-                    last = np.append(own[1:] != own[:-1], True)
-                    made = [
-                        pa.array(seed), part.column(0).take(pa.array(own)), pa.array(pos),
-                        pa.array(np.roll(seed, -1), mask=last), pa.array(np.roll(pos, -1), mask=last),
-                    ]
-                    yield pa.RecordBatch.from_arrays(made, names=["seed", "doc", "pos", "next_seed", "next_pos"])
+                    pos, seed, again = (np.concatenate(c) for c in zip(*found))
+                    made = [pa.array(seed), part.column(0).take(pa.array(own)), pa.array(pos.astype(np.int32)), pa.array(again)]
+                    yield pa.RecordBatch.from_arrays(made, names=["seed", "doc", "pos", "again"])
 
     return docs.select("doc_id", "text").filter("doc_id is not null").mapInArrow(run, schema)
 
 
-def matches(docs: DataFrame) -> DataFrame:
-    """Rows (doc, pos, first, first_pos): an occurrence of a seed and a holder's."""
+def shared_seeds(docs: DataFrame) -> DataFrame:
+    """Rows (seed, doc, pos, again, first, first_pos): every occurrence of a seed that occurs twice or more, and its holder's."""
     found = settle(seed_rows(docs))
-    held = found.groupBy("seed").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n"))
-    held = settle(held.filter("n > 1").select("seed", F.col("first.doc").alias("first"), F.col("first.pos").alias("first_pos")))
-    by_seed = found.join(held, "seed").filter(F.col("doc") != F.col("first")).select("doc", "pos", "first", "first_pos")
-
-    # Two seeds in a row, unless their holder is that of each of the two.
-    rows = found.filter("next_seed is not null")
-    both = rows.groupBy("seed", "next_seed").agg(F.min(F.struct("doc", "pos", "next_pos")).alias("by"), F.count("*").alias("n"))
-    both = both.filter("n > 1").select("seed", "next_seed", "by")
-    one = held.select("seed", F.struct(F.col("first").alias("doc"), F.col("first_pos").alias("pos")).alias("one"))
-    other = one.withColumnsRenamed({"seed": "next_seed", "one": "other"})
-    same = (F.col("one.doc") == F.col("by.doc")) & (F.col("one.pos") == F.col("by.pos"))
-    same &= (F.col("other.doc") == F.col("by.doc")) & (F.col("other.pos") == F.col("by.next_pos"))
-    both = settle(both.join(one, "seed").join(other, "next_seed").filter(~same).select("seed", "next_seed", "by"))
-    met = rows.join(both, ["seed", "next_seed"]).filter(F.col("doc") != F.col("by.doc"))
+    # A holder holds a seed once: what a text repeats as if it were the first has an occurrence before it.
+    held = found.groupBy("seed").agg(F.min(F.struct("doc", "pos")).alias("by"), F.count("*").alias("n")).filter("n > 1")
+    shared = settle(found.join(held, "seed").select("seed", "doc", "pos", "again", F.col("by.doc").alias("first"), F.col("by.pos").alias("first_pos")))
+    discard(found)
+    return shared
+
+
+def matches(shared: DataFrame) -> DataFrame:
+    """Rows (doc, pos, first, first_pos): an occurrence of a seed and its holder's."""
+    return shared.filter(F.col("doc") != F.col("first")).select("doc", "pos", "first", "first_pos")
+
+
+def pair_matches(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows like those of ``matches``, by two shared seeds in a row that the passages ``found`` leave uncovered."""
+    spans = found.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(F.struct("start_word", "n_words")).alias("spans"))
+
+    def covers(s: Column) -> Column:
+        return (s["start_word"] <= F.col("pos")) & (F.col("pos") + SHINGLE <= s["start_word"] + s["n_words"])
+
+    left = shared.filter("not again").join(spans, "doc", "left").filter(~F.coalesce(F.exists("spans", covers), F.lit(False))).drop("spans")
+    row = F.struct("seed", "pos", "first", "first_pos")
+    rows = left.withColumn("next", F.lead(row).over(Window.partitionBy("doc").orderBy("pos")))
+    rows = settle(rows.filter(F.col("next.pos") - F.col("pos") <= NEXT_SEED).withColumn("next_seed", F.col("next.seed")))
+    by = F.min(F.struct(F.col("doc"), F.col("pos"), F.col("next.pos").alias("next_pos")))
+    both = rows.groupBy("seed", "next_seed").agg(by.alias("by"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    same = (F.col("first") == F.col("by.doc")) & (F.col("first_pos") == F.col("by.pos"))
+    same &= (F.col("next.first") == F.col("by.doc")) & (F.col("next.first_pos") == F.col("by.next_pos"))
+    met = rows.join(both, ["seed", "next_seed"]).filter((F.col("doc") != F.col("by.doc")) & ~same)
     pairs = F.inline(F.array(
         F.struct(F.col("pos"), F.col("by.doc").alias("first"), F.col("by.pos").alias("first_pos")),
-        F.struct(F.col("next_pos").alias("pos"), F.col("by.doc").alias("first"), F.col("by.next_pos").alias("first_pos")),
+        F.struct(F.col("next.pos").alias("pos"), F.col("by.doc").alias("first"), F.col("by.next_pos").alias("first_pos")),
     ))
-    return by_seed.unionByName(met.select("doc", pairs))
+    return met.select("doc", pairs).distinct()
 
 
 class PrefixMax:
@@ -147,7 +182,10 @@ def fragments(pos: np.ndarray, other: np.ndarray) -> list[tuple[int, int, int]]:
 
 
 def chains(parts: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
-    """Fragments in chains, best first, each fragment in one at most."""
+    """Fragments in chains, best first, each fragment in one at most.
+
+    A chain whose words all lie in fragments of better chains is left out: they are aligned already.
+    """
     ends = sorted({o + n for _, o, n in parts})
     place = {e: i for i, e in enumerate(ends)}
     starts_at = np.searchsorted(ends, [o for _, o, _ in parts], side="right") - 1
@@ -168,6 +206,8 @@ def chains(parts: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]
         else:
             tree.put(place[o + n], (score[i] + GAP_COST * (p + o + 2 * n), i))
     used = [False] * len(parts)
+    low = parts[0][0] if parts else 0
+    covered = np.zeros(max((p + n for p, _, n in parts), default=0) - low, bool)
     out = []
     for i in sorted(range(len(parts)), key=lambda i: (-score[i], i)):
         chain = []
@@ -175,8 +215,10 @@ def chains(parts: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]
             used[i] = True
             chain.append(parts[i])
             i = before[i]
-        if sum(n for *_, n in chain) >= LEAST_SCORE:
+        if sum(n for *_, n in chain) >= LEAST_SCORE and not all(covered[p - low : p - low + n].all() for p, _, n in chain):
             out.append(chain[::-1])
+            for p, _, n in chain:
+                covered[p - low : p - low + n] = True
     return out
 
 
@@ -228,6 +270,13 @@ def _pairs(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return [(i + k, j + k) for i, j, n in blocks for k in range(n)]
 
 
+def may_agree(words: np.ndarray, others: np.ndarray) -> bool:
+    """Whether two windows have as many words in common as the shortest passage needs."""
+    (a, times_a), (b, times_b) = np.unique(words, return_counts=True), np.unique(others, return_counts=True)
+    _, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    return int(np.minimum(times_a[at], times_b[to]).sum()) >= SIMILARITY * LEAST_WORDS
+
+
 def align(words: np.ndarray, start: int, others: np.ndarray, other_start: int, parts: list[list[int]]) -> list[tuple[int, int, int, int, float]]:
     """Passages (position, words, other's position, other's words, similarity) along a chain.
 
@@ -277,7 +326,15 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     ``doc_id`` repeats what ``first_doc_id``, which is smaller, has. Word positions count from 0.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    found = chain_rows(matches(docs))
+    shared = shared_seeds(docs)
+    found = aligned_chains(docs, chain_rows(matches(shared)))
+    more = aligned_chains(docs, chain_rows(pair_matches(shared, found)))
+    discard(shared)
+    return found.unionByName(more).distinct()
+
+
+def aligned_chains(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The passages along the chains of ``chain_rows``, settled."""
     last = F.element_at("parts", -1)
 
     def low(i: int) -> Column:
@@ -292,7 +349,7 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     asked = chained.select(F.col("doc").alias("doc_id"), "lo", "hi").unionByName(
         chained.select(F.col("first").alias("doc_id"), F.col("first_lo").alias("lo"), F.col("first_hi").alias("hi"))
     )
-    # Windows start and end at multiples of MARGIN: a document has no more of them than its own length allows.
+    # Windows start and end at multiples of MARGIN, so that chains over the same words ask for the same window.
     asked = asked.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("windows"))
     kind = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("of", kind), *T._parse_datatype_string("from int, upto int, words array<long>")])
@@ -319,10 +376,14 @@ def passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
     def aligned(columns: list[list]) -> Iterator[tuple]:
         for doc, first, parts, lo, first_lo, words, others in zip(*columns):
-            for p, n, o, m, like in align(np.array(words, np.int64), lo, np.array(others, np.int64), first_lo, parts):
-                yield doc, first, p, n, o, m, like
+            words, others = np.array(words, np.int64), np.array(others, np.int64)
+            if sum(n for *_, n in parts) >= SIMILARITY * LEAST_WORDS or may_agree(words, others):
+                for p, n, o, m, like in align(words, lo, others, first_lo, parts):
+                    yield doc, first, p, n, o, m, like
 
-    return arrow_rows(both, aligned, schema).distinct()
+    passed = settle(arrow_rows(both, aligned, schema).distinct())
+    discard(chained, texts)
+    return passed
 
 
 def cut_out(text: str | None, spans: list[tuple[int, int]]) -> str:
@@ -347,7 +408,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Documents of which no word is left go; those that had none to begin with stay.
     """
-    found = passages(docs, doc_id, text)
+    found = settle(passages(docs, doc_id, text))
     spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "n_words")).alias("_spans"))
     spans = settle(spans.withColumnRenamed("doc_id", "_doc"))
     joined = docs.join(spans, docs[doc_id] == spans["_doc"], "left")

@@ -112,6 +112,21 @@ def test_cut_out():
     assert P.seeds(np.zeros(3, np.uint64))[0].size == 0
 
 
+def test_words_and_lines_said_again_and_again(spark):
+    r = random.Random(8)
+    line, passage = words(r, 20), words(r, 60)
+    rows = [
+        (1, " ".join(line * 300)), (2, " ".join([*words(r, 40), *line * 200])), (3, "thor " * 5000), (4, "x " + "thor " * 4000),
+        (5, " ".join(passage)), (6, " ".join([*passage, *words(r, 70), *passage, *words(r, 5), *passage])), (7, " ".join(line)),
+    ]
+    got = {}
+    for x in P.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault((x.doc_id, x.first_doc_id), set()).update(range(x.start_word, x.start_word + x.n_words))
+    assert set(got) == {(2, 1), (4, 3), (6, 5)}
+    assert got[2, 1] == set(range(40, 4040)) and got[4, 3] == set(range(1, 4001))
+    assert got[6, 5] == {*range(60), *range(130, 190), *range(195, 255)}
+
+
 def test_passages_whose_parts_have_other_holders(spark):
     r = np.random.default_rng(17)
     text = lambda n: " ".join(f"w{x}" for x in r.integers(0, 10**9, n))
