@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -299,19 +300,20 @@ def encoded(text: str, merges: MergeList, words: KnownWords) -> Iterator[str]:
 _loaded: dict[str, tuple[MergeList, KnownWords, Decoder]] = {}
 
 
-def tools(spec: str) -> tuple[MergeList, KnownWords, Decoder]:
+def tools(shared: tuple[str, Broadcast[str]]) -> tuple[MergeList, KnownWords, Decoder]:
     """Parsed once per worker."""
-    key = hashlib.sha256(spec.encode()).hexdigest()
+    key, spec = shared
     if key not in _loaded:
-        merges = MergeList(spec)
+        merges = MergeList(spec.value)
         _loaded[key] = merges, KnownWords(merges), Decoder(merges)
     return _loaded[key]
 
 
-def _shared_spec(df: DataFrame, tokenizer_path: str):
-    """The vocabulary file, read by the driver and sent to the workers. Its size does not depend on the data."""
+def _shared_spec(df: DataFrame, tokenizer_path: str) -> tuple[str, Broadcast[str]]:
+    """The vocabulary file, read by the driver and sent to the workers, and its digest. Its size does not depend on the data."""
     with open(tokenizer_path, encoding="utf-8") as file:
-        return df.sparkSession.sparkContext.broadcast(file.read())
+        spec = file.read()
+    return hashlib.sha256(spec.encode()).hexdigest(), df.sparkSession.sparkContext.broadcast(spec)
 
 
 def _adding(df: DataFrame, field: T.StructField) -> tuple[DataFrame, T.StructType]:
@@ -325,7 +327,7 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
     at, kept = df.columns.index(text), [i for i, c in enumerate(df.columns) if c != ids]
 
     def rows(columns: list[list]) -> Iterator[tuple]:
-        merges, words, _ = tools(spec.value)
+        merges, words, _ = tools(spec)
         for row in zip(*columns):
             made = [i for part in encoded(row[at] or "", merges, words) for i in numbers(part).tolist()]
             yield (*(row[k] for k in kept), made)
@@ -339,7 +341,7 @@ def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "de
     at, kept = df.columns.index(ids), [i for i, c in enumerate(df.columns) if c != text]
 
     def rows(columns: list[list]) -> Iterator[tuple]:
-        _, _, decoder = tools(spec.value)
+        _, _, decoder = tools(spec)
         for row in zip(*columns):
             decoder.reset()
             yield (*(row[k] for k in kept), decoder.feed(np.array(row[at] or [], np.int64), True))
@@ -353,7 +355,7 @@ def round_trip(df: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text:
     schema = T.StructType([df.schema[doc_id], *T._parse_datatype_string("n_tokens long, ids_sha256 string, decoded_sha256 string")])
 
     def rows(columns: list[list]) -> Iterator[tuple]:
-        merges, words, decoder = tools(spec.value)
+        merges, words, decoder = tools(spec)
         for key, whole in zip(*columns):
             n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
             decoder.reset()
