@@ -11,6 +11,7 @@ from eventbase.functions.keys import app_key_of, application_key, event_type_of
 from eventbase.operators import analysis, gateway, registry
 from eventbase.operators.keyed_table import ORDER, KeyedTable
 from eventbase.operators.registry import EventConfig
+from eventbase.plans import timeline
 from eventbase.plans.inputs import (
     APP, EVENT_SCHEMA, ORDER_SCHEMA, event_body, event_configs, event_messages, fields,
     filled_store, new_store, no_zone, order_messages, parsed, table, time_text,
@@ -847,5 +848,5 @@ QUERIES = [
     ingest_many_types, ingest_repeated_fields, ingest_times_without_dates, agg_stream_new_checkpoint, append_two_streams, cube_users, sink_types_roundtrip, stream_ingest, stream_resume, stream_progress, saved_offsets,
     agg_stream_tumbling, agg_stream_sliding, agg_stream_late, agg_stream_session, enrich_stream, agg_batch, agg_approx_users,
     enrich_dimension, cube_events, rollup_events, grouping_sets_events, sql_filter_project, sql_window, sql_topk, sql_setops,
-    sql_join, sql_range_join,
+    sql_join, sql_range_join, *timeline.QUERIES,
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from eventbase.plans import timeline
+
 _K = r"cast(regexp_extract(props, '\d+') AS INTEGER)"
 _MONEY = "cast(value AS DECIMAL(18,2))"
 _LATEST = f"""
@@ -226,3 +228,5 @@ SELECT s.event_id AS signup_id, count(e.event_id) AS errors
 FROM (SELECT * FROM events WHERE event_type = 'signup') s LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') e
   ON s.user_id = e.user_id AND e.ts >= s.ts AND e.ts < s.ts + INTERVAL 1 HOUR GROUP BY 1""",
 }
+
+ORACLE |= timeline.SQL
