@@ -131,8 +131,11 @@ def train(docs: DataFrame, sample: int = SAMPLE, n_landmarks: int = LANDMARKS) -
     The landmarks' sets come to the driver, and one matrix of sums per partition; the number of languages is that of the model.
     """
     keyed = docs.select("doc_id", "lang").filter("doc_id is not null and lang is not null").filter(~held_out("doc_id"))
-    # Spark cuts each task's rows to the first ``sample`` per language before they are shuffled.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # Of a language with many rows only those with small hashes, about twice ``sample``, are put in order.
+    sizes = keyed.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    keyed = keyed.join(sizes, keyed["lang"] == sizes["of"]).filter(share * F.col("n") < 2 * sample).select("doc_id", "lang")
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)), "doc_id")
     drawn = keyed.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample)
     drawn = drawn.groupBy("doc_id", "lang").agg(F.min("nth").alias("nth"))
     texts = docs.select("doc_id", "lang", "text").join(F.broadcast(drawn), ["doc_id", "lang"])  # bounded by ``sample``

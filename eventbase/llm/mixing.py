@@ -3,10 +3,12 @@
 1. Targets: sources share the wanted number of words by weight; what exceeds the most times a source may
    be repeated is shared again among the others. In closed form: with the sources in order of how soon they fill up, the
    full ones are a prefix.
-2. Blocks: the documents of a source are dealt by hash into blocks of about equal size. A target is a number
-   of whole passes over all of the source's blocks and a last pass over some of them: blocks in permuted order while they fit,
-   then, from the one block that does not fit, documents in permuted order while they fit, and such as fit the gap that stays. Only that one block is
-   looked into, so no source, however large, passes through one task.
+2. Documents of a source are put in permuted order, by a hash of their ids; those that are large against a block or against what is
+   wanted come first. Blocks of about equal size are ranges of that order. A target is a number of whole passes over all of the
+   source's documents and a last pass that takes each document in order that still fits. The last pass goes by
+   segments: from sums of blocks follows the block in which the room runs out, in it the document that does not fit; after it a
+   new segment begins for what is at most as large as the room left, until no document is. The room shrinks below the size of
+   a document each time, so segments are few, and no source passes through one task.
 3. Shards: a binary tree splits the list of exact block quotas. At each node the quotas of its left half
    are a multivariate hypergeometric draw (one source after the other, by inverse distribution function from a hashed
    uniform), so the shards are what cutting one random order of all blocks would give. Each source's drawn
@@ -16,7 +18,8 @@
 All draws are hashes of ids and the seed, so runs agree. The tree holds one row per node with one number per source:
 sources are few (a mixture has components, not keys of the data); shards grow with the words taken.
 
-Rules for odd input: a null text has size 0; a null source is a source, last in order; repeated ids go the same way together;
+Rules for odd input: a null text has size 0; a null source is a source, last in order; rows that repeat an id are documents each,
+next to each other in order;
 a source without words has target 0 and its documents are taken 0 times; an empty table gives an empty mix.
 """
 
@@ -30,9 +33,11 @@ from eventbase.llm.common import n_words, settle
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5  # words wanted, as a part of all words
 MOST_TIMES = 2  # a source may be taken
-FILLS = 4  # times the cut block is gone through
 BLOCK_WORDS = 1 << 16
 SHARD_WORDS = 1 << 22
+PLACES = 64  # uses of blocks in which a shard's range and a place are looked for
+STRIPE = 1 << 12  # blocks of a source whose sums are formed in one group
+LARGE = 8  # documents of more than this part of the words wanted come first
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_TIMES) -> DataFrame:
@@ -139,6 +144,57 @@ def _on_source(a: DataFrame, b: DataFrame) -> Column:
     return a["source"].eqNullSafe(b["source"])
 
 
+def _with_sums(rows: DataFrame, value: str, upto: str) -> DataFrame:
+    """Rows of (source, block, ...) with the sum of a value up to and including their block, in two levels; blocks are once per source."""
+    striped = rows.withColumn("stripe", F.floor(F.col("block") / STRIPE))
+    within = Window.partitionBy("source", "stripe").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy("of").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    stripes = striped.groupBy(F.col("source").alias("of"), F.col("stripe").alias("at")).agg(F.sum(value).alias("sum"))
+    stripes = stripes.select("of", "at", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"))
+    inside = striped.withColumn("inside", F.sum(value).over(within))
+    met = inside.join(stripes, inside["source"].eqNullSafe(stripes["of"]) & (inside["stripe"] == stripes["at"]))
+    return met.select(*(inside[c] for c in rows.columns), (F.col("inside") + F.col("before")).alias(upto))
+
+
+def segments(placed: DataFrame, goal: DataFrame) -> DataFrame:
+    """Rows (source, segments): per source the parts of its last pass, each (after, room): a place and the words still free after it.
+
+    ``placed`` has source, block, place and size of each document; a source is open until a round takes all that fits.
+    """
+    everything = F.struct("block", "place")
+    start = placed.select(everything.alias("after")).schema["after"].dataType
+    state = goal.filter("rest > 0").select("source", F.col("rest").alias("room"), F.lit(None).cast(start).alias("after"))
+    open_, rounds = settle(state), []
+    while not open_.isEmpty():
+        rounds.append(open_)
+        now = open_.select(F.col("source").alias("of"), "room", "after")
+        # what lies after the last document that did not fit, and is no larger than the room
+        fits = placed.join(now, placed["source"].eqNullSafe(now["of"])).filter(F.col("size") <= F.col("room"))
+        fits = fits.filter(F.col("size") > 0).filter(F.col("after").isNull() | (everything > F.col("after")))
+        blocks = fits.groupBy("source", "block").agg(F.sum("size").alias("words"), F.max("room").alias("room"))
+        summed = _with_sums(blocks, "words", "upto").filter("upto > room")
+        cut = summed.groupBy("source").agg(F.min(F.struct("block", (F.col("room") - F.col("upto") + F.col("words")).alias("room"))).alias("cut"))
+        cut = cut.select(F.col("source").alias("in"), F.col("cut.block").alias("cut"), F.col("cut.room").alias("free"))
+        inside = fits.join(cut, fits["source"].eqNullSafe(cut["in"]) & (fits["block"] == cut["cut"]))
+        order = Window.partitionBy("source").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+        inside = inside.withColumn("upto", F.sum("size").over(order))
+        taken = F.coalesce(F.sum(F.when(F.col("upto") <= F.col("free"), F.col("size"))), F.lit(0))
+        first = F.min(F.when(F.col("upto") > F.col("free"), everything))
+        left = inside.groupBy("source").agg((F.max("free") - taken).alias("room"), first.alias("after"))
+        open_ = settle(left)
+    listed = rounds[0] if rounds else open_
+    for r in rounds[1:]:
+        listed = listed.unionByName(r)
+    return listed.groupBy("source").agg(F.collect_list(F.struct("after", "room")).alias("segments"))
+
+
+def _ranks(uses: DataFrame) -> DataFrame:
+    """Rows (source, pass, block) with ``place``: numbers from 0 without gaps in each source, pass after pass."""
+    blocks = _with_sums(uses.groupBy("source", "block").agg(F.count("*").alias("times"), F.sort_array(F.collect_list("pass")).alias("passes")), "times", "upto")
+    each = blocks.select("source", "block", F.posexplode("passes").alias("nth", "pass"), "upto", "times")
+    return each.select("source", "block", "pass", (F.col("upto") - F.col("times") + F.col("nth")).alias("place"))
+
+
 def mix(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -152,7 +208,8 @@ def mix(
 
     ``uses`` has an entry (pass, shard, order_key) for each time the mix takes the document.
     """
-    sizes = settle(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size")))
+    sizes = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
+    sizes = settle(sizes.withColumn("row", F.monotonically_increasing_id()))
     goal = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     goal = goal.withColumn("passes", passes.cast("long")).select(
@@ -161,55 +218,49 @@ def mix(
     )
     goal = settle(goal)
     placed = sizes.join(goal, _on_source(sizes, goal)).drop(goal["source"])
-    placed = placed.withColumn("block", _hash(seed, F.col("doc_id")) % F.col("n_blocks"))
-
-    # The last pass: whole blocks in permuted order while they fit. Blocks are few: a row stands for block_words.
-    blocks = placed.groupBy("source", "block").agg(*(F.max(c).alias(c) for c in ("rest", "passes")), F.sum("size").alias("words"))
-    order = Window.partitionBy("source").orderBy(_hash(seed + 1, F.col("source"), F.col("block")), "block")
-    blocks = blocks.withColumn("room", F.col("rest") - F.sum("words").over(order) + F.col("words"))
-    blocks = blocks.withColumn("rank", F.row_number().over(order) - 1)
-    fits = F.when(F.col("room") >= F.col("words"), "whole").when(F.col("room") > 0, "cut").otherwise("out")
-    times = F.col("passes") + F.when(fits == "out", 0).otherwise(1)
-    n = F.count("*").over(Window.partitionBy("source"))
-    blocks = settle(blocks.withColumn("is_cut", fits == "cut").withColumn("times", times.cast("long")).withColumn("n", n))
-
-    # Quotas of blocks, their split among the shards, and the blocks each shard gets.
+    key = _hash(seed, F.col("doc_id"))
+    small = (F.col("size") <= F.least(F.lit(block_words), F.col("rest") / LARGE)).cast("long")
+    block = small * F.col("n_blocks") + F.floor(key / float(1 << 52) * F.col("n_blocks")).cast("long")
+    place = F.struct(key.alias("key"), F.col("doc_id").isNull().alias("is_null"), F.col("doc_id"), F.col("size"), F.col("row"))
+    placed = settle(placed.withColumn("block", block).withColumn("place", place))
+
+    # The last pass: of the segments a document lies in the last one that starts before it.
+    parts = segments(placed.select("source", "block", "place", "size"), goal)
+    parts = settle(parts.withColumnRenamed("source", "of"))
+    own = F.struct("block", "place")
+    free = F.array_min(F.transform(F.filter("segments", lambda s: s["after"].isNull() | (s["after"] < own)), lambda s: s["room"]))
+    # the document a segment starts after did not fit into the one before
+    missed = F.exists("segments", lambda s: s["after"].eqNullSafe(own))
+    last = (F.col("size") > 0) & (F.col("size") <= free) & ~missed
+    each = placed.join(parts, placed["source"].eqNullSafe(parts["of"]), "left").withColumn("last", F.coalesce(last, F.lit(False)))
+    each = settle(each.select("doc_id", "source", "size", "source_size", "target", "passes", "block", "last"))
+
+    # Quotas of blocks, their split among the shards, and the shard of each use of a block.
     wanted = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)) * SHARE).first()[0]
     shards = 1
     while shards * shard_words < wanted:
         shards *= 2
-    quotas = blocks.groupBy("source").agg(F.sum("times").alias("blocks"))
-    cuts = settle(shard_quotas(quotas, shards, seed + 2))
-    drawn = blocks.filter("times > 0").withColumn("pass", F.explode(F.expr("sequence(0, times - 1)")))
-    drawn = drawn.withColumn("place", F.col("pass") * F.col("n") + F.col("rank"))
-    inside = (drawn["place"] >= cuts["first"]) & (drawn["place"] < cuts["last"])
-    use = F.struct(F.col("pass"), F.col("shard"), (F.col("is_cut") & (F.col("pass") == F.col("passes"))).alias("some"))
-    drawn = drawn.join(cuts, _on_source(drawn, cuts) & inside).select(
-        drawn["source"], "block", F.when(F.col("is_cut"), F.col("room")).alias("room"), use.alias("use")
-    )
-    drawn = settle(drawn.groupBy("source", "block").agg(F.max("room").alias("room"), F.sort_array(F.collect_list("use")).alias("uses")))
-
-    on = _on_source(placed, drawn) & (placed["block"] == drawn["block"])
-    each = placed.join(drawn, on, "left").select(*(placed[c] for c in ("doc_id", "source", "size", "source_size", "target", "block")), "room", "uses")
-    each = each.withColumn("uses", F.when(F.col("size") > 0, F.col("uses")))
-    # the one cut block of a source: documents in permuted order while they fit, then those that fit the gap
-    block = Window.partitionBy("source", "block")
-    upto = block.orderBy(_hash(seed + 3, F.col("doc_id")), "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    some = each.filter("room is not null").withColumn("in", F.lit(False))
-    for _ in range(FILLS):
-        fits = ~F.col("in") & (F.col("size") <= F.col("room"))
-        some = some.withColumn("upto", F.sum(F.when(fits, F.col("size"))).over(upto))
-        some = some.withColumn("new", fits & (F.col("upto") <= F.col("room"))).withColumn("in", F.col("in") | F.col("new"))
-        used = F.coalesce(F.sum(F.when(F.col("new"), F.col("size"))).over(block), F.lit(0))
-        some = some.withColumn("room", F.col("room") - used)
-    some = some.withColumn("uses", F.filter("uses", lambda u: F.col("in") | ~u["some"])).select(each.columns)
+    blocks = each.filter("size > 0").groupBy("source", "block").agg(F.max("passes").alias("passes"), F.max("last").alias("last"))
+    times = F.col("passes") + F.col("last").cast("long")
+    uses = blocks.filter(times > 0).select("source", "block", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)).alias("pass"))
+    uses = settle(_ranks(uses))
+    cuts = shard_quotas(uses.groupBy("source").agg(F.count("*").alias("blocks")), shards, seed + 2).filter("first < last")
+    # A shard's range of places and a place meet in steps of places.
+    steps = F.sequence(F.floor(F.col("first") / PLACES), F.floor((F.col("last") - 1) / PLACES))
+    cuts = cuts.select(F.col("source").alias("of"), "shard", "first", "last", F.explode(steps).alias("step"))
+    asked = uses.withColumn("at", F.floor(F.col("place") / PLACES))
+    met = asked["source"].eqNullSafe(cuts["of"]) & (asked["at"] == cuts["step"]) & asked["place"].between(cuts["first"], cuts["last"] - 1)
+    drawn = asked.join(cuts, met).groupBy("source", "block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("uses"))
+    drawn = drawn.withColumnsRenamed({"source": "of", "block": "in"})
 
     def keyed(u: Column) -> Column:
-        key = _hash(seed + 4, u["shard"], F.col("doc_id"), u["pass"])
-        return F.struct(u["pass"], u["shard"], key.alias("order_key"))
+        order_key = _hash(seed + 4, u["shard"], F.col("doc_id"), u["pass"])
+        return F.struct(u["pass"], u["shard"], order_key.alias("order_key"))
 
-    uses = F.coalesce(F.transform("uses", keyed), F.array().cast("array<struct<pass:bigint,shard:int,order_key:bigint>>"))
-    return each.filter("room is null").unionByName(some).select("doc_id", "source", "size", "source_size", "target", uses.alias("uses"))
+    rows = each.join(drawn, each["source"].eqNullSafe(drawn["of"]) & (each["block"] == drawn["in"]), "left")
+    own_uses = F.filter("uses", lambda u: (F.col("size") > 0) & (F.col("last") | (u["pass"] < F.col("passes"))))
+    uses = F.coalesce(F.transform(own_uses, keyed), F.array().cast("array<struct<pass:bigint,shard:int,order_key:bigint>>"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", uses.alias("uses"))
 
 
 def taken(mixed: DataFrame) -> DataFrame:

@@ -59,32 +59,25 @@ WITH sized AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS passes,
          greatest(1, ceil(source_size / 65536.0))::BIGINT AS n_blocks FROM goal
 ), placed AS (
-  SELECT s.doc_id, s.source, s.size, g.source_size, g.target, g.passes, g.target - g.passes * g.source_size AS rest,
-         ('0x' || substr(md5(concat_ws('|', '17', s.doc_id)), 1, 13))::BIGINT % g.n_blocks AS block
+  SELECT s.doc_id, s.source, s.size, g.source_size, g.target, g.passes, g.target - g.passes * g.source_size AS rest, g.n_blocks,
+         ('0x' || substr(md5(concat_ws('|', '17', s.doc_id)), 1, 13))::BIGINT AS key
   FROM sized s JOIN split g ON s.source IS NOT DISTINCT FROM g.source
-), blocks AS (
-  SELECT source, block, sum(size) AS words, max(rest) AS rest,
-         ('0x' || substr(md5(concat_ws('|', '18', source, block)), 1, 13))::BIGINT AS key
-  FROM placed GROUP BY source, block
-), roomy AS (
-  SELECT source, block, words,
-         rest - sum(words) OVER (PARTITION BY source ORDER BY key, block ROWS UNBOUNDED PRECEDING) + words AS room FROM blocks
-), r0 AS (
-  SELECT p.*, b.words, b.room, ('0x' || substr(md5(concat_ws('|', '20', p.doc_id)), 1, 13))::BIGINT AS key, b.room >= b.words AS chosen,
-         row_number() OVER (PARTITION BY p.source, p.block ORDER BY ('0x' || substr(md5(concat_ws('|', '20', p.doc_id)), 1, 13))::BIGINT, p.doc_id, p.size) AS nth
-  FROM placed p JOIN roomy b ON p.source IS NOT DISTINCT FROM b.source AND p.block = b.block
-), {rounds}
-SELECT doc_id, size, source_size, target, (size * (passes + CASE WHEN chosen THEN 1 ELSE 0 END))::BIGINT AS taken FROM r4
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY
+           CASE WHEN size <= least(65536, rest / 8) THEN n_blocks ELSE 0 END + floor(key / 4503599627370496.0 * n_blocks),
+           key, doc_id NULLS LAST, size) AS nth
+  FROM placed
+), walked AS (
+  SELECT source, list_reduce(list_concat([{'size': 0::BIGINT, 'room': max(rest), 'fits': []::BOOLEAN[]}],
+           list({'size': size, 'room': 0::DOUBLE, 'fits': []::BOOLEAN[]} ORDER BY nth)),
+           lambda a, x: {'size': 0::BIGINT, 'room': a.room - CASE WHEN x.size <= a.room THEN x.size ELSE 0 END,
+                         'fits': list_append(a.fits, x.size > 0 AND x.size <= a.room)}).fits AS fits
+  FROM ordered GROUP BY source
+)
+SELECT o.doc_id, o.size, o.source_size, o.target, (o.size * (o.passes + CASE WHEN w.fits[o.nth] THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ordered o JOIN walked w ON o.source IS NOT DISTINCT FROM w.source
 """
 
-_ROUND = """c{n} AS (
-  SELECT *, sum(CASE WHEN NOT chosen AND size <= room THEN size END) OVER (PARTITION BY source, block ORDER BY nth ROWS UNBOUNDED PRECEDING) AS upto FROM r{n}
-), d{n} AS (SELECT * EXCLUDE (upto), coalesce(NOT chosen AND room < words AND size <= room AND upto <= room, false) AS new FROM c{n}
-), r{m} AS (
-  SELECT * EXCLUDE (new, room, chosen), chosen OR new AS chosen,
-         room - coalesce(sum(CASE WHEN new THEN size END) OVER (PARTITION BY source, block), 0) AS room FROM d{n}
-)"""
-
 # CRC-32 of the decimal id: its digits one after the other, and after each the eight steps of a byte (-1).
 _CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''),
   lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
@@ -122,6 +115,6 @@ FROM below b JOIN subtrees s USING (key, depth) LEFT JOIN nodes p ON p.depth = b
 
 SQL: dict[str, str] = {
     "op2_tool_calls": OP2_TOOL_CALLS,
-    "op4_mixing": OP4_MIXING.replace("{rounds}", ", ".join(_ROUND.format(n=n, m=n + 1) for n in range(4))),
+    "op4_mixing": OP4_MIXING,
     "op11_euler_tour": OP11_EULER_TOUR,
 }

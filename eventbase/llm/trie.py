@@ -22,6 +22,7 @@ an empty trie (no root).
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,6 @@ from eventbase.llm.common import settle
 GROUP = 100  # conversations whose ids share their hundreds borrow the first turns of the group's first
 HEAD = 6  # fewer than these turns are borrowed
 STRIPE = 1 << 16  # rows whose running values are formed in one group
-CHILDREN = 1 << 16  # children of one node that are put in order in one group, about
 SMALL = 1 << 13  # arcs that one task walks
 CHUNK_IDS = 4096  # ids joined at a time
 
@@ -96,19 +96,20 @@ def prefixes(turns: DataFrame, stripe: int = STRIPE) -> DataFrame:
     return run.select("conv_id", "depth", "chars", "x", "y", F.col("x").bitwiseXOR(F.col("a")).alias("px"), F.col("y").bitwiseXOR(F.col("b")).alias("py"))
 
 
-def siblings(links: DataFrame, n_nodes: int, children: int = CHILDREN) -> DataFrame:
-    """From rows (node, parent) rows (node, parent, before, after): the children of a parent in some fixed order."""
-    buckets = n_nodes // children + 1
+def siblings(links: DataFrame, n_nodes: int) -> DataFrame:
+    """From rows (node, parent) rows (node, parent, before, after): the children of a parent in some fixed order.
+
+    Buckets are as many as the root of the number of nodes: no group has many more rows than that on either level.
+    """
+    buckets = math.isqrt(n_nodes) + 1
     rows = settle(links.withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(buckets))))
     inside = Window.partitionBy("parent", "bucket").orderBy("node")
     ends = rows.groupBy("parent", "bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     along = Window.partitionBy("parent").orderBy("bucket")
     ends = ends.select("parent", "bucket", F.lag("high").over(along).alias("earlier"), F.lead("low").over(along).alias("later"))
     rows = rows.withColumn("before", F.lag("node").over(inside)).withColumn("after", F.lead("node").over(inside))
-    if buckets > 1:
-        rows = rows.join(ends, ["parent", "bucket"])
-        rows = rows.withColumn("before", F.coalesce("before", "earlier")).withColumn("after", F.coalesce("after", "later"))
-    return rows.select("node", "parent", "before", "after")
+    rows = rows.join(ends, ["parent", "bucket"])
+    return rows.select("node", "parent", F.coalesce("before", "earlier").alias("before"), F.coalesce("after", "later").alias("after"))
 
 
 def tour(nodes: DataFrame, linked: DataFrame) -> DataFrame:
@@ -230,7 +231,7 @@ def end_digests(ends: DataFrame) -> DataFrame:
     return ordered.mapInArrow(digest, "node long, ends_sha256 string")
 
 
-def measure(conversations: DataFrame, small: int = SMALL, stripe: int = STRIPE, children: int = CHILDREN) -> DataFrame:
+def measure(conversations: DataFrame, small: int = SMALL, stripe: int = STRIPE) -> DataFrame:
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     known, turns = rebuilt(settle(placed(conversations)))
     zero = F.lit(0).cast("long")
@@ -246,7 +247,7 @@ def measure(conversations: DataFrame, small: int = SMALL, stripe: int = STRIPE,
         F.col("conv_id").alias("parent_conv_id"),
     )
     links = settle(nodes.filter("depth > 0").join(up, ["depth", "px", "py"]).select("node", "parent", "parent_conv_id"))
-    linked = settle(siblings(links.select("node", "parent"), n_nodes, children))
+    linked = settle(siblings(links.select("node", "parent"), n_nodes))
     ranks = list_rank(tour(nodes.select("node"), linked), small)
 
     n_children = links.groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("n_children"))

@@ -77,6 +77,50 @@ def test_small_inputs(spark):
     assert sorted(r.taken for r in mixing.taken(mixing.mix(twice)).collect()) == [3, 6]
 
 
+def greedy(docs, rest, seed, block_words):
+    """Documents of a source in the mix's order, each taken if it fits: how often each size is taken in the last pass."""
+    import hashlib
+
+    total = sum(n for _, n in docs)
+    n_blocks = max(1, -(-total // block_words))
+    key = lambda i: int(hashlib.md5(f"{seed}|{i}".encode()).hexdigest()[:13], 16)
+    taken = set()
+    for i, n in sorted(docs, key=lambda d: (n_blocks * (d[1] <= min(block_words, rest / 8)) + key(d[0]) * n_blocks // (1 << 52), key(d[0]))):
+        if 0 < n <= rest:
+            rest -= n
+            taken.add(i)
+    return taken, rest
+
+
+def test_every_draw_comes_near_its_target(spark):
+    # twenty draws each of a source of which one text is more than half, one of texts that hardly fit, and two of small texts
+    kinds = {"a": [1] * 200, "b": [1500] + [4] * 250, "c": [700, 800, 900, 650], "d": [30, 1, 2, 500]}
+    sizes = {f"{k}{n}": kinds[k] for k in kinds for n in range(20)}
+    rows_ = [(i, s, n) for i, (s, n) in enumerate((s, n) for s in sizes for n in sizes[s])]
+    docs = spark.createDataFrame(rows_, "doc_id long, source string, n int").selectExpr("doc_id", "source", "repeat('w ', n) AS text")
+    found = mixing.taken(mixing.mix(docs, block_words=256, shard_words=1 << 16))
+    by_source = {}
+    for r in found.join(docs.select("doc_id", "source"), "doc_id").collect():
+        by_source.setdefault(r.source, []).append(r)
+    assert by_source.keys() == sizes.keys()
+    for s, mine in by_source.items():
+        total, target = mine[0].source_size, mine[0].target
+        passes, taken = int(target // total), sum(r.taken for r in mine)
+        untaken = [r.size for r in mine if r.taken == passes * r.size]
+        assert taken <= target and target - taken < min(untaken, default=1), (s, target, taken)
+        want, left = greedy([(r.doc_id, r.size) for r in mine], target - passes * total, 17, 256)
+        assert {r.doc_id for r in mine if r.taken > passes * r.size} == want and taken == pytest.approx(target - left)
+        if s[0] == "b" and target - passes * total > 1500:
+            assert target - taken < 4
+
+
+def test_very_long_texts_and_many_blocks(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'s' AS source", "repeat('w ', if(id = 7, 30000, int(id % 50))) AS text")
+    mixed = mixing.mix(docs, block_words=64, shard_words=1 << 14)
+    got = mixing.taken(mixed).agg(F.sum("taken"), F.max("target"), F.count("*")).first()
+    assert got[2] == 3000 and 0 <= got[1] - got[0] < 50
+
+
 def test_hypergeometric_draws_have_the_right_distribution(spark):
     u = (F.col("id") + 0.5) / 4000
     got = spark.range(4000).select(mixing._hypergeometric(F.lit(30), F.lit(12), F.lit(10), u).alias("k")).groupBy("k").count()

@@ -50,10 +50,10 @@ def made(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("seed,small,stripe,children", [(1, 4, 7, 3), (2, 1 << 13, 1 << 16, 1 << 16)])
-def test_against_a_plain_trie(spark, seed, small, stripe, children):
+@pytest.mark.parametrize("seed,small,stripe", [(1, 4, 7), (2, 1 << 13, 1 << 16)])
+def test_against_a_plain_trie(spark, seed, small, stripe):
     rows = made(seed)
-    got = trie.measure(spark.createDataFrame(rows, SCHEMA).repartition(3), small, stripe, children)
+    got = trie.measure(spark.createDataFrame(rows, SCHEMA).repartition(3), small, stripe)
     assert got.columns[:4] == ["conv_id", "depth", "parent_conv_id", "n_convs"]
     assert {t for _, t in got.dtypes} == {"bigint", "string"}
     assert sorted((tuple(x) for x in got.collect()), key=str) == plain(rows)
