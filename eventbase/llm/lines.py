@@ -2,32 +2,45 @@
 
 Each line with a word is marked content or boilerplate by Viterbi decoding; a text whose content lines
 hold at least half of its words is kept. The field has one weight per line feature, one per pair of
-neighbouring marks and one per first mark. It is fitted by its exact likelihood (forward-backward) on the
-lines of a bounded sample of labelled documents, each line carrying its document's quality.
+neighbouring marks and one per first mark, and is fitted by its exact likelihood (forward-backward).
+
+Only documents are labelled, their lines are not. So marks are found in turns with the weights: at first every line of the sample
+carries its document's quality; then lines are marked by Viterbi under the weights found, with a leaning towards their document's
+quality that most of its lines must follow, and the weights are fitted to these marks. Good documents so come to hold boilerplate lines and the reverse. Of the
+transitions seen, a small part is spread evenly over all pairs of marks, so that change is never ruled out.
+
+The sample is bounded by a number of labelled documents and by a number of lines: documents are taken in the order of a hash, whatever
+their length, up to the one that reaches it. Long ones are fitted in pieces.
 
 Rules for odd input: a null text has no words and fails the base rules, as does any with fewer than ten
 words; lines without a word are neither marked nor counted; without labelled lines of both kinds there is
-no field, and every line is content. Rows that repeat an id are judged each on its own.
+no field, which is warned of, and every line is content. Rows that repeat an id are judged each on its own.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventbase.llm.common import arrow_filter, arrow_rows
+from eventbase.llm.common import arrow_filter, arrow_rows, discard, settle
 
 LEAST_WORDS = 10
 WINDOW = 5  # words
 MOST_REPEATED = 20  # per cent of words
 CONTENT_SHARE = 0.5
 SAMPLE_DOCUMENTS = 2000  # labelled documents the field is fitted on, those with the smallest hashes of their ids
-SAMPLE_LINES = 60  # documents with more lines are not drawn for fitting
+SAMPLE_LINES = 1 << 15  # of these; the document that reaches it is the last
+PIECE = 64  # lines of a sequence that is fitted
+TURNS = 1  # times the lines of the sample are marked anew
+LEANINGS = (1.0, 2.0, 4.0, 8.0)  # towards the document's quality, per line
+SWITCH = 2.0  # what a change of mark costs while the sample is marked
+SPREAD = 0.03  # of the transitions seen
 
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
@@ -142,9 +155,9 @@ class Field:
     pairs: np.ndarray
     start: np.ndarray
 
-    def marks(self, features: np.ndarray) -> np.ndarray:
-        """The best sequence of marks, by Viterbi."""
-        gain = (features @ self.weights).tolist()
+    def marks(self, features: np.ndarray, leaning: float = 0.0) -> np.ndarray:
+        """The best sequence of marks, by Viterbi; ``leaning`` is added to the score of content for each line."""
+        gain = (features @ self.weights + leaning).tolist()
         if not gain:
             return np.zeros(0, bool)
         (p00, p01), (p10, p11) = self.pairs.tolist()
@@ -164,22 +177,29 @@ class Field:
         return float(lines.words[self.marks(lines.features)].sum() / total) if total else 0.0
 
 
-def fit_field(sequences: list[np.ndarray], marks: list[int], rounds: int = 150, penalty: float = 1.0) -> Field | None:
-    """Maximise the likelihood of the marks, each sequence having one mark on all of its lines."""
+def fit_field(
+    sequences: list[np.ndarray], marks: list[np.ndarray] | list[int], rounds: int = 150, penalty: float = 1.0, spread: float = 0.0
+) -> Field | None:
+    """Maximise the likelihood of the marks, which are one per line, or one for all lines of a sequence.
+
+    ``spread`` is the part of the transitions that counts evenly for all pairs. None if there is one kind of mark alone.
+    """
     known = [(s, m) for s, m in zip(sequences, marks) if len(s)]
-    if len({m for _, m in known}) < 2:
+    if len({bool(x) for _, m in known for x in np.atleast_1d(m)}) < 2:
         return None
-    longest = max(len(s) for s, _ in known)
-    x = np.zeros((len(known), longest, known[0][0].shape[1]))
-    real = np.zeros((len(known), longest), bool)
-    for i, (s, _) in enumerate(known):
-        x[i, : len(s)], real[i, : len(s)] = s, True
-    y = np.array([m for _, m in known])
+    sequences, marks = [s for s, _ in known], [m for _, m in known]
+    longest = max(len(s) for s in sequences)
+    x = np.zeros((len(sequences), longest, sequences[0].shape[1]))
+    real = np.zeros((len(sequences), longest), bool)
+    y = np.zeros((len(sequences), longest), bool)
+    for i, (s, m) in enumerate(zip(sequences, marks)):
+        x[i, : len(s)], real[i, : len(s)], y[i, : len(s)] = s, True, m
     n_features = x.shape[2]
-    seen_w = (x * (real & (y[:, None] == 1))[:, :, None]).sum((0, 1))
+    seen_w = (x * (real & y)[:, :, None]).sum((0, 1))
     steps = real[:, 1:].sum()
-    seen_pairs = np.diag([real[y == m][:, 1:].sum() for m in (0, 1)]).astype(float)
-    seen_start = np.array([(y == m).sum() for m in (0, 1)], float)
+    seen_pairs = np.array([[(real[:, 1:] & (y[:, :-1] == a) & (y[:, 1:] == b)).sum() for b in (0, 1)] for a in (0, 1)], float)
+    seen_pairs = (1 - spread) * seen_pairs + spread * steps / 4
+    seen_start = np.array([(y[:, 0] == m).sum() for m in (0, 1)], float)
     theta = np.zeros(n_features + 6)
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
     for round_ in range(1, rounds + 1):
@@ -209,12 +229,32 @@ def fit_field(sequences: list[np.ndarray], marks: list[int], rounds: int = 150,
                 seen_start - np.array([(1 - content[:, 0]).sum(), content[:, 0].sum()]),
             ]
         )
-        slope = (slope - penalty * theta) / len(known)
+        slope = (slope - penalty * theta) / len(sequences)
         mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
         theta = theta + 0.1 * (mean / (1 - 0.9**round_)) / (np.sqrt(square / (1 - 0.99**round_)) + 1e-8)
     return Field(theta[:n_features], theta[n_features : n_features + 4].reshape(2, 2), theta[n_features + 4 :])
 
 
+def fit_lines(sequences: list[np.ndarray], qualities: list[int]) -> Field | None:
+    """Find marks of the lines and weights in turns, from documents that have one quality each."""
+    known = [(s[i : i + PIECE], q) for s, q in zip(sequences, qualities) for i in range(0, len(s), PIECE)]
+    pieces = [s for s, _ in known]
+    field_ = fit_field(pieces, [q for _, q in known], spread=SPREAD)
+    for _ in range(TURNS if field_ else 0):
+        field_ = fit_field(pieces, [marks_towards(field_, s, bool(q)) for s, q in known], spread=SPREAD)
+    return field_
+
+
+def marks_towards(field_: Field, features: np.ndarray, good: bool) -> np.ndarray:
+    """Marks of a labelled document's lines, of which most are as the document is: it leans more until they are."""
+    change = Field(field_.weights, np.array([[0.0, -SWITCH], [-SWITCH, 0.0]]), np.zeros(2))
+    for leaning in LEANINGS:
+        marks = change.marks(features, leaning if good else -leaning)
+        if 2 * (marks == good).sum() > len(marks):
+            return marks
+    return np.full(len(features), good)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     """Fit the field on a bounded sample of the documents that have a quality label.
 
@@ -222,17 +262,26 @@ def train(docs: DataFrame, labels: DataFrame) -> Field | None:
     """
     usable = labels.filter("quality in (0, 1) and crc32(cast(doc_id as string)) % 4 <> 2").select("doc_id", "quality")
     drawn = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(SAMPLE_DOCUMENTS)
+    drawn = drawn.withColumn("nth", F.row_number().over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "quality")))  # of the sample
     sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # bounded by SAMPLE_DOCUMENTS
 
     def rows(columns: list[list]) -> Iterator[tuple]:
-        for doc_id, text, quality in zip(*columns):
+        for _, text, quality, nth in zip(*columns):
             features = look(text).features
-            if 0 < len(features) <= SAMPLE_LINES:
-                yield doc_id, quality, features.ravel().tolist()
-
-    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("quality int, features array<double>")])
-    found = sorted(map(tuple, arrow_rows(sample, rows, schema).collect()))
-    return fit_field([np.array(f).reshape(-1, N_FEATURES) for *_, f in found], [q for _, q, _ in found])
+            if len(features):
+                yield nth, len(features), quality, features.ravel().tolist()
+
+    found = settle(arrow_rows(sample, rows, "nth int, n int, quality int, features array<double>"))
+    upto, last = 0, 0
+    for r in found.groupBy("nth").agg(F.sum("n").alias("n")).orderBy("nth").collect():
+        if upto < SAMPLE_LINES:
+            upto, last = upto + r.n, r.nth
+    known = sorted((r.nth, r.quality, r.features) for r in found.filter(F.col("nth") <= last).collect())
+    discard(found)
+    fitted = fit_lines([np.array(f).reshape(-1, N_FEATURES) for *_, f in known], [q for _, q, _ in known])
+    if fitted is None:
+        warnings.warn("no labelled lines of both kinds: every line counts as content", stacklevel=2)
+    return fitted
 
 
 def verdict(field_: Field | None, lines: Lines) -> tuple[bool, bool, float]:

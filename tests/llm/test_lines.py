@@ -94,3 +94,48 @@ def test_few_labels_and_odd_rows(spark, labelled):
     kept = lines.keep_good(docs, field).collect()
     assert [r.doc_id for r in kept] == [4] and lines.keep_good(docs.limit(0), field).count() == 0
     assert lines.train(docs.limit(0), labels) is None
+
+
+def prose(r, n):
+    return [" ".join("".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 9))) for _ in range(r.randrange(8, 16))).capitalize() + "." for _ in range(n)]
+
+
+def junk(r, n):
+    return [" ".join(r.choice(["$$", "|", "BUY", "<<", "50%", "Menu", "#1", "***"]) for _ in range(r.randrange(3, 9))) for _ in range(n)]
+
+
+def test_lines_of_one_text_are_told_apart(spark):
+    r = random.Random(6)
+    docs, labels = [], []
+    for i in range(120):
+        good = i % 2 == 0
+        body = prose(r, r.randrange(4, 12)) if good else junk(r, r.randrange(4, 12))
+        docs.append((i, "\n".join(body), None, 0))
+        labels.append((i, int(good), 0))
+    docs.append((500, "\n".join(prose(r, 3000)), None, 0))  # long documents are learned from as well
+    labels.append((500, 1, 0))
+    field = lines.train(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    article, menu = prose(r, 9), junk(r, 4)
+    marks = field.marks(lines.look("\n".join(article[:3] + menu + article[3:])).features)
+    assert marks.tolist() == [True] * 3 + [False] * 4 + [True] * 6
+    page = lines.look("\n".join(junk(r, 8) + prose(r, 2) + junk(r, 8)))
+    marks = field.marks(page.features)
+    assert marks.tolist() == [False] * 8 + [True] * 2 + [False] * 8
+    assert lines.verdict(field, page)[1:] == (field.content_share(page) >= 0.5 and not lines.base_failed(page.base), field.content_share(page))
+
+
+def test_marks_of_labelled_documents_follow_their_quality():
+    field = lines.Field(np.array([1.0]), np.zeros((2, 2)), np.zeros(2))
+    x = np.array([[3.0], [3.0], [-9.0], [-9.0], [3.0]])
+    assert lines.marks_towards(field, x, True).tolist() == [True, True, False, False, True]
+    assert lines.marks_towards(field, np.full((3, 1), -99.0), True).all()
+    assert not lines.marks_towards(field, np.full((3, 1), 99.0), False).any()
+
+
+def test_texts_of_thousands_of_lines_and_empty_tables(spark):
+    r = random.Random(1)
+    field = lines.fit_lines([lines.look("\n".join(f(r, 300))).features for f in (prose, junk)], [1, 0])
+    docs = spark.createDataFrame([(1, "\n".join(prose(r, 5000)), None, 0), (2, "\n".join(junk(r, 5000)), None, 0)], SCHEMA)
+    got = {x.doc_id: x for x in lines.judge(docs, field).collect()}
+    assert got[1].content_share > 0.99 and got[2].content_share < 0.01
+    assert lines.judge(docs.limit(0), field).count() == 0
