@@ -115,7 +115,8 @@ def shared_seeds(docs: DataFrame) -> DataFrame:
     found = settle(seed_rows(docs))
     # A holder holds a seed once: what a text repeats as if it were the first has an occurrence before it.
     held = found.groupBy("seed").agg(F.min(F.struct("doc", "pos")).alias("by"), F.count("*").alias("n")).filter("n > 1")
-    shared = settle(found.join(held, "seed").select("seed", "doc", "pos", "again", F.col("by.doc").alias("first"), F.col("by.pos").alias("first_pos")))
+    # "merge" here and below: the same plan at every size, also where one side happens to be small.
+    shared = settle(found.join(held.hint("merge"), "seed").select("seed", "doc", "pos", "again", F.col("by.doc").alias("first"), F.col("by.pos").alias("first_pos")))
     discard(found)
     return shared
 
@@ -360,7 +361,7 @@ def aligned_chains(docs: DataFrame, found: DataFrame) -> DataFrame:
             for w in windows:
                 yield key, w["lo"], w["hi"], words[w["lo"] : w["hi"]]
 
-    texts = settle(arrow_rows(docs.join(asked, "doc_id"), cut, schema))
+    texts = settle(arrow_rows(docs.join(asked.hint("merge"), "doc_id"), cut, schema))
     own = texts.select(F.col("of").alias("doc"), F.col("from").alias("lo"), F.col("upto").alias("hi"), "words")
     other = texts.select(
         F.col("of").alias("first"), F.col("from").alias("first_lo"), F.col("upto").alias("first_hi"), F.col("words").alias("others")
@@ -411,7 +412,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     found = settle(passages(docs, doc_id, text))
     spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "n_words")).alias("_spans"))
     spans = settle(spans.withColumnRenamed("doc_id", "_doc"))
-    joined = docs.join(spans, docs[doc_id] == spans["_doc"], "left")
+    joined = docs.join(spans.hint("merge"), docs[doc_id] == spans["_doc"], "left")
     joined = joined.select(*(docs[c] for c in docs.columns), spans["_spans"].alias(free_name(docs, "spans")))
     at, schema = docs.columns.index(text), docs.schema
     counted = docs.columns.index(n_chars) if n_chars in docs.columns else None
