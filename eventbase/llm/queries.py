@@ -42,7 +42,7 @@ def _calls_and_results(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     said = turns.filter("role = 'assistant'")
     earlier = said.select("conv_id", (F.col("turn") + 2).alias("turn"), F.col("call_id").alias("before"))
     n = n_words(F.col("text"))
-    query = F.substring("text", 1, 20).alias("query")
+    query = F.col("text").alias("query")
     after = F.when(F.substring(F.md5("text"), 1, 1) < "8", F.array_compact(F.array("before"))).alias("after")
     calls = said.join(earlier, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", "call_id", F.element_at(F.array(*map(F.lit, ("search", "count", "lookup"))), (n % 3 + 1).cast("int")).alias("name"),

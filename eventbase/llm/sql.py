@@ -8,7 +8,7 @@ WITH RECURSIVE turns AS (
 ), said AS (SELECT * FROM turns WHERE role = 'assistant'
 ), calls AS (
   SELECT s.*, p.call_id AS before, substr(md5(s.text), 1, 1) < '8' AS needs,
-         ['search', 'count', 'lookup'][s.n % 3 + 1] AS name, to_json(substr(s.text, 1, 20))::VARCHAR AS query
+         ['search', 'count', 'lookup'][s.n % 3 + 1] AS name, to_json(s.text)::VARCHAR AS query
   FROM said s LEFT JOIN said p ON p.conv_id = s.conv_id AND p.turn = s.turn - 2
 ), placed AS (
   SELECT conv_id, call_id, 0 AS level FROM calls WHERE NOT needs OR before IS NULL
@@ -20,7 +20,7 @@ WITH RECURSIVE turns AS (
 ), checked AS (
   SELECT c.*, p.level, concat_ws('; ',
            CASE WHEN name = 'search' AND n > 50 OR name = 'count' AND n > 30 THEN 'limit: above maximum' END,
-           CASE WHEN name = 'search' AND length(substr(text, 1, 20)) < 8 THEN 'query: too short' END,
+           CASE WHEN name = 'search' AND length(text) < 8 THEN 'query: too short' END,
            CASE WHEN name = 'lookup' THEN 'unknown tool' END) AS errors,
          '{' || CASE WHEN needs THEN '"after":[' || coalesce('"' || before || '"', '') || '],' ELSE '' END
            || '"limit":' || n || ',"query":' || query || '}' AS arguments
