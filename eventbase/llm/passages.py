@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from eventbase.llm.common import arrow_rows, discard, free_name, settle
 
@@ -261,14 +262,15 @@ def chain_rows(found: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, schema)
 
 
-def _pairs(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Places (i, j) where two short word lists agree, in order."""
+def _blocks(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
+    """Runs (i, j, n) in which two short word lists agree, in order."""
     if len(a) == len(b):
-        same = [(i, i) for i, (x, y) in enumerate(zip(a, b)) if x == y]
-        if len(same) >= SIMILARITY * len(a):
-            return same
-    blocks = SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
-    return [(i + k, j + k) for i, j, n in blocks for k in range(n)]
+        same = [x == y for x, y in zip(a, b)]
+        if sum(same) >= SIMILARITY * len(a):
+            starts = [i for i, s in enumerate(same) if s and (not i or not same[i - 1])]
+            ends = [i + 1 for i, s in enumerate(same) if s and (i + 1 == len(same) or not same[i + 1])]
+            return [(i, i, j - i) for i, j in zip(starts, ends)]
+    return [(i, j, n) for i, j, n in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks() if n]
 
 
 def may_agree(words: np.ndarray, others: np.ndarray) -> bool:
@@ -283,7 +285,7 @@ def align(words: np.ndarray, start: int, others: np.ndarray, other_start: int, p
 
     ``words`` are those of the document from ``start`` on, ``others`` those of the holder.
     """
-    agree: list[tuple[int, int]] = []
+    agree: list[tuple[int, int, int]] = []  # runs of words that agree
     at, to = max(start, parts[0][0] - MARGIN), max(other_start, parts[0][1] - MARGIN)
     before = min(parts[0][0] - at, parts[0][1] - to)
     at, to = parts[0][0] - before, parts[0][1] - before
@@ -291,20 +293,21 @@ def align(words: np.ndarray, start: int, others: np.ndarray, other_start: int, p
         gap = words[at - start : p - start].tolist(), others[to - other_start : o - other_start].tolist()
         if not n:
             gap = tuple(g[: min(map(len, gap))] for g in gap)
-        agree += [(at + i, to + j) for i, j in _pairs(*gap)]
-        agree += [(p + k, o + k) for k in range(n)]
+        agree += [(at + i, to + j, k) for i, j, k in _blocks(*gap)]
+        if n:
+            agree.append((p, o, n))
         at, to = p + n, o + n
     # +1 for a word that agrees, -4 for one that does not: positive runs have more than four of five
     cost = SIMILARITY / (1 - SIMILARITY)
-    runs: list[list[float]] = []  # score before, score after, first and last agreeing word: Ruzzo and Tompa's maximal runs
-    total = 0.0
-    last: tuple[int, int] | None = None
-    for k, (p, o) in enumerate(agree):
-        if last is not None:
-            total -= cost * max(p - last[0] - 1, o - last[1] - 1)
-        last = (p, o)
-        run = [total, total + 1, k, k]
-        total += 1
+    runs: list[list[float]] = []  # score before, score after, first and last run of words: Ruzzo and Tompa's maximal runs
+    total, upto = 0.0, [0]
+    for k, (p, o, n) in enumerate(agree):
+        if k:
+            q, s, m = agree[k - 1]
+            total -= cost * max(p - q - m, o - s - m)
+        run = [total, total + n, k, k]
+        total += n
+        upto.append(upto[-1] + n)
         while True:
             j = next((j for j in range(len(runs) - 1, -1, -1) if runs[j][0] < run[0]), None)
             if j is None or runs[j][1] >= run[1]:
@@ -314,10 +317,10 @@ def align(words: np.ndarray, start: int, others: np.ndarray, other_start: int, p
             del runs[j:]
     out = []
     for _, _, i, j in runs:
-        (p1, o1), (p2, o2) = agree[int(i)], agree[int(j)]
-        n, m = p2 - p1 + 1, o2 - o1 + 1
+        (p1, o1, _), (p2, o2, last) = agree[int(i)], agree[int(j)]
+        n, m = p2 + last - p1, o2 + last - o1
         if n >= LEAST_WORDS:
-            out.append((p1, n, o1, m, (j - i + 1) / max(n, m)))
+            out.append((p1, n, o1, m, (upto[int(j) + 1] - upto[int(i)]) / max(n, m)))
     return [x for x in out if x[4] >= SIMILARITY]
 
 
@@ -375,14 +378,21 @@ def aligned_chains(docs: DataFrame, found: DataFrame) -> DataFrame:
         ]
     )
 
-    def aligned(columns: list[list]) -> Iterator[tuple]:
-        for doc, first, parts, lo, first_lo, words, others in zip(*columns):
-            words, others = np.array(words, np.int64), np.array(others, np.int64)
-            if sum(n for *_, n in parts) >= SIMILARITY * LEAST_WORDS or may_agree(words, others):
-                for p, n, o, m, like in align(words, lo, others, first_lo, parts):
-                    yield doc, first, p, n, o, m, like
+    arrow = to_arrow_schema(schema)
 
-    passed = settle(arrow_rows(both, aligned, schema).distinct())
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            doc, first, parts, lo, first_lo = (batch.column(i).to_pylist() for i in range(5))
+            for i in range(batch.num_rows):
+                words, others = (batch.column(c)[i].values.to_numpy() for c in (5, 6))
+                if sum(n for *_, n in parts[i]) >= SIMILARITY * LEAST_WORDS or may_agree(words, others):
+                    for p, n, o, m, like in align(words, lo[i], others, first_lo[i], parts[i]):
+                        made.append((doc[i], first[i], p, n, o, m, like))
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), arrow)], schema=arrow)
+
+    passed = settle(both.mapInArrow(aligned, schema).distinct())
     discard(chained, texts)
     return passed
 
