@@ -132,9 +132,9 @@ def train(docs: DataFrame, sample: int = SAMPLE, n_landmarks: int = LANDMARKS) -
     """
     keyed = docs.select("doc_id", "lang").filter("doc_id is not null and lang is not null").filter(~held_out("doc_id"))
     # Of a language with many rows only those with small hashes, about twice ``sample``, are put in order.
-    sizes = keyed.groupBy(F.col("lang").alias("of")).agg(F.count("*").alias("n"))
+    sizes = keyed.groupBy(F.col("lang").alias("of")).agg(F.approx_count_distinct("doc_id").alias("n"))  # of ids: one that repeats is one
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    keyed = keyed.join(sizes, keyed["lang"] == sizes["of"]).filter(share * F.col("n") < 2 * sample).select("doc_id", "lang")
+    keyed = keyed.join(sizes, keyed["lang"] == sizes["of"]).filter(share * F.col("n") < 2 * sample).select("doc_id", "lang").distinct()
     order = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)), "doc_id")
     drawn = keyed.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample)
     drawn = drawn.groupBy("doc_id", "lang").agg(F.min("nth").alias("nth"))
