@@ -18,7 +18,7 @@ Words are runs without ASCII white space, lower-cased A-Z, compared by a 64-bit
 smallest document keeps its own; the others are said to repeat it. Repetition within one document is not looked for.
 
 Rules for odd input: null and short texts have no seeds; a null id is not matched; rows that repeat an id are taken as one
-document that holds the texts of all (matches between them are none); other columns are not read.
+document that holds the texts of all (matches between them are none; of a seed that several of them have, one place counts); other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,11 +46,30 @@ NEXT_SEED = 18  # words to the next seed at most, for two in a row
 MARGIN = 64  # words beside a chain that are looked at; windows start and end at multiples of it
 
 SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+STEP = 0x9E3779B97F4A7C15  # odd: the hash of a word is a polynomial in it, modulo 2**64
+PIECE = 1 << 16  # bytes hashed at once
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    words = (text or "").encode().lower().split()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    """Hashes of the words, lower-cased A-Z, from sums over many words at once."""
+    data = np.frombuffer((text or "").encode(), np.uint8)
+    found, began, goes_on = [np.zeros(0, np.uint64)], 0, False
+    for at in range(0, len(data), PIECE):
+        codes = CODES[data[at : at + PIECE]]
+        solid = codes != 0
+        first = solid.copy()
+        first[1:] &= ~solid[:-1]
+        begins = np.flatnonzero(first)
+        if len(begins):
+            sums = np.add.reduceat(codes * POWERS[: len(codes)], begins) * INVERSES[begins]
+            if goes_on and solid[0]:  # the rest of a word of the piece before
+                found[-1][-1:] += sums[:1] * np.uint64(pow(STEP, at - began, 1 << 64))
+                begins, sums = begins[1:], sums[1:]
+            if len(begins):
+                began = at + int(begins[-1])
+                found.append(sums)
+        goes_on = bool(solid[-1])
+    return _stirred(np.concatenate(found))
 
 
 def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,8 +86,12 @@ def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         mixed = _mixed(mixed, words[i : i + n])
     mixed = _stirred(mixed)
     width = min(WINDOW, n)
-    views = np.lib.stride_tricks.sliding_window_view(mixed, width)
-    at = np.unique(views.argmin(axis=1) + np.arange(n - width + 1))
+    least, of = mixed[: n - width + 1], np.zeros(n - width + 1, np.int8)
+    for i in range(1, width):  # the first minimum of each window
+        less = mixed[i : i + len(of)] < least
+        least, of[less] = np.minimum(least, mixed[i : i + len(of)]), i
+    at = of + np.arange(len(of))
+    at = at[np.append(True, at[1:] != at[:-1])]  # the first minimum never moves back
     found = mixed[at]
     order = np.argsort(found, kind="stable")
     places = np.arange(len(at))
@@ -92,6 +114,15 @@ def _stirred(a: np.ndarray) -> np.ndarray:
     return a ^ a >> np.uint64(32)
 
 
+def _powers(base: int) -> np.ndarray:
+    return np.multiply.accumulate(np.append(np.uint64(1), np.full(PIECE - 1, base, np.uint64)))
+
+
+POWERS, INVERSES = _powers(STEP), _powers(pow(STEP, -1, 1 << 64))
+# A number for every byte, none for white space, one for both cases of A-Z.
+CODES = np.where(SPACE, np.uint64(0), _stirred(_mixed(np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.uint64), np.uint64(STEP))))
+
+
 def seed_rows(docs: DataFrame) -> DataFrame:
     """Rows (seed, doc, pos, again) of a table (doc_id, text)."""
     kind = docs.schema["doc_id"].dataType
@@ -114,10 +145,12 @@ def seed_rows(docs: DataFrame) -> DataFrame:
 def shared_seeds(docs: DataFrame) -> DataFrame:
     """Rows (seed, doc, pos, again, first, first_pos): every occurrence of a seed that occurs twice or more, and its holder's."""
     found = settle(seed_rows(docs))
-    # A holder holds a seed once: what a text repeats as if it were the first has an occurrence before it.
-    held = found.groupBy("seed").agg(F.min(F.struct("doc", "pos")).alias("by"), F.count("*").alias("n")).filter("n > 1")
+    # A holder holds a seed once: what a text repeats as if it were the first has an occurrence before it. Numbers, not
+    # structs, are aggregated, so that rows are hashed and not sorted.
+    held = found.filter("not again").groupBy("seed").agg(F.min("doc").alias("first"), F.min_by("pos", "doc").alias("first_pos"), F.count("*").alias("n"))
+    held = held.filter("n > 1").drop("n")
     # "merge" here and below: the same plan at every size, also where one side happens to be small.
-    shared = settle(found.join(held.hint("merge"), "seed").select("seed", "doc", "pos", "again", F.col("by.doc").alias("first"), F.col("by.pos").alias("first_pos")))
+    shared = settle(found.join(held.hint("merge"), "seed").select("seed", "doc", "pos", "again", "first", "first_pos"))
     discard(found)
     return shared
 

@@ -139,3 +139,29 @@ def test_passages_whose_parts_have_other_holders(spark):
         rows += [(10 * k + 8, f"{text(30)} {whole} {text(30)}"), (10 * k + 9, f"{text(45)} {whole} {text(20)}")]
     got = P.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(x.doc_id, x.first_doc_id, x.start_word, x.n_words) for x in got} == {(10 * k + 9, 10 * k + 8, 45, 60) for k in range(40)}
+
+
+def test_word_hashes_follow_the_words_alone():
+    long = "x" * (3 * P.PIECE + 5)
+    texts = ["a b\x00 \x00b a", "Äb äB Ab aB", f"{long} a {long} {long}y", "ab " * P.PIECE, "\x1c\x85 \t", f"{'c' * (P.PIECE - 1)} ab {long}"]
+    known = {}
+    for text in [*texts, *(" " * i + texts[2] for i in range(3)), None, "", " \n"]:
+        words = (text or "").encode().lower().split()
+        hashes = P.word_hashes(text).tolist()
+        assert len(words) == len(hashes)
+        assert all(known.setdefault(w, h) == h for w, h in zip(words, hashes))
+    assert len(set(known.values())) == len(known)
+
+
+def test_a_seed_is_the_first_least_shingle_of_a_window():
+    rnd = np.random.default_rng(3)
+    for n in [*range(P.SHINGLE, 20), 400]:
+        words = rnd.integers(0, 3, n).astype(np.uint64)
+        hashes = np.zeros(n - P.SHINGLE + 1, np.uint64)
+        for i in range(P.SHINGLE):
+            hashes = P._mixed(hashes, words[i : i + len(hashes)])
+        hashes = P._stirred(hashes).tolist()
+        width = min(P.WINDOW, len(hashes))
+        wanted = {i + hashes[i : i + width].index(min(hashes[i : i + width])) for i in range(len(hashes) - width + 1)}
+        at, _, again = P.seeds(words)
+        assert at[~again].tolist() == sorted(wanted)
