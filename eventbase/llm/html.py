@@ -5,9 +5,16 @@ many pages each of its looks occurs, that is each sequence of child tags (presen
 counts once per page, and pages with the same text count as one, so neither a table of few values nor copies of an
 article look like a template. The entropy of the looks, over the logarithm of their number, is the node's importance: 0
 if all pages agree there, 1 if all differ. A branch whose nodes are all of low importance is a template, and its texts that
-at least eight pages have are removed from each page. Elements that say what they are (menus, adverts, forms and the like, by tag, class, id or role)
-have no importance by name; the entropy alone cannot see them where a site fills them at random. If a page marks its
-article, text outside it is left out and all of that inside is kept: the tree judges pages without such a mark only.
+at least eight pages have are removed from each page.
+
+Two features of a branch speak beside its entropy. Names (class, id, role): a name made of words for menus, adverts,
+comments and the like alone ("ad", "reader-feedback", "cookie-notice"), such a tag, or a hidden element has no importance at all,
+as sites fill adverts at random; a name that holds such a word among others ("related-work", "ad-hoc") lowers the importance, so
+that the tree decides, or goes if most of it is links. Links: a block that is mostly links is a node of its own beside
+the prose around it.
+
+If a page marks its article, text outside it is left out; a ``main`` is preferred to articles beside it. Inside
+the mark the tree's verdict holds for blocks with one of the two features only: paragraphs of prose stay, however often they repeat.
 
 The tree is built by grouping: copies by host and text, then counts, partly summed before any shuffle, so a host with a
 third of all pages is no hot spot; only the hashes of repeated template texts are joined back to the pages of their host.
@@ -31,13 +38,15 @@ from eventbase.llm.common import arrow_rows, settle
 
 LOW_IMPORTANCE = 0.2
 LEAST_PAGES = 8  # of a node, and of a text, below which it is no template
+NAME_WEIGHT = 0.4  # times the importance of a branch with a doubtful name
+DOUBTFUL, LINKED = "\x01", "\x02"  # marks in the path of a node
 
 TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S
 )
 NAMES = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?(?=[\s/]|$)""", re.I)
 # Fixed: element kinds of HTML.
-UNREAD = set("script style noscript template textarea title svg math iframe object select button canvas audio video".split())
+UNREAD = set("script style noscript template textarea title svg iframe object select button canvas audio video".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -50,22 +59,28 @@ NOISE_NAMES = set(
     "ad ads adbox advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation menu menubar"
     " breadcrumb breadcrumbs topbar masthead footer sidebar aside complementary contentinfo widget cookie cookies consent gdpr notice notices"
     " notification alert popup modal overlay newsletter subscribe subscription share sharing social comment comments disqus respond replies reply"
-    " related recommended recommendations pagination pager login signin signup search form toolbar skip dialog disclaimer".split()
+    " related recommended recommendations pagination pager login signin signup search form toolbar skip dialog disclaimer feedback buy shop".split()
+)
+# Words that say nothing against a name made of noise words.
+PLAIN_NAMES = set(
+    "area bar block body bottom box btn button buttons card column container content global group holder inner item items js left link links"
+    " list main message now outer page pages panel post posts primary reader readers right row secondary site slot small text thread title top"
+    " unit user users visitor wrap wrapper zone".split()
 )
 LAYOUT_NAMES = {"has", "with", "no", "without", "is", "layout"}
 HEADER_NAMES = {"header", "head", "top"}
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "inside", "children")
+    __slots__ = ("tag", "path", "noise", "inside", "link", "children")
 
-    def __init__(self, tag: str, path: str, noise: bool, inside: bool) -> None:
-        self.tag, self.path, self.noise, self.inside, self.children = tag, path, noise, inside, []
+    def __init__(self, tag: str, path: str, noise: bool, inside: int, link: bool) -> None:
+        self.tag, self.path, self.noise, self.inside, self.link, self.children = tag, path, noise, inside, link, []
 
 
 def _says(attributes: str) -> tuple[str, bool, set[str]]:
-    """Classes for the path, whether it is hidden, and the words of class, id and role."""
-    classes, hidden, words = "", False, set()
+    """Classes for the path, whether it is hidden, and what class, id and role say: noise, doubt, header, main."""
+    classes, hidden, says = "", False, set()
     for name, value in NAMES.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "class":
@@ -76,30 +91,48 @@ def _says(attributes: str) -> tuple[str, bool, set[str]]:
             hidden = hidden or "display:none" in value.replace(" ", "")
         else:
             for token in value.split():
-                parts = re.split(r"[-_]+", token)
-                if parts[0] not in LAYOUT_NAMES:  # "has-sidebar" speaks of the page around it
-                    words.update((token, parts[0], parts[-1]))
-    return classes, hidden, words
-
-
-def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], set]:
-    """Blocks (path, text, inside an article) that are not noise by name, and the looks (path, hash)."""
+                parts = [x for x in re.split(r"[-_]+", token) if x and not x.isdigit()]
+                if not parts or parts[0] in LAYOUT_NAMES:  # "has-sidebar" speaks of the page around it
+                    continue
+                others = set(parts) - NOISE_NAMES - PLAIN_NAMES
+                if token in NOISE_NAMES or len(others) < len(set(parts) - PLAIN_NAMES) and not others - HEADER_NAMES:
+                    says.add("noise")
+                elif {parts[0], parts[-1]} & NOISE_NAMES:
+                    says.add("doubt")
+                elif {parts[0], parts[-1]} & HEADER_NAMES:
+                    says.add("doubt" if others - HEADER_NAMES else "header")
+                if "main" in (parts[0], parts[-1]):
+                    says.add("main")
+    return classes, hidden, says
+
+
+def parse(page: str | None) -> tuple[list[tuple[str, str, int]], set]:
+    """Blocks (path, text, 1 inside an article or 2 inside a main) that are not noise by name, and the looks (path, hash)."""
     page = page or ""
-    stack = [Element("", "", False, False)]
-    blocks: list[tuple[str, str, bool]] = []
+    stack = [Element("", "", False, 0, False)]
+    blocks: list[tuple[str, str, int]] = []
     looks: set[tuple[str, int]] = set()
     words: list[str] = []
+    sizes = [0, 0]  # characters outside and inside links
     seen_article = False
     at = 0
 
     def flush() -> None:
         if words:
             text = " ".join(entities.unescape("".join(words)).split())
+            linked = sizes[1] > sizes[0]
             words.clear()
+            sizes[:] = 0, 0
             top = next(e for e in reversed(stack) if e.tag in BLOCK or not e.tag)
             if text and not stack[-1].noise:
-                blocks.append((top.path, text, top.inside))
-                looks.add((top.path, look_of(top.path, text)))
+                path = f"{top.path}/{LINKED}" if linked else top.path
+                blocks.append((path, text, top.inside))
+                looks.add((path, look_of(path, text)))
+
+    def take(text: str) -> None:
+        if not stack[-1].noise:
+            words.append(text)
+            sizes[stack[-1].link] += len(text.strip())
 
     def close(n: int) -> None:
         while len(stack) > n:
@@ -108,8 +141,8 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], set]:
                 looks.add((gone.path, look_of(gone.path, "<" + " ".join(gone.children))))
 
     while found := TAG.search(page, at):
-        if found.start() > at and not stack[-1].noise:
-            words.append(page[at : found.start()])
+        if found.start() > at:
+            take(page[at : found.start()])
         at = found.end()
         ending, tag, attributes = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
         if not tag:
@@ -154,21 +187,24 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool]], set]:
         up = stack[-1]
         classes, hidden, says = _says(attributes) if attributes else ("", False, set())
         inside, noise = up.inside, up.noise
+        named = "noise" in says
         if tag in ("article", "main") or "main" in says and tag in BLOCK:
-            named = bool(says & NOISE_NAMES)
             if not named and not seen_article:
-                noise, inside, seen_article = False, True, True
-            inside = inside or (not named and not noise)
-        bad = hidden or tag in NOISE_TAGS or bool(says & NOISE_NAMES)
+                noise, inside, seen_article = False, inside or 1, True
+            if not named and not noise:
+                inside = 1 if tag == "article" and inside < 2 else 2
+        bad = hidden or tag in NOISE_TAGS or named
         if not inside:
-            bad = bad or tag == "header" or bool(says & HEADER_NAMES)
-        if tag in ("html", "body") or (tag in ("article", "main") and not says & NOISE_NAMES and not hidden):
+            bad = bad or tag == "header" or "header" in says
+        if tag in ("html", "body") or (tag in ("article", "main") and not named and not hidden):
             bad = False
+        path = up.path
         if tag in BLOCK:
             up.children.append(tag)
-        stack.append(Element(tag, f"{up.path}/{tag}{classes}" if tag in BLOCK else up.path, noise or bad, inside))
-    if at < len(page) and not stack[-1].noise:
-        words.append(page[at:])
+            path += f"/{tag}{classes}{DOUBTFUL if 'doubt' in says and tag not in ('html', 'body') else ''}"
+        stack.append(Element(tag, path, noise or bad, inside, up.link or tag == "a"))
+    if at < len(page):
+        take(page[at:])
     flush()
     close(1)
     return blocks, looks
@@ -178,14 +214,19 @@ def look_of(path: str, what: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\n{what}") - (1 << 63)
 
 
-def article(blocks: list[tuple[str, str, bool]]) -> list[tuple[str, str, bool]]:
+def article(blocks: list[tuple[str, str, int]]) -> list[tuple[str, str, int]]:
     """The blocks inside the marked article, or all if there is none."""
-    return [b for b in blocks if b[2]] or blocks
+    return [b for b in blocks if b[2] == 2] or [b for b in blocks if b[2]] or blocks
 
 
 def main_text(page: str | None, dull: set[int]) -> str:
-    blocks = article(parse(page)[0])
-    return "\n".join(text for path, text, inside in blocks if inside or not dull or look_of(path, text) not in dull)
+    kept = []
+    for path, text, inside in article(parse(page)[0]):
+        doubtful, linked = DOUBTFUL in path, path.endswith(LINKED)
+        template = look_of(path, text) in dull if dull and (doubtful or linked or not inside) else False
+        if not (template or doubtful and linked):
+            kept.append(text)
+    return "\n".join(kept)
 
 
 def host_of(url: Column) -> Column:
@@ -208,6 +249,7 @@ def template_looks(pages: DataFrame) -> DataFrame:
     pages_of = F.max(F.when(F.col("look").isNull(), F.col("n")))
     nodes = looks.groupBy("host", "path").agg(m.alias("m"), nlogn.alias("nlogn"), pages_of.alias("pages"))
     importance = F.when(F.col("m") > 1, 1 - F.col("nlogn") / (F.col("m") * F.log("m"))).otherwise(1.0)
+    importance = importance * F.when(F.col("path").contains(DOUBTFUL), NAME_WEIGHT).otherwise(1.0)
     nodes = nodes.withColumn("importance", F.when(F.col("pages") < LEAST_PAGES, 1.0).otherwise(importance))
     # a branch is as important as its most important node
     steps = F.split("path", "/")

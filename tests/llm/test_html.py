@@ -1,5 +1,9 @@
 """Main text: page by page against what the page was made from, and templates of a site."""
 
+import math
+import random
+from collections import Counter, defaultdict
+
 from eventbase.llm import html
 
 SCHEMA = "page_id long, url string, html string, text string, host int"
@@ -63,6 +67,77 @@ def test_article_text_is_no_template(spark):
         assert got[300 + i] == (f"Note\nown {i}" if i < 7 else f"own {i}")
 
 
+def test_names_in_part_lower_the_importance_only():
+    for name in ('class="related-work"', 'id="social-history"', 'class="ad-hoc"', 'class="section-header"'):
+        assert one(f"<div {name}>prose that stays</div>") == "prose that stays"
+        assert one(f"<div {name}><a href=/>only</a> <a href=/>links</a></div><p>x</p>") == "x"
+    for name in ("reader-feedback", "buy-now", "cookie_notice", "ad-slot-3", "comment-list", "site-header top"):
+        assert one(f"<div class='{name}'>gone</div><p>kept</p>") == "kept"
+    marked = '<article><p>a</p><div class="reader-feedback">I like it</div><div class="buy-now">Buy</div><p>x <math><mi>y</mi></math></p></article>'
+    assert one(marked) == "a\nx y"
+    assert one("<article>teaser</article><article>teaser two</article><main><p>the text</p></main>") == "the text"
+    assert one("<main><p>a</p><article><p>b</p></article></main>") == "a\nb"
+
+
+def test_the_tree_decides_inside_the_mark(spark):
+    pages = []
+    for i in range(30):
+        links = "<ul class=more><li><a href=/1>All stories</a></li><li><a href=/2>Write to us</a></li></ul>"
+        doubt = f"<div class=share-price>{'Prices of the day' if i % 2 else 'Prices of the night'}</div>"
+        body = f"<article><h3>Summary</h3><p>text {i}</p>{links}{doubt}<p><a href=/{i}>source {i}</a></p></article>"
+        pages += [(i, f"http://a.example/{i}", body, None, 0), (100 + i, f"http://{i}.example/", body, None, 0)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(pages, SCHEMA)).collect()}
+    for i in range(30):
+        assert got[i] == f"Summary\ntext {i}\nsource {i}"
+        assert got[100 + i] == f"Summary\ntext {i}\nAll stories\nWrite to us\nPrices of the {'day' if i % 2 else 'night'}\nsource {i}"
+
+
+def brute_force(pages):
+    """The template looks of one host, by entropies over a tree in memory."""
+    texts, counts, of_path = {}, defaultdict(Counter), Counter()
+    for page in pages:
+        blocks, looks = html.parse(page)
+        texts.setdefault("\n".join(t for _, t, _ in html.article(blocks)), []).append(looks)
+    for copies in texts.values():
+        looks = min(copies, key=sorted)
+        for path, look in looks:
+            counts[path][look] += 1
+        of_path.update({path for path, _ in looks})
+    importance = {}
+    for path, seen in counts.items():
+        m = sum(seen.values())
+        entropy = -sum(n / m * math.log(n / m) for n in seen.values())
+        own = (entropy / math.log(m) if m > 1 else 1.0) * (html.NAME_WEIGHT if html.DOUBTFUL in path else 1.0)
+        importance[path] = own if of_path[path] >= html.LEAST_PAGES else 1.0
+    low = {p for p in counts if max(v for q, v in importance.items() if q == p or q.startswith(p + "/")) < html.LOW_IMPORTANCE}
+    return {look for path in low for look, n in counts[path].items() if n >= html.LEAST_PAGES}
+
+
+def test_tree_against_brute_force(spark):
+    rnd = random.Random(5)
+    names = ["", " class=a", " class=b", " class=related-work", " id=ad-hoc", " class='a b'"]
+    found = 0
+    for _ in range(3):
+        parts = []
+        for _ in range(8):
+            tag, name, few = rnd.choice(["div", "p", "h3", "ul", "section"]), rnd.choice(names), rnd.choice([1, 2, 3, 1000])
+            parts.append((tag, name, few, rnd.random() < 0.3))
+        pages = []
+        for i in range(40):
+            body = ""
+            for k, (tag, name, few, link) in enumerate(parts):
+                if rnd.random() < 0.9:
+                    text = f"text {k} {rnd.randrange(few)}"
+                    body += f"<{tag}{name}>" + (f"<a href=/>{text}</a>" if link else text) + f"</{tag}>"
+            pages += [f"<article>{body}</article>" if rnd.random() < 0.3 else body] * rnd.choice([1, 1, 3])
+        frame = spark.createDataFrame([("h", x) for x in pages], "host string, html string")
+        got = html.template_looks(frame).collect()
+        wanted = brute_force(pages)
+        found += len(wanted)
+        assert set(got[0].dull if got else []) == wanted
+    assert found
+
+
 def test_given_pages_give_their_documents(spark):
     at = "/root/testdata/sf0.001/"
     docs = {"\n".join(" ".join(x.split()) for x in r.text.split("\n") if x.split()) for r in spark.read.parquet(at + "documents.parquet").collect()}
