@@ -23,12 +23,25 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _written: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+# Spark's setting by which the shuffle files of a statement go when it ends, and not when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write a result to the shared folder and read it again: what follows never computes it twice."""
+    """Write a result to the shared folder and read it again: what follows never computes it twice.
+
+    The shuffle files it took are deleted: only the statement that writes reads them.
+    """
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    before = df.sparkSession.conf.get(_CLEANUP, None)
+    df.sparkSession.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            df.sparkSession.conf.unset(_CLEANUP)
+        else:
+            df.sparkSession.conf.set(_CLEANUP, before)
     settled = df.sparkSession.read.parquet(path)
     _written[settled] = path
     return settled
