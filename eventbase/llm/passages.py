@@ -148,10 +148,11 @@ def shared_seeds(docs: DataFrame) -> DataFrame:
     # A holder holds a seed once: what a text repeats as if it were the first has an occurrence before it. Numbers, not
     # structs, are aggregated, so that rows are hashed and not sorted.
     held = found.filter("not again").groupBy("seed").agg(F.min("doc").alias("first"), F.min_by("pos", "doc").alias("first_pos"), F.count("*").alias("n"))
-    held = held.filter("n > 1").drop("n")
+    # Written by itself: few seeds are shared, and the shuffles of all seeds for this and for the join never lie on disk together.
+    held = settle(held.filter("n > 1").drop("n"))
     # "merge" here and below: the same plan at every size, also where one side happens to be small.
     shared = settle(found.join(held.hint("merge"), "seed").select("seed", "doc", "pos", "again", "first", "first_pos"))
-    discard(found)
+    discard(found, held)
     return shared
 
 
