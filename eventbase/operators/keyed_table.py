@@ -38,6 +38,14 @@ BUCKET_ROWS = 10_000_000
 TASK_ROWS = 2_000_000
 
 
+_WIDER = {
+    T.ByteType: (T.ShortType, T.IntegerType, T.LongType, T.DoubleType),
+    T.ShortType: (T.IntegerType, T.LongType, T.DoubleType),
+    T.IntegerType: (T.LongType, T.DoubleType),
+    T.FloatType: (T.DoubleType,),
+}
+
+
 def latest_by_key(rows: DataFrame, primary_key: Sequence[str], *also_partition_by: str) -> DataFrame:
     """The last write of each key.
 
@@ -152,16 +160,24 @@ class KeyedTable:
         return T.StructType.fromJson(json.loads(self.state().schema))
 
     def add_columns(self, schema: T.StructType) -> None:
-        """Widen the table; any other change of its columns is refused."""
+        """Widen the table, by new columns or wider types; any other change of its columns is refused.
+
+        Files written before stay as they are: the parquet reader casts up what it finds in them. Key columns keep
+        their type, as rows are laid out by a hash that depends on it.
+        """
         state = self.state()
         known = T.StructType.fromJson(json.loads(state.schema))
         wanted = {f.name: f.dataType for f in schema}
-        changed = [f.name for f in known if wanted.get(f.name) != f.dataType]
+        changed = [
+            f.name for f in known
+            if wanted.get(f.name) != f.dataType and (f.name in state.primary_key or not widens(f.dataType, wanted.get(f.name)))
+        ]
         if changed:
-            raise ValueError(f"columns of {self.path} missing or of another type: {changed}")
+            raise ValueError(f"columns of {self.path} missing or of a type that is not wider: {changed}")
         added = [f for f in schema if f.name not in known.fieldNames()]
-        if added:
-            state.schema = T.StructType([*known.fields, *added]).json()
+        widened = [T.StructField(f.name, wanted[f.name]) for f in known]
+        if added or [f.dataType for f in widened] != [f.dataType for f in known]:
+            state.schema = T.StructType([*widened, *added]).json()
             self._publish(state)
 
     def places(self) -> list[str]:
@@ -393,6 +409,13 @@ class KeyedTable:
                     self.files.delete(f"{self.path}/{kind}/{name}")
 
 
+def widens(narrow: T.DataType, wide: T.DataType | None) -> bool:
+    """Whether every value of one type is exactly a value of the other, and files of the one can be read as the other."""
+    if isinstance(narrow, T.DecimalType) and isinstance(wide, T.DecimalType):
+        return wide.scale >= narrow.scale and wide.precision - wide.scale >= narrow.precision - narrow.scale
+    return type(wide) in _WIDER.get(type(narrow), ())
+
+
 def check_columns(df: DataFrame, expected: Sequence[str]) -> None:
     """Values are bound by name; a missing or surplus column is an error."""
     missing = sorted(set(expected) - set(df.columns))

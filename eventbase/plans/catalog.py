@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -520,6 +520,30 @@ def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def widened_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of one event type, the second with wider types, and a third with narrower ones that is quarantined."""
+    def config(**types: str) -> EventConfig:
+        return EventConfig(APP, "score", fields(id="long", **types), ["id"])
+
+    narrow, wide = config(who="integer", score="float", amount="decimal(9,2)"), config(who="long", score="double", amount="decimal(18,2)")
+    store = new_store(spark, [narrow])
+    events, id_, amount = table(spark, sf_dir, "events"), F.col("event_id").alias("id"), F.col("value").cast("decimal(18,2)")
+
+    def ingest(rows: DataFrame, who: Column, amount: Column, nth: int) -> None:
+        body = F.to_json(F.struct(id_, who.alias("who"), F.col("value").alias("score"), amount.alias("amount")))
+        # The partition says which batch came later: offsets are the events' numbers in all of them.
+        ingest_batch(envelope(rows, F.lit(narrow.key), body, F.lit(nth), F.col("event_id")), f"b{nth}", store)
+
+    ingest(events.filter("event_id % 3 < 2"), F.col("user_id"), amount, 0)
+    store.register([wide])
+    ingest(events.filter("event_id % 3 > 0"), F.col("user_id") + 10_000_000_000, amount + 100_000_000, 1)
+    store.register([narrow])
+    ingest(events.filter("event_id % 100 = 0"), F.col("user_id"), amount, 2)
+    refused = store.quarantine().select(F.col("offset").alias("id"), "reason")
+    stored = store.table(wide).read().withColumn("amount", F.col("amount").cast("double"))
+    return stored.unionByName(refused, allowMissingColumns=True)
+
+
 def sink_types_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every kind of column, nulls included, through a keyed table."""
     gap = F.col("event_id") % 7 == 0
@@ -844,7 +868,7 @@ QUERIES = [
     ingest_integers_bool, ingest_decimal, ingest_special_floats, ingest_json_text, ingest_nested, ingest_object_as_array,
     ingest_root_array_explode, ingest_syntax_options, ingest_texts, ingest_vectors, route_table_counts, registered_semi,
     unregistered_anti, registry_duplicates, application_keys, mapped_columns, publish_envelope, upsert_latest,
-    upsert_two_batches, read_base_and_deltas, read_during_compaction, upsert_root_lists, quarantine_table, mapped_nested_columns,
+    upsert_two_batches, read_base_and_deltas, read_during_compaction, upsert_root_lists, quarantine_table, widened_columns, mapped_nested_columns,
     ingest_many_types, ingest_repeated_fields, ingest_times_without_dates, agg_stream_new_checkpoint, append_two_streams, cube_users, sink_types_roundtrip, stream_ingest, stream_resume, stream_progress, saved_offsets,
     agg_stream_tumbling, agg_stream_sliding, agg_stream_late, agg_stream_session, enrich_stream, agg_batch, agg_approx_users,
     enrich_dimension, cube_events, rollup_events, grouping_sets_events, sql_filter_project, sql_window, sql_topk, sql_setops,

@@ -133,6 +133,13 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC)
     "upsert_root_lists": """
 SELECT user_id AS userid, max(event_id) AS eventid, 2 AS n, NULL AS reason FROM events WHERE event_id % 5 <> 0 GROUP BY 1
 UNION ALL SELECT NULL, event_id, NULL, 'empty_list' FROM events WHERE event_id % 5 = 0""",
+    "widened_columns": """
+SELECT event_id AS id, CASE WHEN event_id % 3 = 0 THEN user_id ELSE user_id + 10000000000 END AS who,
+       CASE WHEN event_id % 3 = 0 THEN cast(cast(value AS FLOAT) AS DOUBLE) ELSE value END AS score,
+       cast(CASE WHEN event_id % 3 = 0 THEN cast(value AS DECIMAL(18,2)) ELSE cast(value AS DECIMAL(18,2)) + 100000000 END AS DOUBLE) AS amount,
+       NULL AS reason
+FROM events
+UNION ALL SELECT event_id, NULL, NULL, NULL, 'schema_conflict' FROM events WHERE event_id % 100 = 0""",
     "quarantine_table": """
 SELECT event_id AS "offset", CASE n WHEN 5 THEN 'app|unknown' WHEN 7 THEN 'app|taken' WHEN 6 THEN NULL ELSE 'app|good' END AS key,
        CASE n WHEN 0 THEN 'blank' WHEN 1 THEN 'malformed' WHEN 2 THEN 'bad_value' WHEN 3 THEN 'null_key' WHEN 4 THEN 'stored'

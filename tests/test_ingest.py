@@ -139,6 +139,36 @@ def test_schema_change_between_batches(spark, store):
     assert content(store, wider) == [(1, "p", None), (2, "q", 9)]
 
 
+def test_types_may_widen_and_not_narrow(spark, tmp_path):
+    def config(**types):
+        return EventConfig("a", "t", fields(id="integer", **types), ["id"])
+
+    store = EventStore(spark, str(tmp_path / "s4"), buckets=2)
+    old, new = config(n="byte", m="integer", x="float", d="decimal(5,2)"), config(n="long", m="double", x="double", d="decimal(12,4)")
+    store.register([old])
+    ingest_batch(messages(spark, [("a|t", {"id": i, "n": -i, "m": i, "x": 0.5, "d": 1.25}, 0, i) for i in range(1, 4)]), "b0", store)
+    store.table(old).compact(fold_share=0.0)
+    store.register([new])
+    rows = [("a|t", {"id": 2, "n": 1 << 40, "m": 0.1, "x": 1e300, "d": 12345678.1234}, 0, 9), ("a|t", {"id": 4}, 0, 10)]
+    ingest_batch(messages(spark, rows), "b1", store)
+    want = [(1, -1, 1.0, 0.5, 1.25), (2, 1 << 40, 0.1, 1e300, 12345678.1234), (3, -3, 3.0, 0.5, 1.25), (4, None, None, None, None)]
+
+    def found(rows):
+        return sorted((*r[:4], r.d if r.d is None else float(r.d)) for r in rows.select("id", "n", "m", "x", "d").collect())
+
+    table = store.table(new)
+    assert found(table.read()) == found(table.read(broadcast_limit=0)) == want
+    assert found(table.read().filter("n > 1000")) == want[1:2]  # pushed to files of either type
+    table.compact(fold_share=0.0)
+    assert found(table.read()) == want
+    wider_key = EventConfig("a", "t", fields(id="long", n="long", m="double", x="double", d="decimal(12,4)"), ["id"])
+    for n, refused in enumerate((old, wider_key, config(n="long", m="double", x="double", d="decimal(12,2)"))):
+        store.register([refused])
+        ingest_batch(messages(spark, [("a|t", {"id": 5, "n": 5}, 0, 20 + n)]), f"c{n}", store)
+    assert store.quarantine().filter("reason = 'schema_conflict'").count() == 3
+    assert found(table.read()) == want
+
+
 def test_declared_order_overrides_arrival(spark, tmp_path):
     store = EventStore(spark, str(tmp_path / "s2"), buckets=2)
     config = EventConfig("a", "t", fields(id="integer", v="integer"), ["id"], order_by=["v"])
