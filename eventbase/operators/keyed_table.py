@@ -367,7 +367,10 @@ class KeyedTable:
         part = F.pmod(F.xxhash64(F.lit(1), *map(_column, state.primary_key)), F.lit(parts))
         merged = merged.withColumn("__part", part)
         n = (buckets if touched is None else len(touched)) * parts
-        merged = latest_by_key(merged.repartition(n, _BUCKET, "__part"), state.primary_key, _BUCKET, "__part").drop("__part")
+        # Each part of a bucket is a task of its own: by a hash of the two, several could fall to one.
+        place = _BUCKET if touched is None else f"array_position(array({', '.join(map(str, touched))}), {_BUCKET}) - 1"
+        merged = merged.withColumn("__task", F.expr(f"cast(({place}) * {parts} + __part AS int)"))
+        merged = latest_by_key(merged.repartitionById(n, F.col("__task")), state.primary_key, _BUCKET, "__task").drop("__part", "__task")
         version = uuid.uuid4().hex[:12]
         merged.write.option("partitionOverwriteMode", "static").partitionBy(_BUCKET).parquet(f"{self.path}/base/{version}")
         if touched is None:

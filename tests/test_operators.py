@@ -206,6 +206,25 @@ def test_buckets_double_and_are_split_over_tasks(spark, table, limit):
     assert got == {i: "late" if i == 0 else f"v{min(3, i // 50)}" for i in range(210)}
 
 
+def test_each_part_of_a_bucket_is_a_task(spark, table):
+    def tasks(version):
+        found = set()
+        for bucket in table.files.names(f"{table.path}/base/{version}"):
+            found |= {f[:10] for f in table.files.names(f"{table.path}/base/{version}/{bucket}") if f.startswith("part-")}
+        return len(found)
+
+    data = [(n, "x", n) for n in range(2000)]
+    table.upsert(rows(spark, data), "b1")
+    buckets = table.state().buckets
+    table.compact(task_rows=500)
+    parts = -(-2000 // (500 * buckets))
+    assert tasks(next(iter(table.state().base.values()))) == buckets * parts
+    table.upsert(rows(spark, [(n, "y", n + 5000) for n in range(0, 2000, 2)]), "b2")
+    table.compact(task_rows=100)
+    assert tasks(next(iter(table.state().base.values()))) == buckets * -(-3000 // (100 * buckets))
+    assert table.read().groupBy().count().first()[0] == 2000
+
+
 def test_untouched_buckets_are_not_merged(spark, table):
     table.upsert(rows(spark, [(n, "a", n) for n in range(100)]), "b0")
     table.compact()
