@@ -7,9 +7,11 @@ is expected, unusual float spellings), the record takes a second, exact pass:
 * first pass, every record: one ``from_json`` with the declared types. Dates and
   timestamps are read as VARIANT, which keeps the JSON token type, so that a number and
   a piece of text can be told apart.
-* exact pass, only records in which ``from_json`` met something it calls corrupt: each
-  object is read as text and as VARIANT side by side, and every value is decided from
-  its token type. It runs inside a ``when``, so clean records never pay for it.
+* second pass, only records in which ``from_json`` met something it calls corrupt: one more
+  ``from_json`` with every value but text as VARIANT, and every value is decided from its
+  token type. It runs inside a ``when``, so clean records never pay for it.
+* exact pass, only what that cannot tell either (a name may stand twice, an object where a
+  list is expected, broken text): each object is read as text and as VARIANT side by side.
 
 Everything is a Column expression. There is no Python per row.
 """
@@ -205,7 +207,7 @@ def _steps(
     )
     outcome = (
         F.when(fast.isNull(), F.lit(None))
-        .when(suspect, rules.exact_record(F.col(body), schema, settled))
+        .when(suspect, rules.suspect_record(F.col(body), schema, settled))
         .otherwise(clean)
     )
     has_bad = F.size("__p.bad_fields") > 0
@@ -251,6 +253,15 @@ def _names_above(dtype: T.DataType, kinds: tuple[type, ...]) -> set[str]:
     return set()
 
 
+def _names(dtype: T.DataType) -> set[str]:
+    """Names of struct fields at all levels."""
+    if isinstance(dtype, T.StructType):
+        return set(dtype.fieldNames()).union(*(_names(f.dataType) for f in dtype))
+    if isinstance(dtype, T.ArrayType):
+        return _names(dtype.elementType)
+    return _names(dtype.valueType) if isinstance(dtype, T.MapType) else set()
+
+
 def _contains(dtype: T.DataType, kinds: tuple[type, ...]) -> bool:
     if isinstance(dtype, kinds):
         return True
@@ -269,6 +280,7 @@ class _Rules:
     def __init__(self, epoch_unit: str, lenient_floats: bool, json_options: Mapping[str, str]):
         self.to_timestamp, self.epoch_limit = EPOCH_UNITS[epoch_unit]
         self.lenient_floats = lenient_floats
+        self.has_options = bool(json_options)
         # Options are always given: without them Spark may prune the parsed schema to the
         # fields in use, and then no longer sees a bad value in the others.
         self.options = {
@@ -404,15 +416,80 @@ class _Rules:
 
         The first pass sees the last of several values alone, and does not tell a bad date before it.
         """
-        found = None
-        for name in sorted(_names_above(schema, _TEMPORAL)):
-            pattern = rf"""(?<![A-Za-z0-9_])\Q{name}\E["']?\s*:"""
-            twice = F.regexp_count(text, F.lit(pattern)) > 1
-            found = twice if found is None else found | twice
-        return found
+        names = _names_above(schema, _TEMPORAL)
+        return self._twice(text, names) if names else None
+
+    @staticmethod
+    def _twice(text: Column, names: set[str]) -> Column:
+        """True where one of the names may stand in a text twice; the text is scanned once."""
+        each = "|".join(rf"\Q{name}\E" for name in sorted(names))
+        found = F.regexp_extract_all(text, F.lit(rf"""(?<![A-Za-z0-9_])({each})["']?\s*:"""), F.lit(1))
+        return _let(found, lambda xs: (F.size(xs) > 1) & (F.size(xs) > F.size(F.array_distinct(xs))))
 
     # -- exact pass ------------------------------------------------------------------
 
+    def suspect_record(
+        self, text: Column, schema: T.StructType, settled: Mapping[str, tuple[Column, Column]]
+    ) -> Column:
+        """A record the first pass could not read: one reading by tokens, or the exact one where that does not do."""
+        exact = self.exact_record(text, schema, settled)
+        if self.has_options or any(set(name) & set("\"'\\") for name in _names(schema)):
+            return exact  # comments, say, or quotes may stand where names_once looks
+        by_token = F.when(self.names_once(text, schema), self.from_json(text, self.token_type(schema), corrupt=True))
+        return _let(
+            by_token,
+            lambda r: F.when(
+                r.isNotNull() & r.getField(_CORRUPT).isNull(),
+                _let(F.struct(*[self.by_token(r.getField(f.name), f.dataType).alias(f.name) for f in schema]),
+                     lambda fs: self._record(fs, schema)),
+            ).otherwise(exact),
+        )
+
+    def names_once(self, text: Column, schema: T.StructType) -> Column:
+        """True where no name of the schema, at any level, can stand in a text twice."""
+        return ~F.contains(text, F.lit("\\")) & ~self._twice(text, _names(schema))  # escapes may spell a name otherwise
+
+    def token_type(self, dtype: T.DataType) -> T.DataType:
+        if isinstance(dtype, T.StructType):
+            return T.StructType([T.StructField(f.name, self.token_type(f.dataType)) for f in dtype])
+        if isinstance(dtype, T.ArrayType):
+            return T.ArrayType(self.token_type(dtype.elementType))
+        if isinstance(dtype, T.MapType):
+            return T.MapType(T.StringType(), self.token_type(dtype.valueType))
+        return dtype if isinstance(dtype, T.StringType) else T.VariantType()
+
+    def by_token(self, col: Column, dtype: T.DataType) -> Column:
+        """struct<v, bad> of a value read as ``token_type``."""
+        if isinstance(dtype, T.StringType):
+            return F.struct(col.alias("v"), F.lit(False).alias("bad"))
+        if isinstance(dtype, T.StructType):
+            return _let(
+                F.struct(*[self.by_token(col.getField(f.name), f.dataType).alias(f.name) for f in dtype]),
+                lambda fs: F.struct(
+                    F.when(col.isNotNull(), self._values(fs, dtype)).cast(dtype).alias("v"),
+                    self._any_bad(fs, dtype).alias("bad"),
+                ),
+            )
+        if isinstance(dtype, T.ArrayType):
+            return _let(
+                F.transform(col, lambda x: self.by_token(x, dtype.elementType)),
+                lambda xs: F.struct(
+                    F.transform(xs, lambda x: x.getField("v")).cast(dtype).alias("v"),
+                    F.coalesce(F.exists(xs, lambda x: x.getField("bad")), F.lit(False)).alias("bad"),
+                ),
+            )
+        if isinstance(dtype, T.MapType):
+            return _let(
+                F.transform_values(col, lambda _, x: self.by_token(x, dtype.valueType)),
+                lambda m: F.struct(
+                    F.transform_values(m, lambda _, x: x.getField("v")).cast(dtype).alias("v"),
+                    F.coalesce(
+                        F.exists(F.map_values(m), lambda x: x.getField("bad")), F.lit(False)
+                    ).alias("bad"),
+                ),
+            )
+        return self.exact(F.try_variant_get(col, "$", "string"), col, dtype)
+
     def exact_record(
         self, text: Column, schema: T.StructType, settled: Mapping[str, tuple[Column, Column]]
     ) -> Column:
@@ -425,23 +502,16 @@ class _Rules:
                     F.lit(True).alias("malformed"),
                     F.array().cast("array<string>").alias("bad_fields"),
                 ),
-            ).otherwise(
-                _let(
-                    self._exact_fields(r, schema, settled),
-                    lambda fs: F.struct(
-                        self._values(fs, schema).cast(schema).alias("row"),
-                        F.lit(False).alias("malformed"),
-                        F.array_compact(
-                            F.array(
-                                *[
-                                    F.when(fs.getField(n).getField("bad"), F.lit(n))
-                                    for n in schema.fieldNames()
-                                ]
-                            )
-                        ).alias("bad_fields"),
-                    ),
-                )
-            ),
+            ).otherwise(_let(self._exact_fields(r, schema, settled), lambda fs: self._record(fs, schema))),
+        )
+
+    def _record(self, fields: Column, schema: T.StructType) -> Column:
+        """Outcome of a record whose fields are decided."""
+        bad = [F.when(fields.getField(n).getField("bad"), F.lit(n)) for n in schema.fieldNames()]
+        return F.struct(
+            self._values(fields, schema).cast(schema).alias("row"),
+            F.lit(False).alias("malformed"),
+            F.array_compact(F.array(*bad)).alias("bad_fields"),
         )
 
     def _two_readings(self, text: Column, corrupt: bool = False) -> Column:

@@ -17,6 +17,9 @@ ENVELOPE = T.StructType(
     ]
 )
 
+# Rows that one task parses, about.
+TASK_ROWS = 250_000
+
 
 def decode(df: DataFrame) -> DataFrame:
     """Key and body as text; partition and offset kept, as they give the order of writes."""
@@ -51,12 +54,12 @@ def stream_envelope_folder(
     return decode(reader.parquet(path))
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Split an input that has fewer partitions than tasks can run at once.
+def spread(scan: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Split an input that has fewer partitions than tasks can run at once, or partitions of too many rows.
 
-    Parsing is bound by the processor, and a single file or a topic with one partition would
-    keep it on one core. An input with enough partitions is left as it is, so nothing is
-    shuffled at scale. Meant for plain scans, whose partitions are known without running them.
+    Parsing is bound by the processor: a single file or a topic with one partition would keep it on one core, and
+    a few million rows of a well compressed file would make a task last for half an hour. An input with enough partitions
+    is left as it is. Meant for plain scans, whose partitions and rows are known from the files' footers.
     """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    wanted = max(scan.sparkSession.sparkContext.defaultParallelism, -(-scan.count() // task_rows))
     return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventbase.functions import parse_events
+from eventbase.sources.envelope import spread
 
 BAD = object()
 X = T.StructType([T.StructField("x", T.IntegerType())])
@@ -230,3 +231,34 @@ def test_first_pass_only_reads_clean_records_once(spark):
     assert plan.count("StructField(a,IntegerType,true)") == 1
 
 
+
+
+def test_both_readings_of_suspect_records_agree(spark):
+    """An escape in an unknown field sends a record to the exact reading; without it one reading by tokens does."""
+    ddl = (
+        "s struct<a: bigint, at: timestamp, `in`: struct<d: date, t: string>>, xs array<bigint>, m map<string, double>, "
+        "ds array<date>, b binary, n decimal(5,2), f float, y tinyint, o boolean, ls array<struct<q: int>>, tx string"
+    )
+    bodies = [
+        '{"s":{"a":1,"at":"2018-02-01 12:00:00","in":{"d":"17563","t":{"u":1.50}}},"xs":[1,"",3],"m":{"x":1.5,"y":""}#}',
+        '{"s":{"a":"","at":1517457600000,"in":{"d":""}},"xs":["",null],"ds":["2018-02-01","","x"]#}',
+        '{"s":{"a":1,"in":""},"xs":""#}', '{"s":"","xs":[1,"x"],"m":{"x":1,"x":"","x":2}#}', '{"s":null,"xs":{"a":1}#}',
+        '{"b":"","n":"1.235","f":"NaN","y":200,"o":""#}', '{"b":"aGVsbG8=","n":12345.6,"f":"nan","y":256,"o":"true"#}',
+        '{"ls":[{"q":""}],"tx":[1,{"k":1.0}],"xs":[""]#}', '{"ls":{"q":""},"tx":""#}', '{"ls":[{"q":1},{"q":""}],"xs":[]#}',
+        '{"s":{"a":1,"a":"x"},"xs":[""]#}', '{"xs":["x"],"xs":[1]#}', '{"s":{"in":{"d":true,"d":"17563"}}#}', '{"xs":[""]#', '{"xs":[1.5]#} more',
+        '{ "xs" : [ "" ] , "s" : { "a" : "q" }#}', "{'xs':[''],'s':{'a':''}#}", '{"m":{"a":{"b":1},"c":2}#}', '{"ds":{"a":1},"b":[]#}',
+    ]
+    tails = ("", ',"unknown":"\\\\"')
+    plain_ones, escaped = (parse(spark, [b.replace("#", tail) for b in bodies], ddl) for tail in tails)
+    assert len(plain_ones) == len(bodies)
+    for body, a, b in zip(bodies, plain_ones, escaped):
+        assert repr(a) == repr(b), body
+
+
+def test_spread_bounds_the_rows_of_a_task(spark):
+    scan = spark.range(0, 1000, 1, 6).toDF("id")
+    assert spread(scan).rdd.getNumPartitions() == 6
+    few = spread(scan, task_rows=50)
+    assert few.rdd.getNumPartitions() == 20
+    assert max(r["count"] for r in few.groupBy(F.spark_partition_id()).count().collect()) <= 100
+    assert few.agg(F.countDistinct("id")).first()[0] == 1000
