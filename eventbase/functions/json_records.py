@@ -421,10 +421,13 @@ class _Rules:
 
     @staticmethod
     def _twice(text: Column, names: set[str]) -> Column:
-        """True where one of the names may stand in a text twice; the text is scanned once."""
+        """True where one of the names may stand in a text twice; a pattern is tried only on texts that hold one twice."""
+        held = F.lit(False)
+        for name in sorted(names):
+            held = held | (F.octet_length(F.substring_index(text, name, 2)) < F.octet_length(text))
         each = "|".join(rf"\Q{name}\E" for name in sorted(names))
         found = F.regexp_extract_all(text, F.lit(rf"""(?<![A-Za-z0-9_])({each})["']?\s*:"""), F.lit(1))
-        return _let(found, lambda xs: (F.size(xs) > 1) & (F.size(xs) > F.size(F.array_distinct(xs))))
+        return F.when(held, _let(found, lambda xs: (F.size(xs) > 1) & (F.size(xs) > F.size(F.array_distinct(xs))))).otherwise(False)
 
     # -- exact pass ------------------------------------------------------------------
 

@@ -62,4 +62,9 @@ def spread(scan: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     is left as it is. Meant for plain scans, whose partitions and rows are known from the files' footers.
     """
     wanted = max(scan.sparkSession.sparkContext.defaultParallelism, -(-scan.count() // task_rows))
-    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)
+    if scan.rdd.getNumPartitions() >= wanted:
+        return scan
+    # A scan gives its rows in the same order each time, so they can be dealt by their numbers; without a number
+    # Spark sorts them first, lest a repeated task deals them otherwise.
+    number = F.monotonically_increasing_id() % wanted
+    return scan.withColumn("__number", number.cast("int")).repartitionById(wanted, F.col("__number")).drop("__number")

@@ -189,7 +189,8 @@ def _upsert_together(
     with_slot = T.StructType([*schema.fields, T.StructField("__slot", T.IntegerType())])
     records = spark.read.schema(with_slot).option("basePath", path).parquet(*folders)
     rows = sinks.table_rows(records, config, options.source_epoch, "__slot")
-    latest = latest_by_key(rows, config.primary_key, "__slot")
+    # The key comes first: rows are sorted by it, and the few slots would tell hardly any two of them apart.
+    latest = latest_by_key(rows, [*config.primary_key, "__slot"])
     if len(some) > 8:
         latest = latest.hint("rebalance", "__slot")  # as in _laid_out
     target = f"{store.root}/deltas/{batch}-{uuid.uuid4().hex[:8]}"
@@ -288,10 +289,15 @@ def _laid_out(
     for n, config in enumerate(configs):
         slot = slot.when(F.col("key") == config.key, F.lit(n))
     numbered = parsed.withColumn("__slot", slot)
+    # The message itself is read again only where it was rejected.
+    for c in ("key", "value", "topic", "timestamp"):
+        numbered = numbered.withColumn(c, F.when(F.col("reason").isNotNull(), F.col(c)))
     if len(configs) > 8:
         # Otherwise every task would write a small file for each of many tables.
         numbered = numbered.hint("rebalance", "__slot")
-    numbered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("__slot").parquet(path)
+    # Read once and deleted: dictionaries would cost more than they save.
+    options = {"partitionOverwriteMode": "static", "parquet.enable.dictionary": "false"}
+    numbered.write.mode("overwrite").options(**options).partitionBy("__slot").parquet(path)
     slots = range(-1, len(configs))
     return [_folder(store, f"{path}/__slot={n}", parsed.schema) for n in slots]
 

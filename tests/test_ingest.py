@@ -8,6 +8,7 @@ from eventbase.operators.keyed_table import ORDER, KeyedTable, latest_by_key
 from eventbase.operators.registry import EventConfig, struct_from_pairs
 from eventbase.operators.store import EventStore
 from eventbase.sources.envelope import ENVELOPE, stream_envelope_folder
+from eventbase.streaming import ingest
 from eventbase.streaming.ingest import BadRecords, IngestOptions, ingest_batch, print_stream, run_ingest
 
 def fields(**types):
@@ -306,3 +307,44 @@ def test_root_lists_keep_their_order(spark, store):
     ingest_batch(batch, "b1", store, IngestOptions(explode_root_array=True))
     assert [r[:2] for r in content(store, ORDERS)] == [(1, 19.0)]
     assert [r["reason"] for r in store.quarantine().collect()] == ["empty_list"]
+
+
+def test_only_rejected_records_land_with_their_message(spark, store, monkeypatch):
+    """Good records are read back by their row and place alone: the text they came from is not written again."""
+    landed = {}
+    laid_out = ingest._laid_out
+
+    def kept(*args):
+        parts = laid_out(*args)
+        for part in parts:
+            for r in part.collect() if part is not None else []:
+                landed[r.partition, r.offset] = r
+        return parts
+
+    monkeypatch.setattr(ingest, "_laid_out", kept)
+    ingest_batch(messages(spark, ROWS), "b1", store)
+    assert {at for at, r in landed.items() if r.value is None} == {(0, 1), (0, 2), (1, 1), (0, 3)}
+    assert {at for at, r in landed.items() if r.value is not None} == {(1, 2), (1, 3), (1, 4)}
+    assert all((r.key is None) == (r.reason is None) and (r.row is None) == (r.key is not None) for r in landed.values())
+    assert {(r.partition, r.offset): (r.key, r.value) for r in store.quarantine().collect()} == {
+        (p, n): message(k, v, p, n)[:2] for k, v, p, n in ROWS if (p, n) in {(1, 2), (1, 3), (1, 4), (0, 4), (0, 5)}
+    }
+
+
+def test_like_tables_are_sorted_by_key_before_slot(spark, tmp_path, monkeypatch):
+    """The few slots in front would leave every comparison of a sort to whole rows; the same key may be in two tables."""
+    windows = []
+    latest = ingest.latest_by_key
+
+    def seen(rows, *keys):
+        windows.append(keys)
+        return latest(rows, *keys)
+
+    monkeypatch.setattr(ingest, "latest_by_key", seen)
+    configs = [EventConfig("app", name, fields(id="long", n="long"), ["id"]) for name in ("a", "b")]
+    store = EventStore(spark, str(tmp_path / "like"), buckets=4)
+    store.register(configs)
+    rows = [(f"app|{name}", {"id": i % 3, "n": 10 * i + t}, t, i) for t, name in enumerate("ab") for i in range(9)]
+    ingest_batch(messages(spark, rows), "b1", store)
+    assert windows == [(["id", "__slot"],)]
+    assert [content(store, c) for c in configs] == [[(0, 60 + t), (1, 70 + t), (2, 80 + t)] for t in (0, 1)]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventbase.functions import parse_events
+from eventbase.functions import json_records, parse_events
 from eventbase.sources.envelope import spread
 
 BAD = object()
@@ -262,3 +262,33 @@ def test_spread_bounds_the_rows_of_a_task(spark):
     assert few.rdd.getNumPartitions() == 20
     assert max(r["count"] for r in few.groupBy(F.spark_partition_id()).count().collect()) <= 100
     assert few.agg(F.countDistinct("id")).first()[0] == 1000
+
+
+def test_rows_are_dealt_without_a_sort_and_evenly_even_if_alike(spark, tmp_path):
+    spark.range(0, 1000, 1, 1).select(F.lit("x").alias("a"), F.lit(1).alias("__n")).write.parquet(str(tmp_path / "alike"))
+    dealt = spread(spark.read.parquet(str(tmp_path / "alike")), task_rows=100)
+    assert dealt.columns == ["a", "__n"]
+    counts = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert sorted(r["count"] for r in counts) == [100] * 10
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" not in plan and "Sort" not in plan  # a round robin sorts the rows
+
+
+def test_patterns_are_tried_only_where_a_name_stands_twice(spark):
+    rules = json_records._Rules("ms", False, {})
+    rows = [
+        ('{"at":"2020-01-01"}', False),
+        ('{"at":"2020-01-01","s":"what"}', False),
+        ('{"at":1,"at":2}', True),
+        ('{"at":1,"s":"\U0001f600","at" : 2}', True),
+        ("{at:1,'at':2}", True),
+        ('{"atat":1,"at":2}', False),
+        ("atatat", False),
+        ("", False),
+        (None, False),
+    ]
+    df = spark.createDataFrame([(t,) for t, _ in rows], "value string")
+    twice = rules.may_repeat(F.col("value"), T.StructType([T.StructField("at", T.DateType())]))
+    assert [r[0] for r in df.select(twice).collect()] == [w for _, w in rows]
+    plan = df.select(twice)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("substring_index") < plan.index("regexp_extract_all")
